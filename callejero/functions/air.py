@@ -128,16 +128,16 @@ def parse_pollutant_text(text: Column) -> Column:
     Per spelling the last match counts; between spellings of one pollutant the
     later spelling in the list wins.
     """
+    has_unit = text.rlike(rf"(?i)\d\s*({UNIT_FORM})")
     raw: dict[str, Column] = {}
     unit: dict[str, Column] = {}
     for spelling, pollutant in K.SNAPSHOT_SPELLINGS:
-        pattern = F.lit(
-            rf"(?is){re.escape(spelling)}.{{0,300}}?(\d+(?:[.,]\d+)?)\s*({UNIT_FORM})"
-        )
-        value = F.try_element_at(F.regexp_extract_all(text, pattern, F.lit(1)), F.lit(-1))
-        measure = F.try_element_at(F.regexp_extract_all(text, pattern, F.lit(2)), F.lit(-1))
-        value = F.translate(value, ",", ".")
-        measure = F.replace(F.lower(measure), F.lit("ug/m3"), F.lit(MICRO))
+        pattern = rf"(?is){re.escape(spelling)}.{{0,300}}?(\d+(?:[.,]\d+)?)\s*({UNIT_FORM})"
+        matches = F.when(has_unit, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        last = F.try_element_at(matches, F.lit(-1))
+        value = F.translate(F.regexp_extract(last, pattern, 1), ",", ".")
+        measure = F.lower(F.regexp_extract(last, pattern, 2))
+        measure = F.replace(measure, F.lit("ug/m3"), F.lit(MICRO))
         raw[pollutant] = F.coalesce(value, raw[pollutant]) if pollutant in raw else value
         unit[pollutant] = F.coalesce(measure, unit[pollutant]) if pollutant in unit else measure
     fields = []

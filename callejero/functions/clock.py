@@ -1,7 +1,10 @@
 """Hours of the day in the many ways the feeds and the users write them.
 
-Cells become ``struct<hour:int,minute:int>`` because some inputs keep an
-out-of-range part on purpose (``8.999`` in a cell is 8:60, ``830`` is 83:00).
+Hours are ``hhmm`` integers (830 is 8:30): one number holds hour and minute even
+where a cell has an out-of-range part on purpose (``8.999`` is 8:60 = 860, the
+text ``830`` is 83:00 = 8300). Each spelling is one alternative of a ``coalesce``
+whose pattern does the range checks, so the expressions stay small enough for
+code generation.
 """
 
 from __future__ import annotations
@@ -12,93 +15,74 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callejero.functions.dates import parse_timestamp
-from callejero.functions.numbers import NUMBER
 from callejero.functions.text import strip_blanks
 
-CLOCK_TYPE = "struct<hour:int,minute:int>"
-PLAIN_DECIMAL = r"^\d+(\.\d+)?$"
-COLON_FORM = r"^(\d+):(\d*\.?\d*)$"
+COLON_INPUT = r"^(\d{1,2}):([0-5]?\d?(?:\.\d+)?|60(?:\.0*)?)$"
+DECIMAL_INPUT = r"^\d{1,3}(?:\.\d+)?$"
 RANGE_FORM = r"^\s*(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})\s*$"
-HHMM_FORM = r"^\s*(\d{1,2})[:hH](\d{1,2})\s*$"
-CELL_FORM = r"^\s*(\d{1,2})\s*[:hH]?\s*(\d{1,2})?\s*$"
-CLOCK_IN_TEXT = r"(?:^|[^\d:])(\d{1,2}):(\d{2})(?:[^\d]|$)"
-PM_IN_TEXT = r"\d\s*[pP]\.?[mM]"
-AM_IN_TEXT = r"\d\s*[aA]\.?[mM]"
+HHMM_FORM = r"^\s*(\d{1,2})[:hH]([0-5]?\d)\s*$"
+NUMBER_FORM = r"^\s*\+?(?:0*\d{1,3}\.?\d*|\.\d+)\s*$"
+FRACTION_FORM = r"^\+?0*(?:1?\d|2[0-3])?\.0{0,8}[1-9]\d*$"
+CELL_FORM = r"^(\d{1,2})\s*[:hH]?\s*(\d{1,2})?$"
+PADDED_FORM = r"^0{1,7}(?:[01]?\d|2[0-3])$"
+CLOCK_IN_TEXT = r"(?:^|[^\d:])([01]?\d|2[0-3]):([0-5]\d)(?:\D|$)"
+AFTERNOON = r"(?:^|[^\d:])(?:0?[1-9]|1[01]):[0-5]\d(?::[0-5]\d)?\s*[pP]\.?[mM]"
+MIDNIGHT = r"(?:^|[^\d:])12:[0-5]\d(?::[0-5]\d)?\s*[aA]\.?[mM]"
 
 
-def clock(hour: Column, minute: Column) -> Column:
-    return F.struct(hour.try_cast("int").alias("hour"), minute.try_cast("int").alias("minute"))
+def hour_of(code: Column) -> Column:
+    return F.floor(code / 100).cast("int")
 
 
-def minutes_of(c: Column) -> Column:
-    """Minutes since midnight of a clock struct."""
-    return c["hour"] * 60 + c["minute"]
+def minute_of(code: Column) -> Column:
+    return code % 100
 
 
-def _with_carry(hour: Column, minute: Column) -> Column:
-    return F.when(minute == 60, clock(hour + 1, F.lit(0))).otherwise(clock(hour, minute))
+def stamp_code(stamp: Column) -> Column:
+    """``hhmm`` of a timestamp."""
+    return F.hour(stamp) * 100 + F.minute(stamp)
 
 
-def _group(c: Column, pattern: str, index: int) -> Column:
-    return F.regexp_extract(c, pattern, index)
+def _int(text: Column, pattern: str, group: int) -> Column:
+    """A pattern's group as int; null when the pattern does not match."""
+    return F.regexp_extract(text, pattern, group).try_cast("int")
 
 
-def _number(c: Column) -> Column:
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+def _double(text: Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract(text, pattern, group).try_cast("double")
 
 
 def parse_hour_input(c: Column) -> Column:
-    """Hour typed by a user: ``08``, ``8:30``, ``8h30``, ``8.5``, ``8,25``. Bad text is null."""
+    """Hour typed by a user, as ``hhmm``: ``08``, ``8:30``, ``8h30``, ``8.5``, ``8,25``.
+
+    Fractions are rounded half to even and 60 minutes carry. Bad text and hours
+    from 24:00 on give null.
+    """
     text = F.translate(F.lower(strip_blanks(c)), ",h ", ".:")  # the blank has no partner: dropped
-    tail = _group(text, COLON_FORM, 2)
-    minute = F.when(tail == "", F.lit(0.0)).otherwise(F.rint(_number(tail)))
-    value = text.try_cast("double")
-    whole = F.floor(value)
-    parsed = F.when(
-        text.rlike(COLON_FORM),
-        _with_carry(_group(text, COLON_FORM, 1).try_cast("int"), minute),
-    ).when(text.rlike(PLAIN_DECIMAL), _with_carry(whole, F.rint((value - whole) * 60)))
-    return F.when(parsed["hour"].isNotNull() & parsed["minute"].isNotNull(), parsed)
-
-
-def is_valid_clock(c: Column) -> Column:
-    """The range check callers apply: 0 <= hour < 24 and 0 <= minute < 60."""
-    return F.coalesce(
-        c["hour"].between(0, 23) & c["minute"].between(0, 59), F.lit(False)
+    value = _double(text, DECIMAL_INPUT)
+    minutes = F.coalesce(
+        _int(text, COLON_INPUT, 1) * 60 + F.rint(F.coalesce(_double(text, COLON_INPUT, 2), F.lit(0.0))),
+        F.floor(value) * 60 + F.rint(value % 1 * 60),
     )
+    return F.when(minutes < 1440, (F.floor(minutes / 60) * 100 + minutes % 60).cast("int"))
 
 
 def to_hour_minute(c: Column) -> Column:
-    """Hour of a data cell, tried as a fraction, a compact form, then free text."""
+    """Hour of a data cell as ``hhmm``: a fraction of 0-24, a compact form, or free text.
+
+    Free text gives its first clock time, or 0:00 for a bare date.
+    """
     cell = strip_blanks(c.cast("string"))
-    value = _number(F.translate(cell, ",", "."))
-    whole = F.floor(value)
-    is_fraction = (
-        (value >= 0) & (value < 24) & (F.abs(value - F.rint(value)) > 1e-9)
-    )
-    compact = F.translate(cell, ".", ":")
-    second = _group(compact, CELL_FORM, 2)
-    long_digits = F.when(cell.rlike(r"^\d{3,9}$"), cell.try_cast("int"))
-    stamp = parse_timestamp(cell)
-    free_hour = _group(cell, CLOCK_IN_TEXT, 1).try_cast("int")
-    free_minute = _group(cell, CLOCK_IN_TEXT, 2).try_cast("int")
-    free_hour = (
-        F.when(cell.rlike(PM_IN_TEXT) & (free_hour < 12), free_hour + 12)
-        .when(cell.rlike(AM_IN_TEXT) & (free_hour == 12), F.lit(0))
-        .otherwise(free_hour)
-    )
-    return (
-        F.when(is_fraction, clock(whole, F.rint((value - whole) * 60)))
-        .when(
-            compact.rlike(CELL_FORM),
-            clock(
-                _group(compact, CELL_FORM, 1).try_cast("int"),
-                F.when(second == "", F.lit(0)).otherwise(second.try_cast("int")),
-            ),
-        )
-        .when(long_digits.between(0, 23), clock(long_digits, F.lit(0)))
-        .when(stamp.isNotNull(), clock(F.hour(stamp), F.minute(stamp)))
-        .when((free_hour < 24) & (free_minute < 60), clock(free_hour, free_minute))
+    fraction = _double(F.translate(cell, ",", "."), FRACTION_FORM)
+    dotted = F.translate(cell, ".", ":")
+    padded = F.when(cell.rlike(PADDED_FORM), cell.try_cast("int") * 100)
+    half_day = F.when(cell.rlike(AFTERNOON), 1200).when(cell.rlike(MIDNIGHT), -1200).otherwise(0)
+    return F.coalesce(
+        (F.floor(fraction) * 100 + F.rint(fraction % 1 * 60)).cast("int"),
+        _int(dotted, CELL_FORM, 1) * 100 + F.coalesce(_int(dotted, CELL_FORM, 2), F.lit(0)),
+        padded,
+        _int(cell, CLOCK_IN_TEXT, 1) * 100 + _int(cell, CLOCK_IN_TEXT, 2) + half_day,
+        F.when(parse_timestamp(cell).isNotNull(), 0),
     )
 
 
@@ -108,23 +92,17 @@ def time_midpoint(c: Column) -> Column:
     Ranges over midnight are averaged as written (``23:00-01:00`` is noon).
     """
     text = c.cast("string")
-    ends = [_group(text, RANGE_FORM, i).try_cast("int") for i in (1, 2, 3, 4)]
-    middle = F.floor((ends[0] * 60 + ends[1] + ends[2] * 60 + ends[3]) / 2)
-    hhmm_minute = _group(text, HHMM_FORM, 2).try_cast("int")
-    value = _number(F.translate(text, ",", "."))
-    whole = F.floor(value)
-    minutes = (
-        F.when(text.rlike(RANGE_FORM), middle)
-        .when(
-            text.rlike(HHMM_FORM),
-            F.when(
-                hhmm_minute < 60, _group(text, HHMM_FORM, 1).try_cast("int") * 60 + hhmm_minute
-            ),
-        )
-        .when((value >= 0) & (value < 24), whole * 60 + F.rint((value - whole) * 60))
-        .cast("int")
+    value = _double(F.translate(text, ",", "."), NUMBER_FORM)
+    both = (
+        (_int(text, RANGE_FORM, 1) + _int(text, RANGE_FORM, 3)) * 60
+        + _int(text, RANGE_FORM, 2) + _int(text, RANGE_FORM, 4)
+    )
+    minutes = F.coalesce(
+        F.floor(both / 2),
+        _int(text, HHMM_FORM, 1) * 60 + _int(text, HHMM_FORM, 2),
+        F.floor(value) * 60 + F.rint(value % 1 * 60),
     )
-    return F.when(minutes < 24 * 60, minutes)
+    return F.when(minutes < 1440, minutes.cast("int"))
 
 
 def hour_argument(text: str | tuple[int, int] | None) -> tuple[int, int] | None:
@@ -135,15 +113,13 @@ def hour_argument(text: str | tuple[int, int] | None) -> tuple[int, int] | None:
         compact = "".join(text.lower().split()).translate(str.maketrans(",h", ".:"))
         if not compact:
             return None
-        if match := re.match(COLON_FORM, compact):
-            whole, part = int(match[1]), float(match[2] or 0)
-        elif re.match(PLAIN_DECIMAL, compact):
-            whole, part = int(float(compact)), float(compact) % 1 * 60
+        if match := re.match(COLON_INPUT, compact):
+            minutes = int(match[1]) * 60 + round(float(match[2] or 0))
+        elif re.match(DECIMAL_INPUT, compact):
+            minutes = int(float(compact)) * 60 + round(float(compact) % 1 * 60)
         else:
             raise ValueError(f"unrecognised hour: {text!r}")
-        if round(part) > 60:
-            raise ValueError(f"hour out of range: {text!r}")
-        parsed = divmod(whole * 60 + round(part), 60)
+        parsed = divmod(minutes, 60)
     if parsed is not None and not (0 <= parsed[0] < 24 and 0 <= parsed[1] < 60):
         raise ValueError(f"hour out of range: {text!r}")
     return parsed

@@ -13,18 +13,18 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from callejero.functions.numbers import coerce_number
-
 DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
-ISO_FORM = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
+ANY_FORM = (
+    r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})"
+    r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+)
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def parse_timestamp(c: Column) -> Column:
     """Date or date-time text to a zone-less timestamp, day first unless ISO."""
-    text = F.trim(c.cast("string"))
-    iso = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
-    return F.when(iso.rlike(ISO_FORM), iso.try_cast("timestamp_ntz"))
+    known = F.regexp_extract(F.trim(c.cast("string")), ANY_FORM, 0)
+    return F.regexp_replace(known, DAY_FIRST, "$3-$2-$1").try_cast("timestamp_ntz")
 
 
 def parse_date_iso_or_dayfirst(c: Column) -> Column:
@@ -33,22 +33,20 @@ def parse_date_iso_or_dayfirst(c: Column) -> Column:
 
 def parse_date_input(c: Column) -> Column:
     """Date typed by a user in ISO order; anything invalid is null."""
-    text = F.trim(c)
-    return F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+    return F.regexp_extract(F.trim(c), ISO_DATE, 0).try_cast("date")
 
 
 def parse_date_strict_dayfirst(c: Column) -> Column:
     """``dd/MM/yyyy`` only, as the climate job asks for it."""
-    text = F.regexp_replace(c, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
-    return F.when(c.contains("/") & text.rlike(ISO_DATE), text.try_cast("date"))
+    known = F.regexp_extract(c, r"^\d{1,2}/\d{1,2}/\d{4}$", 0)
+    return F.regexp_replace(known, DAY_FIRST, "$3-$2-$1").try_cast("date")
 
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """Date from three cells; a part that is no whole number, or no such day, gives null."""
 
     def whole(c: Column) -> Column:
-        value = coerce_number(c)
-        return F.when(value == F.floor(value), value.try_cast("int"))
+        return F.regexp_extract(c.cast("string"), r"^\s*\+?(\d{1,9})(?:\.0*)?\s*$", 1).try_cast("int")
 
     zero = F.lit(0)
     return F.try_make_timestamp_ntz(

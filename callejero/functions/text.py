@@ -35,11 +35,13 @@ def strip_blanks(c: Column) -> Column:
 def fold_text(c: Column) -> Column:
     """Lower case without accents; null becomes the empty string."""
     source, target = _fold_table()
-    lowered = F.lower(strip_blanks(F.coalesce(c.cast("string"), F.lit(""))))
+    text = c.cast("string")
+    lowered = F.lower(strip_blanks(text))
     # Plain ASCII needs neither table nor regex; most cells are.
-    return F.when(F.octet_length(lowered) == F.char_length(lowered), lowered).otherwise(
+    folded = F.when(F.octet_length(text) == F.char_length(text), lowered).otherwise(
         F.regexp_replace(F.translate(lowered, source, target), r"\p{Mn}", "")
     )
+    return F.coalesce(folded, F.lit(""))
 
 
 def fold_literal(text: str | None) -> str:

@@ -1,19 +1,21 @@
-"""Row filters: date windows, hours, places, distance and service days.
+"""Row filters: date windows, hours, places, distance and event level.
 
-Each ``*_mask`` returns a boolean Column (null counts as false); the functions
-taking and returning a DataFrame apply one mask.
+A :class:`Test` is a condition plus the parsed values it looks at. :func:`keep`
+computes every value once per row and then filters, instead of parsing a cell
+anew for each comparison. Null counts as false.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callejero import constants as K
-from callejero.functions.clock import minutes_of, time_midpoint, to_hour_minute
+from callejero.functions.clock import stamp_code, time_midpoint, to_hour_minute
 from callejero.functions.dates import date_argument, date_from_parts, within_months
 from callejero.functions.geo import haversine_km, in_bounding_box
 from callejero.functions.numbers import coerce_number
@@ -22,6 +24,14 @@ from callejero.operators import roles
 from callejero.operators.roles import as_timestamp, col
 from callejero.operators.timestamps import build_ts
 
+STAMP = "__ts"
+
+
+@dataclass(frozen=True)
+class Test:
+    mask: Column
+    values: dict[str, Column] = field(default_factory=dict)
+
 
 def any_of(masks: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(False)) for m in masks], F.lit(False))
@@ -32,9 +42,28 @@ def all_of(masks: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [F.coalesce(m, F.lit(False)) for m in masks], F.lit(True))
 
 
+def bind(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``df`` with extra columns that are computed exactly once per row.
+
+    The one-row ``inline`` keeps the optimizer from copying the expressions into
+    every place a filter above mentions them, as it does with a plain projection.
+    """
+    if not values:
+        return df
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def keep(df: DataFrame, *tests: Test) -> DataFrame:
+    """Rows that pass every test."""
+    values = {name: value for test in tests for name, value in test.values.items()}
+    passing = bind(df, values).where(all_of([test.mask for test in tests]))
+    return passing.select(*[col(c) for c in df.columns]) if values else passing
+
+
 # --- dates --------------------------------------------------------------------
 
-def date_window_mask(df: DataFrame, day: dt.date, months: int) -> Column:
+def date_test(df: DataFrame, day: dt.date, months: int) -> Test:
     """In [day - months, day] by any usable date column or by year/month/day parts.
 
     Columns where at most half of the values parse do not take part. Without
@@ -42,25 +71,32 @@ def date_window_mask(df: DataFrame, day: dt.date, months: int) -> Column:
     """
     names = roles.timestamp_columns(df.columns)
     usable = roles.usable_flags(df, names)
+    values = {f"__d{i}": as_timestamp(df, n).cast("date") for i, n in enumerate(names)}
     masks = [
-        usable[n] & within_months(as_timestamp(df, n).cast("date"), day, months) for n in names
+        usable[n] & within_months(F.col(f"__d{i}"), day, months) for i, n in enumerate(names)
     ]
-    parts = roles.date_parts(df.columns)
-    if parts:
-        masks.append(within_months(date_from_parts(*[col(p) for p in parts]), day, months))
-    return any_of(masks)
+    if parts := roles.date_parts(df.columns):
+        values["__parts"] = date_from_parts(*[col(p) for p in parts])
+        masks.append(within_months(F.col("__parts"), day, months))
+    return Test(any_of(masks), values)
+
+
+def date_window(
+    df: DataFrame, day: str | dt.date, months: int = K.MONTHS_BACK_ACCIDENTS
+) -> DataFrame:
+    return keep(df, date_test(df, date_argument(day), months))
 
 
-def date_window(df: DataFrame, day: str | dt.date, months: int = K.MONTHS_BACK_ACCIDENTS):
-    return df.where(date_window_mask(df, date_argument(day), months))
+def date_or_undated_test(stamp: Column, day: dt.date, months: int) -> Test:
+    """In the window, or without a timestamp at all."""
+    mask = within_months(F.col(STAMP).cast("date"), day, months) | F.col(STAMP).isNull()
+    return Test(mask, {STAMP: stamp})
 
 
 def date_window_keep_null(
     df: DataFrame, stamp: Column, day: str | dt.date, months: int = K.MONTHS_BACK
 ) -> DataFrame:
-    """In the window, or without a timestamp at all."""
-    inside = within_months(stamp.cast("date"), date_argument(day), months)
-    return df.where(inside | stamp.isNull())
+    return keep(df, date_or_undated_test(stamp, date_argument(day), months))
 
 
 def first_date(df: DataFrame) -> Column:
@@ -68,8 +104,7 @@ def first_date(df: DataFrame) -> Column:
     name = roles.first_like(df.columns, K.TIMESTAMP_KEYS_NARROW)
     if name:
         return as_timestamp(df, name).cast("date")
-    parts = roles.date_parts(df.columns)
-    if parts:
+    if parts := roles.date_parts(df.columns):
         return date_from_parts(*[col(p) for p in parts])
     return F.lit(None).cast("date")
 
@@ -80,12 +115,13 @@ def last_n_days(df: DataFrame, end: str | dt.date, days: int, name: str = "fecha
         raise ValueError("the period must be 1 to 365 days")
     end = date_argument(end)
     day = as_timestamp(df, name).cast("date")
-    return df.where(day.between(F.date_sub(F.lit(end), days), F.lit(end)))
+    inside = F.col("__day").between(F.date_sub(F.lit(end), days), F.lit(end))
+    return keep(df, Test(inside, {"__day": day}))
 
 
-def row_time_mask(
+def row_time_test(
     df: DataFrame, day: dt.date | None, months: int, hour: tuple[int, int] | None
-) -> Column:
+) -> Test:
     """The emergency rule: some time column matches, and the row's date agrees.
 
     With date and hour both given, the timestamp built from the row must match
@@ -95,90 +131,93 @@ def row_time_mask(
     """
     names = roles.timestamp_columns(df.columns, wide=True)
     if day and hour:
-        stamp = build_ts(df)
-        return within_months(stamp.cast("date"), day, months) & (F.hour(stamp) == hour[0])
+        inside = within_months(F.col(STAMP).cast("date"), day, months)
+        return Test(inside & (F.hour(STAMP) == hour[0]), {STAMP: build_ts(df)})
     if day:
-        found = any_of(
-            [within_months(as_timestamp(df, n).cast("date"), day, months) for n in names]
-        )
-        dates = [as_timestamp(df, n).cast("date") for n in roles.named_like(names, K.DATE_KEYS)]
-        if dates:
-            found &= F.coalesce(within_months(F.coalesce(*dates), day, months), F.lit(True))
-        return found
+        values = {f"__d{i}": as_timestamp(df, n).cast("date") for i, n in enumerate(names)}
+        found = any_of([within_months(F.col(d), day, months) for d in values])
+        dated = [f"__d{i}" for i, n in enumerate(names) if roles.named_like([n], K.DATE_KEYS)]
+        if dated:
+            values["__first"] = F.coalesce(
+                *[as_timestamp(df, names[int(d[3:])]).cast("date") for d in dated]
+            )
+            found &= F.coalesce(within_months(F.col("__first"), day, months), F.lit(True))
+        return Test(found, values)
     if hour:
-        return any_of(
-            [
-                F.coalesce(F.hour(as_timestamp(df, n)), to_hour_minute(col(n))["hour"]) == hour[0]
-                for n in names
-            ]
-        )
-    return F.lit(True)
+        hours = [
+            F.coalesce(stamp_code(as_timestamp(df, n)), to_hour_minute(col(n))) for n in names
+        ]
+        values = {f"__h{i}": code for i, code in enumerate(hours)}
+        return Test(any_of([F.floor(F.col(h) / 100) == hour[0] for h in values]), values)
+    return Test(F.lit(True))
 
 
 # --- hours --------------------------------------------------------------------
 
-def hour_exact_mask(df: DataFrame, hour: tuple[int, int]) -> Column | None:
+def hour_exact_test(df: DataFrame, hour: tuple[int, int]) -> Test:
     """Exact HH:MM per hour column; a column without any exact row matches on the hour.
 
-    Usable timestamp columns and hour columns are OR-ed. Whether a column has an
-    exact row is one lazy aggregate over all of them. None: no column to test.
+    Usable timestamp columns and hour columns are OR-ed; without any of them the
+    hour is not tested. Whether a column has an exact row is asked in one lazy
+    aggregate over all of them.
     """
     stamps = roles.timestamp_columns(df.columns)
-    usable = roles.usable_flags(df, stamps)
-    clocks: list[tuple[Column, Column]] = []
-    for name in stamps:
-        stamp = as_timestamp(df, name)
-        clocks.append((F.hour(stamp), F.minute(stamp)))
-    hour_names = roles.named_like(df.columns, K.HOUR_KEYS_ACCIDENTS)
-    for name in hour_names:
-        cell = to_hour_minute(col(name))
-        clocks.append((cell["hour"], cell["minute"]))
-    if not clocks:
-        return None
-    exact = [F.coalesce((h == hour[0]) & (m == hour[1]), F.lit(False)) for h, m in clocks]
-    any_exact = df.agg(
-        F.struct(*[F.max(e).alias(f"c{i}") for i, e in enumerate(exact)]).alias("any_exact")
+    hours = roles.named_like(df.columns, K.HOUR_KEYS_ACCIDENTS)
+    codes = [stamp_code(as_timestamp(df, n)) for n in stamps]
+    codes += [to_hour_minute(col(n)) for n in hours]
+    if not codes:
+        return Test(F.lit(True))
+    wanted = hour[0] * 100 + hour[1]
+    seen = df.agg(
+        F.struct(*[F.max(c == wanted).alias(f"c{i}") for i, c in enumerate(codes)]).alias("seen")
     ).scalar()
+    usable = roles.usable_flags(df, stamps)
     masks = []
-    for i, (h, _) in enumerate(clocks):
-        mask = F.when(any_exact.getField(f"c{i}"), exact[i]).otherwise(h == hour[0])
+    for i in range(len(codes)):
+        code = F.col(f"__h{i}")
+        mask = F.when(seen.getField(f"c{i}"), code == wanted).otherwise(
+            F.floor(code / 100) == hour[0]
+        )
         masks.append(usable[stamps[i]] & mask if i < len(stamps) else mask)
-    if hour_names:
-        return any_of(masks)
-    # only timestamp columns: when none of them is usable the hour is not tested at all
-    return any_of(masks) | ~any_of([usable[n] for n in stamps])
+    if not hours:
+        # only timestamp columns: when none of them is usable the hour is not tested
+        masks.append(~any_of([usable[n] for n in stamps]))
+    return Test(any_of(masks), {f"__h{i}": c for i, c in enumerate(codes)})
 
 
 def hour_exact_or_hour(df: DataFrame, hour: tuple[int, int]) -> DataFrame:
-    mask = hour_exact_mask(df, hour)
-    return df if mask is None else df.where(F.coalesce(mask, F.lit(False)))
+    return keep(df, hour_exact_test(df, hour))
 
 
-def hour_within_mask(
+def hour_within_test(
     df: DataFrame, stamp: Column, hour: tuple[int, int], margin: int = K.HOUR_MARGIN_MINUTES
-) -> Column:
+) -> Test:
     """Within ``margin`` minutes of the hour, without wrapping at midnight.
 
     A row without timestamp fails, unless no row of the table has one: then any
     hour column within the margin is enough.
     """
     target = hour[0] * 60 + hour[1]
-    by_stamp = F.abs(F.hour(stamp) * 60 + F.minute(stamp) - target) <= margin
+    by_stamp = F.abs(F.hour(STAMP) * 60 + F.minute(STAMP) - target) <= margin
     names = roles.named_like(df.columns, K.HOUR_KEYS_RANGES)
-    by_column = (
-        any_of([F.abs(time_midpoint(col(n)) - target) <= margin for n in names])
-        if names
-        else F.lit(True)
-    )
+    values = {f"__m{i}": time_midpoint(col(n)) for i, n in enumerate(names)}
+    by_column = any_of([F.abs(F.col(m) - target) <= margin for m in values])
     any_stamp = df.where(stamp.isNotNull()).exists()
-    return F.coalesce(F.when(any_stamp, by_stamp).otherwise(by_column), F.lit(False))
+    mask = F.when(any_stamp, by_stamp).otherwise(by_column if names else F.lit(True))
+    return Test(mask, {STAMP: stamp, **values})
+
+
+def hour_within(
+    df: DataFrame, hour: tuple[int, int], margin: int = K.HOUR_MARGIN_MINUTES
+) -> DataFrame:
+    return keep(df, hour_within_test(df, build_ts(df), hour, margin))
 
 
 # --- places -------------------------------------------------------------------
 
-def location_mask(
+def location_test(
     df: DataFrame, text: str, keys: list[str], on_missing: str = "empty", regex: bool = False
-) -> Column:
+) -> Test:
     """Folded search text inside any location column.
 
     ``on_missing`` says what a table without location columns gives: ``empty`` or
@@ -186,26 +225,27 @@ def location_mask(
     """
     names = roles.named_like(df.columns, keys)
     if not names:
-        return F.lit(on_missing == "all")
+        return Test(F.lit(on_missing == "all"))
     target = fold_literal(text)
     cells = [fold_text(col(n)) for n in names]
-    return any_of([c.rlike(target) if regex else c.contains(target) for c in cells])
+    return Test(any_of([c.rlike(target) if regex else c.contains(target) for c in cells]))
 
 
 def location_any(df: DataFrame, text: str, keys: list[str], **options) -> DataFrame:
-    return df.where(location_mask(df, text, keys, **options))
+    return keep(df, location_test(df, text, keys, **options))
 
 
-def location_joined_mask(df: DataFrame, text: str, keys: list[str]) -> Column:
+def location_joined_test(df: DataFrame, text: str, keys: list[str]) -> Test:
     """Search all location columns as one text, so a query may span columns."""
     names = roles.named_like(df.columns, keys)
     if not names:
-        return F.lit(False)
-    return F.concat_ws(" ", *[fold_text(col(n)) for n in names]).contains(fold_literal(text))
+        return Test(F.lit(False))
+    joined = F.concat_ws(" ", *[fold_text(col(n)) for n in names])
+    return Test(joined.contains(fold_literal(text)))
 
 
 def location_joined(df: DataFrame, text: str, keys: list[str] | None = None) -> DataFrame:
-    return df.where(location_joined_mask(df, text, keys or K.ROAD_POINT_KEYS))
+    return keep(df, location_joined_test(df, text, keys or K.ROAD_POINT_KEYS))
 
 
 # --- geography ----------------------------------------------------------------
@@ -254,7 +294,3 @@ def within_radius(
 def event_level_gate(df: DataFrame, with_ranges: bool = False) -> DataFrame:
     """Aggregated tables (no date or time per row) become empty."""
     return df if roles.is_event_level(df.columns, with_ranges) else df.where(F.lit(False))
-
-
-def minutes_since_midnight(cell: Column) -> Column:
-    return minutes_of(to_hour_minute(cell))

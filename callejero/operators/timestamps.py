@@ -22,7 +22,7 @@ def split_timestamp(df: DataFrame) -> Column:
     if not hour_name:
         return stamp
     minute = F.coalesce(time_midpoint(col(hour_name)), F.lit(0))
-    day = F.date_trunc("day", stamp).cast(NO_TIMESTAMP)
+    day = stamp.cast("date").cast(NO_TIMESTAMP)
     return day + F.make_dt_interval(F.lit(0), F.lit(0), minute)
 
 

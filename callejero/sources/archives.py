@@ -91,7 +91,7 @@ def member_lines(members: DataFrame, head_only: bool = False) -> DataFrame:
                     with archive.open(member) as stream:
                         rows: list[tuple] = []
                         for number, raw in enumerate(stream):
-                            line = _decode(raw).rstrip("\r\n").removeprefix("﻿")
+                            line = _decode(raw).rstrip("\r\n").removeprefix("\ufeff")
                             if line.strip():
                                 rows.append((path, member, number, line))
                             if head_only and len(rows) >= HEAD_LINES:

@@ -55,7 +55,7 @@ def _head_lines(raw: bytes) -> list[str]:
         # a character cut at the end of the head is not an encoding problem
         cut = len(raw) - error.start < 4
         text = raw[: error.start].decode("utf-8") if cut else raw.decode("latin-1")
-    lines = text.removeprefix("﻿").splitlines()
+    lines = text.removeprefix("\ufeff").splitlines()
     if len(raw) >= HEAD_BYTES and len(lines) > 1:
         lines = lines[:-1]
     return [line for line in lines if line.strip()][:HEAD_LINES]

@@ -22,7 +22,7 @@ def _text_schema(names: list[str]) -> T.StructType:
 
 
 def _strip_bom(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.removeprefix("﻿") for c in df.columns])
+    return df.toDF(*[c.removeprefix("\ufeff") for c in df.columns])
 
 
 def read_delimited_auto(
