@@ -1 +1,230 @@
+"""Round trips through files: a view is written to the shared folder and read back."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from callejero import sinks
+from callejero.bindings import query
+from callejero.bindings.views import spark_view, with_views
+from callejero.functions.labels import dataset_label
+from callejero.operators.filters import location_any
+from callejero.plans.climate import climate_daily, climate_monthly
+from callejero.plans.datasheet import datasheet, plain_path, relative_to
+from callejero.session import scratch_dir
+from callejero.sources import archives, readers
+
+INCIDENTS = with_views("v_incidents")
+ROW = ["event_id", "fecha", "hora", "calle", "distrito"]
+TEXT = "CAST(event_id AS STRING) AS event_id, fecha, hora, calle, distrito"
+
+
+def _incidents(spark, sf_dir):
+    return spark_view(spark, sf_dir, "v_incidents").select(*ROW)
+
+
+@query(f"""{INCIDENTS} SELECT {TEXT}, NULL AS valor FROM v_incidents
+UNION ALL SELECT CAST(event_id AS STRING), NULL, NULL, calle, NULL, CAST(CAST(floor(valor) AS BIGINT) AS STRING)
+FROM v_incidents""")
+def q_read_auto(spark, sf_dir):
+    """Files with two separators and two sets of columns, under one folder."""
+    root = scratch_dir(spark, "auto")
+    df = spark_view(spark, sf_dir, "v_incidents")
+    sinks.write_csv(df.select(*ROW), f"{root}/a", separator="|")
+    whole = F.floor("valor").cast("bigint").alias("valor")
+    sinks.write_csv(df.select("event_id", "calle", whole), f"{root}/b", separator=",")
+    return readers.read_delimited_auto(spark, root)
+
+
+@query(f"{INCIDENTS} SELECT {TEXT} FROM v_incidents")
+def q_read_semicolon(spark, sf_dir):
+    path = scratch_dir(spark, "semicolon")
+    sinks.write_csv(_incidents(spark, sf_dir), path)
+    return readers.read_delimited(spark, path)
+
+
+@query(f"{INCIDENTS} SELECT {TEXT} FROM v_incidents")
+def q_read_comma(spark, sf_dir):
+    """The declared separator never occurs, so the comma is used."""
+    path = scratch_dir(spark, "comma")
+    sinks.write_csv(_incidents(spark, sf_dir), path, separator=",")
+    return readers.read_delimited(spark, path)
+
+
+@query(f"{INCIDENTS} SELECT {TEXT} FROM v_incidents")
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "roundtrip")
+    sinks.write_csv(_incidents(spark, sf_dir), path)
+    return spark.read.option("header", "true").option("sep", ";").option("escape", '"').csv(path)
+
+
+@query(f"""{INCIDENTS} SELECT {TEXT}, '2024-01-01' AS dia_proceso FROM v_incidents
+UNION ALL SELECT CAST(event_id AS STRING), fecha, NULL, NULL, NULL, '2024-01-02' FROM v_incidents""")
+def q_overwrite(spark, sf_dir):
+    """A second run of a day replaces that day's output and leaves the other day alone."""
+    path = scratch_dir(spark, "overwrite")
+    df = _incidents(spark, sf_dir)
+    run = "dia_proceso"
+    sinks.replace_run(df.withColumn(run, F.lit("2024-01-01")), path, run)
+    sinks.replace_run(df.withColumn(run, F.lit("2024-01-02")), path, run)
+    blank = {c: F.lit(None).cast("string") for c in ("hora", "calle", "distrito")}
+    sinks.replace_run(df.withColumns(blank).withColumn(run, F.lit("2024-01-02")), path, run)
+    schema = ", ".join(f"{c} string" for c in [*ROW, run])
+    return spark.read.schema(schema).option("header", "true").option("sep", ";").csv(path)
+
+
+@query(f"{INCIDENTS} SELECT 'event_id;fecha;hora;calle;distrito' AS value, 1 AS n "
+       "FROM v_incidents WHERE event_id = 0")
+def q_empty_output(spark, sf_dir):
+    """A filter over the whole table leaves nothing; the file still has its header line."""
+    path = scratch_dir(spark, "empty")
+    sinks.write_csv(location_any(_incidents(spark, sf_dir), "ninguna parte", ["calle"]), path)
+    return spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query(r"""SELECT CAST(event_id AS BIGINT) AS event_id, event_type AS "datos.tipo",
+  CAST(json_extract(props, '$.k') AS BIGINT) AS "datos.props.k",
+  [user_id, event_id] AS ids FROM events""")
+def q_json_flatten(spark, sf_dir):
+    """Nested JSON records to dotted columns."""
+    path = scratch_dir(spark, "json")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    props = F.from_json("props", "k bigint").alias("props")
+    events.select(
+        "event_id", F.struct(F.col("event_type").alias("tipo"), props).alias("datos"),
+        F.array("user_id", "event_id").alias("ids"),
+    ).write.json(path)
+    schema = "event_id bigint, datos struct<tipo:string,props:struct<k:bigint>>, ids array<bigint>"
+    return readers.read_json_records(spark, path, schema, multi_line=False)
+
+
+@query("""SELECT 'Feature' AS type, 'C' || CAST(c_custkey AS STRING) AS "properties.id",
+  c_mktsegment AS "properties.uso", 'Point' AS "geometry.type",
+  [CAST(c_custkey % 157 AS DOUBLE), CAST(c_custkey % 201 AS DOUBLE)] AS "geometry.coordinates"
+FROM customer
+UNION ALL SELECT 'Feature', 'N' || CAST(c_custkey AS STRING), NULL, 'Point',
+  [CAST(c_nationkey AS DOUBLE), 0.5e0] FROM customer""")
+def q_geojson(spark, sf_dir):
+    """Feature collections, one per customer, to one row per feature."""
+    path = scratch_dir(spark, "geojson")
+
+    def feature(name, use, x, y):
+        return F.struct(
+            F.lit("Feature").alias("type"),
+            F.struct(name.alias("id"), use.alias("uso")).alias("properties"),
+            F.struct(F.lit("Point").alias("type"),
+                     F.array(x.cast("double"), y.cast("double")).alias("coordinates")
+                     ).alias("geometry"),
+        )
+
+    key = F.col("c_custkey")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.lit("FeatureCollection").alias("type"),
+        F.array(
+            feature(F.concat(F.lit("C"), key.cast("string")), F.col("c_mktsegment"),
+                    key % 157, key % 201),
+            feature(F.concat(F.lit("N"), key.cast("string")), F.lit(None).cast("string"),
+                    F.col("c_nationkey"), F.lit(0.5)),
+        ).alias("features"),
+    ).write.json(path)
+    schema = ("features array<struct<type:string,properties:struct<id:string,uso:string>,"
+              "geometry:struct<type:string,coordinates:array<double>>>>")
+    return readers.read_geojson_features(spark, path, schema, multi_line=False)
+
+
+_DAILY = [("Fecha", "fecha"), ("Estacion", "nombre"), ("Indicativo", "indicativo"),
+          ("Temp_Media_°C", "tmed"), ("Temp_Max_°C", "tmax"), ("Temp_Min_°C", "tmin"),
+          ("Hora_Temp_Max", "horatmax"), ("Hora_Temp_Min", "horatmin"),
+          ("Precipitacion_mm", "prec"), ("Vel_Viento_Media_m/s", "velmedia"),
+          ("Racha_Max_m/s", "racha"), ("Direccion_Racha", "dir"), ("Hora_Racha", "horaracha"),
+          ("Presion_Max_hPa", "presMax"), ("Presion_Min_hPa", "presMin"), ("Insolacion_h", "sol")]
+_MONTHLY = [("Temp_Media_°C", "tm_mes"), ("Temp_Max_Media_°C", "tm_max"),
+            ("Temp_Min_Media_°C", "tm_min"), ("Temp_Max_Absoluta_°C", "ta_max"),
+            ("Temp_Min_Absoluta_°C", "ta_min"), ("Humedad_Media_%", "hr"),
+            ("Precipitacion_Total_mm", "p_mes"), ("Horas_Sol", "n_sol")]
+_MONTHS = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
+           "Septiembre", "Octubre", "Noviembre", "Diciembre", "Promedio Anual"]
+
+
+def _or_nd(columns) -> str:
+    return ", ".join(f"coalesce({key}, 'N/D') AS \"{name}\"" for name, key in columns)
+
+
+@query(f"""{with_views('v_climate_daily')} SELECT {_or_nd(_DAILY)} FROM v_climate_daily
+WHERE CAST(fecha AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""")
+def q_climate_daily(spark, sf_dir):
+    path = scratch_dir(spark, "climate")
+    spark_view(spark, sf_dir, "v_climate_daily").write.json(path)
+    return climate_daily(readers.read_climate_json(spark, path, multi_line=False), "2024-01-20", 10)
+
+
+@query(f"""{with_views('v_climate_monthly')} SELECT 1998 AS "Año", coalesce(mes, 'N/D') AS "Mes",
+  CASE mes {' '.join(f"WHEN '{i}' THEN '{m}'" for i, m in enumerate(_MONTHS, 1))}
+    ELSE 'Mes ' || coalesce(mes, 'N/D') END AS "Nombre_Mes",
+  {_or_nd(_MONTHLY)} FROM v_climate_monthly WHERE fecha LIKE '1998-%'""")
+def q_climate_monthly(spark, sf_dir):
+    path = scratch_dir(spark, "climate")
+    months = spark_view(spark, sf_dir, "v_climate_monthly")
+    months.write.option("encoding", "ISO-8859-1").json(path)
+    records = readers.read_climate_json(spark, path, monthly=True, multi_line=False)
+    return climate_monthly(records.where("fecha like '1998-%'"), 1998)
+
+
+@query(f"""{with_views('v_manifest')} SELECT archive, member, size, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY archive ORDER BY
+    CASE WHEN contains(member, substr(archive, 9, 4)) AND contains(member, substr(archive, 6, 2))
+      THEN 0 ELSE 1 END, pos, member) AS rank FROM v_manifest)
+WHERE rank <= 8 AND size <= 80 * 1024 * 1024""")
+def q_archive_members(spark, sf_dir):
+    """Which members to read of each archive, by the month in the archive's name."""
+    chosen = archives.select_members(spark_view(spark, sf_dir, "v_manifest"))
+    return chosen.select("archive", "member", "size", "rank")
+
+
+def _write_results(spark, sf_dir) -> str:
+    """Result files of three producers with different columns and separators."""
+    root = scratch_dir(spark, "sheet")
+    incidents = spark_view(spark, sf_dir, "v_incidents")
+    sinks.write_csv(incidents.select("event_id", "fecha", "calle"),
+                    f"{root}/Accidentes/Resultados")
+    counts = spark_view(spark, sf_dir, "v_counts")
+    sinks.write_csv(counts.select("event_id", "tramo", F.lit("previo").alias("dataset")),
+                    f"{root}/Trafico/Resultados")
+    parking = spark_view(spark, sf_dir, "v_parking")
+    sinks.write_csv(parking.select("pk", "nombre", "lat"), f"{root}/Vehiculos/Resultados",
+                    separator=",")
+    return root
+
+
+@query(f"""{with_views('v_incidents', 'v_counts', 'v_parking')}
+SELECT 'accidentes' AS dataset, 'Accidentes/Resultados' AS folder, CAST(event_id AS STRING) AS event_id,
+  fecha, calle, NULL AS tramo, NULL AS dataset_src, NULL AS pk, NULL AS nombre, NULL AS lat
+FROM v_incidents
+UNION ALL SELECT 'trafico_historico', 'Trafico/Resultados', CAST(event_id AS STRING), NULL, NULL, tramo,
+  'previo', NULL, NULL, NULL FROM v_counts
+UNION ALL SELECT 'vehiculos_por_distrito', 'Vehiculos/Resultados', NULL, NULL, NULL, NULL, NULL,
+  CAST(pk AS STRING), nombre, lat FROM v_parking""")
+def q_datasheet(spark, sf_dir):
+    sheet = datasheet(spark, _write_results(spark, sf_dir))
+    folder = F.regexp_extract("source_file", "^(.*)/[^/]*$", 1)
+    return sheet.select("dataset", folder.alias("folder"), "event_id", "fecha", "calle", "tramo",
+                        "dataset_src", "pk", "nombre", "lat")
+
+
+@query(f"""{with_views('v_parking')} SELECT dataset, n_columns, n_rows FROM (
+  SELECT 'accidentes' AS dataset, 3 AS n_columns, count(*) AS n_rows FROM events
+  UNION ALL SELECT 'trafico_historico', 3, count(*) FROM events
+  UNION ALL SELECT 'vehiculos_por_distrito', 3, count(*) FROM v_parking)""")
+def q_read_results(spark, sf_dir):
+    """The listing reaches every result file once, though two globs overlap."""
+    root = _write_results(spark, sf_dir)
+    listing = readers.read_results(spark, [root, f"{root}/Trafico"])
+    lines = readers.read_delimited_auto(spark, root, with_path=True)
+    per_file = lines.groupBy(plain_path(F.col(readers.PATH)).alias("plain")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    files = listing.withColumn("plain", plain_path(F.col("path"))).join(per_file, "plain")
+    label = dataset_label(relative_to(F.col("path"), root))
+    return files.groupBy(label.alias("dataset")).agg(
+        F.lit(3).alias("n_columns"), F.sum("n_rows").alias("n_rows")
+    )

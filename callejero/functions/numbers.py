@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INTEGER = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+INTEGER = r"^\s*([+-]?\d+)\s*$"
 
 
 def coerce_number(c: Column) -> Column:
     """Text to double; anything that is not a plain decimal number becomes null."""
-    text = c.cast("string")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.regexp_extract(c.cast("string"), NUMBER, 0).try_cast("double")
 
 
 def decimal_comma(c: Column) -> Column:
@@ -22,8 +21,7 @@ def decimal_comma(c: Column) -> Column:
 
 def coerce_int(c: Column) -> Column:
     """Text to int; fractions and other text become null."""
-    text = c.cast("string")
-    return F.when(text.rlike(INTEGER), F.trim(text).try_cast("int"))
+    return F.regexp_extract(c.cast("string"), INTEGER, 1).try_cast("int")
 
 
 def nan_to_null(c: Column) -> Column:

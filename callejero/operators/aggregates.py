@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from callejero import constants as K
 from callejero.functions.air import pollutant_of, row_value, unit_for
 from callejero.functions.numbers import nan_to_null
+from callejero.operators.filters import bind
 
 
-def city_daily_mean(df: DataFrame, day: Column) -> DataFrame:
+def city_daily_mean(df: DataFrame, day: str) -> DataFrame:
     """Mean per day and pollutant; undated rows and rows without a value are left out."""
-    rows = df.select(
-        day.alias("fecha"), pollutant_of(df.columns).alias("pollutant"),
-        row_value(df.columns).alias("value"),
-    ).where("fecha is not null and pollutant is not null and value is not null")
+    columns = [c for c in df.columns if c != day]
+    rows = bind(df, {"pollutant__": pollutant_of(columns), "value__": row_value(columns)})
     return (
-        rows.groupBy("fecha", "pollutant")
+        rows.select(
+            F.col(day).alias("fecha"), F.col("pollutant__").alias("pollutant"),
+            F.col("value__").alias("value"),
+        )
+        .where("fecha is not null and pollutant is not null and value is not null")
+        .groupBy("fecha", "pollutant")
         .agg(F.avg(nan_to_null(F.col("value"))).alias("open_value"))
         .withColumn("open_unit", unit_for(F.col("pollutant")))
     )

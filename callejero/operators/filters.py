@@ -18,7 +18,6 @@ from callejero import constants as K
 from callejero.functions.clock import stamp_code, time_midpoint, to_hour_minute
 from callejero.functions.dates import date_argument, date_from_parts, within_months
 from callejero.functions.geo import haversine_km, in_bounding_box
-from callejero.functions.numbers import coerce_number
 from callejero.functions.text import fold_literal, fold_text
 from callejero.operators import roles
 from callejero.operators.roles import as_timestamp, col
@@ -252,9 +251,8 @@ def location_joined(df: DataFrame, text: str, keys: list[str] | None = None) ->
 
 def numeric_coordinates(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """Coordinates as doubles, rows without both dropped."""
-    return df.withColumns({lat: coerce_number(col(lat)), lon: coerce_number(col(lon))}).where(
-        col(lat).isNotNull() & col(lon).isNotNull()
-    )
+    numbers = {lat: roles.as_number(df, lat), lon: roles.as_number(df, lon)}
+    return df.withColumns(numbers).where(col(lat).isNotNull() & col(lon).isNotNull())
 
 
 def valid_coordinates(df: DataFrame, lat: str = "latitud", lon: str = "longitud") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.functions.dates import parse_timestamp
+from callejero.functions.numbers import coerce_number
 
 
 def named_like(columns: Iterable[str], keys: Iterable[str]) -> list[str]:
@@ -82,6 +83,12 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return parse_timestamp(col(name))
 
 
+def as_number(df: DataFrame, name: str) -> Column:
+    """A column as double: numeric columns are cast, text is parsed."""
+    is_text = df.schema[name].dataType.typeName() == "string"
+    return coerce_number(col(name)) if is_text else col(name).cast("double")
+
+
 def parse_ratios(df: DataFrame, names: list[str]) -> DataFrame:
     """Share of values that parse as a date, one row, one column per candidate."""
     return df.agg(

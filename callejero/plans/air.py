@@ -58,7 +58,7 @@ def open_measurements(
 
 
 def daily_means(measurements: DataFrame) -> DataFrame:
-    return city_daily_mean(measurements.drop(MEASURED), measurements[MEASURED])
+    return city_daily_mean(measurements, MEASURED)
 
 
 def compare(

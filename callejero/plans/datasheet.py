@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callejero.functions.labels import dataset_label
@@ -12,14 +14,21 @@ from callejero.sources.files import list_files
 from callejero.sources.readers import PATH, read_delimited_auto
 
 
-def relative_to(path, root: str):
+SCHEME = r"^[a-z0-9]+:/+"
+
+
+def plain_path(path: Column) -> Column:
+    """A file URI without its scheme, so that listings and row metadata agree."""
+    return F.regexp_replace(path, SCHEME, "/")
+
+
+def relative_to(path: Column, root: str) -> Column:
     """A file URI relative to a root folder, if it lies under it."""
-    plain = F.regexp_replace(path, r"^[a-z0-9]+:/+", "/")
-    inner = F.regexp_replace(F.lit(root), r"^[a-z0-9]+:/+", "/")
-    prefix = F.concat(F.rtrim(F.lit("/"), inner), F.lit("/"))
-    return F.when(
-        plain.startswith(prefix), F.substr(plain, F.char_length(prefix) + 1)
-    ).otherwise(plain)
+    plain = plain_path(path)
+    prefix = re.sub(SCHEME, "/", root).rstrip("/") + "/"
+    return F.when(plain.startswith(prefix), F.substr(plain, F.lit(len(prefix) + 1))).otherwise(
+        plain
+    )
 
 
 def datasheet(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
@@ -33,11 +42,10 @@ def datasheet(spark: SparkSession, root: str, folders: list[str] | None = None)
 def empty_inputs(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
     """Result files that contributed no row, with their dataset label."""
     files = list_files(spark, folders or root, "*.csv")
-    seen = read_delimited_auto(spark, folders or root, with_path=True).select(PATH).distinct()
-    plain = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
-    seen = seen.select(F.regexp_replace(col(PATH), r"^[a-z0-9]+:/+", "/").alias("plain"))
+    rows = read_delimited_auto(spark, folders or root, with_path=True)
+    seen = rows.select(plain_path(col(PATH)).alias("plain")).distinct()
     file = relative_to(F.col("path"), root)
     return (
-        files.withColumn("plain", plain).join(seen, "plain", "left_anti")
+        files.withColumn("plain", plain_path(F.col("path"))).join(seen, "plain", "left_anti")
         .select(dataset_label(file).alias("dataset"), file.alias("source_file"))
     )

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ";", mode: str = "overwrite") -> None:
-    """One folder of CSV part files with header, written in parallel."""
-    (
+def _as_csv(df: DataFrame, separator: str, mode: str) -> DataFrameWriter:
+    return (
         df.write.mode(mode).option("header", "true").option("sep", separator)
-        .option("escape", '"').option("emptyValue", "").csv(path)
+        .option("escape", '"').option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     )
 
 
+def write_csv(df: DataFrame, path: str, separator: str = ";", mode: str = "overwrite") -> None:
+    """One folder of CSV part files with header, written in parallel."""
+    _as_csv(df, separator, mode).option("partitionOverwriteMode", "static").csv(path)
+
+
 def replace_run(df: DataFrame, path: str, run_column: str, separator: str = ";") -> None:
     """Replace the output of the run days in ``df``; other days stay as they are."""
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", "true").option("sep", separator).option("escape", '"')
-        .partitionBy(run_column).csv(path)
-    )
+    writer = _as_csv(df, separator, "overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(run_column).csv(path)
 
 
 def write_header_only(spark: SparkSession, path: str, columns: list[str] | None = None) -> None:
