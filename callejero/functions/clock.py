@@ -44,12 +44,14 @@ def stamp_code(stamp: Column) -> Column:
 
 
 def _int(text: Column, pattern: str, group: int) -> Column:
-    """A pattern's group as int; null when the pattern does not match."""
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+    """A group of a pattern known to match, as int; an empty group is 0."""
+    return F.concat(F.lit("0"), F.regexp_extract(text, pattern, group)).try_cast("int")
 
 
-def _double(text: Column, pattern: str, group: int = 0) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("double")
+def _before_midnight(minutes: Column) -> Column:
+    """Null from 24:00 on. One mention of ``minutes``: the expression is not repeated."""
+    day = F.lit(1440.0)
+    return F.nullif(F.least(minutes.cast("double"), day), day)
 
 
 def parse_hour_input(c: Column) -> Column:
@@ -59,12 +61,14 @@ def parse_hour_input(c: Column) -> Column:
     from 24:00 on give null.
     """
     text = F.translate(F.lower(strip_blanks(c)), ",h ", ".:")  # the blank has no partner: dropped
-    value = _double(text, DECIMAL_INPUT)
-    minutes = F.coalesce(
-        _int(text, COLON_INPUT, 1) * 60 + F.rint(F.coalesce(_double(text, COLON_INPUT, 2), F.lit(0.0))),
-        F.floor(value) * 60 + F.rint(value % 1 * 60),
+    value = text.try_cast("double")
+    part = F.concat(F.lit("0"), F.regexp_extract(text, COLON_INPUT, 2)).try_cast("double")
+    minutes = _before_midnight(
+        F.when(text.rlike(COLON_INPUT), _int(text, COLON_INPUT, 1) * 60 + F.rint(part)).when(
+            text.rlike(DECIMAL_INPUT), F.floor(value) * 60 + F.rint(value % 1 * 60)
+        )
     )
-    return F.when(minutes < 1440, (F.floor(minutes / 60) * 100 + minutes % 60).cast("int"))
+    return (F.floor(minutes / 60) * 100 + minutes % 60).cast("int")
 
 
 def to_hour_minute(c: Column) -> Column:
@@ -73,16 +77,24 @@ def to_hour_minute(c: Column) -> Column:
     Free text gives its first clock time, or 0:00 for a bare date.
     """
     cell = strip_blanks(c.cast("string"))
-    fraction = _double(F.translate(cell, ",", "."), FRACTION_FORM)
-    dotted = F.translate(cell, ".", ":")
-    padded = F.when(cell.rlike(PADDED_FORM), cell.try_cast("int") * 100)
+    pointed, dotted = F.translate(cell, ",", "."), F.translate(cell, ".", ":")
+    value = pointed.try_cast("double")
     half_day = F.when(cell.rlike(AFTERNOON), 1200).when(cell.rlike(MIDNIGHT), -1200).otherwise(0)
-    return F.coalesce(
-        (F.floor(fraction) * 100 + F.rint(fraction % 1 * 60)).cast("int"),
-        _int(dotted, CELL_FORM, 1) * 100 + F.coalesce(_int(dotted, CELL_FORM, 2), F.lit(0)),
-        padded,
-        _int(cell, CLOCK_IN_TEXT, 1) * 100 + _int(cell, CLOCK_IN_TEXT, 2) + half_day,
-        F.when(parse_timestamp(cell).isNotNull(), 0),
+    return (
+        F.when(
+            pointed.rlike(FRACTION_FORM),
+            (F.floor(value) * 100 + F.rint(value % 1 * 60)).cast("int"),
+        )
+        .when(
+            dotted.rlike(CELL_FORM),
+            _int(dotted, CELL_FORM, 1) * 100 + _int(dotted, CELL_FORM, 2),
+        )
+        .when(cell.rlike(PADDED_FORM), cell.try_cast("int") * 100)
+        .when(
+            cell.rlike(CLOCK_IN_TEXT),
+            _int(cell, CLOCK_IN_TEXT, 1) * 100 + _int(cell, CLOCK_IN_TEXT, 2) + half_day,
+        )
+        .when(parse_timestamp(cell).isNotNull(), 0)
     )
 
 
@@ -92,17 +104,18 @@ def time_midpoint(c: Column) -> Column:
     Ranges over midnight are averaged as written (``23:00-01:00`` is noon).
     """
     text = c.cast("string")
-    value = _double(F.translate(text, ",", "."), NUMBER_FORM)
+    pointed = F.translate(text, ",", ".")
+    value = pointed.try_cast("double")
     both = (
         (_int(text, RANGE_FORM, 1) + _int(text, RANGE_FORM, 3)) * 60
         + _int(text, RANGE_FORM, 2) + _int(text, RANGE_FORM, 4)
     )
-    minutes = F.coalesce(
-        F.floor(both / 2),
-        _int(text, HHMM_FORM, 1) * 60 + _int(text, HHMM_FORM, 2),
-        F.floor(value) * 60 + F.rint(value % 1 * 60),
+    minutes = (
+        F.when(text.rlike(RANGE_FORM), F.floor(both / 2))
+        .when(text.rlike(HHMM_FORM), _int(text, HHMM_FORM, 1) * 60 + _int(text, HHMM_FORM, 2))
+        .when(pointed.rlike(NUMBER_FORM), F.floor(value) * 60 + F.rint(value % 1 * 60))
     )
-    return F.when(minutes < 1440, minutes.cast("int"))
+    return _before_midnight(minutes).cast("int")
 
 
 def hour_argument(text: str | tuple[int, int] | None) -> tuple[int, int] | None:

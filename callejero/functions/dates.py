@@ -13,11 +13,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from callejero.functions.numbers import first_group
+
 DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 ANY_FORM = (
     r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})"
     r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
 )
+WHOLE = r"^\s*\+?(\d{1,9})(?:\.0*)?\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
@@ -46,7 +49,7 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """Date from three cells; a part that is no whole number, or no such day, gives null."""
 
     def whole(c: Column) -> Column:
-        return F.regexp_extract(c.cast("string"), r"^\s*\+?(\d{1,9})(?:\.0*)?\s*$", 1).try_cast("int")
+        return first_group(c.cast("string"), WHOLE, 1).try_cast("int")
 
     zero = F.lit(0)
     return F.try_make_timestamp_ntz(

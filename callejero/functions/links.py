@@ -37,6 +37,11 @@ def _suffix(href: Column, pattern: str) -> Column:
     return F.lower(href).rlike(pattern)
 
 
+def is_excluded(href: Column, words: list[str]) -> Column:
+    """Links to map services, documents and scripts."""
+    return F.lower(href).rlike(_any_of(words))
+
+
 def looks_like_data(href: Column, label: Column, allow_zip: bool = False) -> Column:
     """A web link that names no map service or document and has a data suffix or hint."""
     low = F.lower(href)
@@ -44,7 +49,7 @@ def looks_like_data(href: Column, label: Column, allow_zip: bool = False) -> Col
     excluded = K.LINK_EXCLUDED_WITH_ZIP if allow_zip else K.LINK_EXCLUDED
     hinted = F.concat_ws(" ", low, F.lower(label)).rlike(_any_of(hints))
     # every data suffix (.csv, .json, .geojson, .zip) contains one of the hint words
-    return low.rlike(r"^(https?:)?//") & ~low.rlike(_any_of(excluded)) & hinted
+    return low.rlike(r"^(https?:)?//") & ~is_excluded(href, excluded) & hinted
 
 
 def looks_like_download(href: Column, label: Column) -> Column:

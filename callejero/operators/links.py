@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.functions.links import (
-    is_data_response, link_score, link_score_simple, looks_like_data, looks_like_download,
+    is_data_response, is_excluded, link_score, link_score_simple, looks_like_data, looks_like_download,
     response_type,
 )
+from callejero.operators.filters import bind
 from callejero.operators.ordering import best_link
 
 
+def _with_text(links: DataFrame) -> DataFrame:
+    """Link and label made once, since tests and scores look at them many times."""
+    texts = {"__href": F.col("href"), "__label": F.col("label")}
+    return bind(links.select("page", "pos", "label", "href"), texts)
+
+
 def score_links(links: DataFrame, allow_zip: bool = False) -> DataFrame:
     """Links that look like data, with their score (lower is better)."""
-    href, label = F.col("href"), F.col("label")
-    return links.where(looks_like_data(href, label, allow_zip)).withColumn(
-        "score", link_score(href, label, allow_zip)
+    href, label = F.col("__href"), F.col("__label")
+    return _with_text(links).where(looks_like_data(href, label, allow_zip)).select(
+        "page", "pos", label.alias("label"), href.alias("href"),
+        link_score(href, label, allow_zip).alias("score"),
     )
 
 
 def score_links_simple(links: DataFrame) -> DataFrame:
-    href = F.col("href")
-    return links.where(looks_like_download(href, F.col("label"))).withColumn(
-        "score", link_score_simple(href)
+    href, label = F.col("__href"), F.col("__label")
+    return _with_text(links).where(looks_like_download(href, label)).select(
+        "page", "pos", label.alias("label"), href.alias("href"),
+        link_score_simple(href).alias("score"),
     )
 
 
@@ -35,9 +44,10 @@ def accepted_links(links: DataFrame, responses: DataFrame, allow_zip: bool = Fal
     href. ``href`` becomes the final URL and ``kind`` its type.
     """
     headers = F.col("content_type"), F.col("disposition"), F.col("final_url")
-    is_data = response_type(*headers) != "" if allow_zip else is_data_response(*headers)
-    good = responses.where((F.col("status") < 400) & is_data).select(
-        "href", "final_url", response_type(*headers).alias("kind")
+    verdict = {"kind": response_type(*headers), "is_data": is_data_response(*headers)}
+    is_data = F.col("kind") != "" if allow_zip else F.col("is_data")
+    good = bind(responses, verdict).where((F.col("status") < 400) & is_data).select(
+        "href", "final_url", "kind"
     )
     return links.join(good, "href").withColumn("href", F.col("final_url")).drop("final_url")
 
@@ -47,18 +57,10 @@ def best_links(scored: DataFrame) -> DataFrame:
     return best_link(scored, "page", "score", "pos")
 
 
-def excluded(href: Column) -> Column:
-    """Links to map services, documents and scripts."""
-    import re
-
-    words = "|".join(re.escape(w) for w in K.LINK_EXCLUDED_WITH_ZIP)
-    return F.lower(href).rlike(words)
-
-
 def fallback_links(attributes: DataFrame, accepted: DataFrame) -> DataFrame:
     """``data-url`` links of the pages without any accepted anchor."""
     pages = accepted.select("page").distinct()
-    return attributes.where(~excluded(F.col("href"))).join(pages, "page", "left_anti")
+    return attributes.where(~is_excluded(F.col("href"), K.LINK_EXCLUDED_WITH_ZIP)).join(pages, "page", "left_anti")
 
 
 def enabled_pages(sources: DataFrame) -> DataFrame:
