@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callejero import sinks
 from callejero.bindings import query
-from callejero.bindings.views import spark_view, with_views
+from callejero.bindings.views import spark_view, table, with_views
 from callejero.functions.labels import dataset_label
 from callejero.operators.filters import location_any
 from callejero.plans.climate import climate_daily, climate_monthly
@@ -88,7 +88,7 @@ def q_empty_output(spark, sf_dir):
 def q_json_flatten(spark, sf_dir):
     """Nested JSON records to dotted columns."""
     path = scratch_dir(spark, "json")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = table(spark, sf_dir, "events")
     props = F.from_json("props", "k bigint").alias("props")
     events.select(
         "event_id", F.struct(F.col("event_type").alias("tipo"), props).alias("datos"),
@@ -118,7 +118,7 @@ def q_geojson(spark, sf_dir):
         )
 
     key = F.col("c_custkey")
-    spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    table(spark, sf_dir, "customer").select(
         F.lit("FeatureCollection").alias("type"),
         F.array(
             feature(F.concat(F.lit("C"), key.cast("string")), F.col("c_mktsegment"),

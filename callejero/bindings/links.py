@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callejero.bindings import query, sql
-from callejero.bindings.views import spark_view, with_views
+from callejero.bindings.views import spark_view, table, with_views
 from callejero.functions import links as link_functions
 from callejero.operators import links as link_operators
 from callejero.operators.reshape import first_nonempty
@@ -189,7 +189,7 @@ def q_link_accepted(spark, sf_dir):
   AS forced FROM pages WHERE page_id % 4 <> 3""")
 def q_link_override(spark, sf_dir):
     """Fixed links by page id, over the pages that are switched on."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+    pages = table(spark, sf_dir, "pages").select(
         "page_id", F.col("url").alias("page"), (F.col("page_id") % 4 != 3).alias("enabled")
     )
     overrides = {"example.org": "https://datos.example/a.csv",
@@ -205,7 +205,7 @@ SELECT * FROM kept WHERE l_linenumber =
   (SELECT min(l_linenumber) FROM kept k WHERE k.l_suppkey = kept.l_suppkey)""")
 def q_first_nonempty(spark, sf_dir):
     """Per supplier the lowest line number with any surviving row."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = table(spark, sf_dir, "lineitem")
     kept = items.where("l_returnflag = 'R' and l_quantity > 49").select(
         "l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", "l_quantity"
     )
@@ -237,5 +237,5 @@ SELECT page_id, 1, 'Datos JSON ' || CAST(page_id AS STRING), '',
   'https://example.org/' || CAST(page_id AS STRING) || '.json' FROM pages WHERE page_id % 9 <> 8""")
 def q_dcat(spark, sf_dir):
     """A catalogue record per page; some are broken, some nest their distributions."""
-    docs = spark.sql(_XML, pages=spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    docs = spark.sql(_XML, pages=table(spark, sf_dir, "pages"))
     return documents.extract_dcat_distributions(docs, "page_id", "xml")

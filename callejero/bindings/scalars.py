@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callejero.bindings import query, sql
-from callejero.bindings.views import spark_view, with_views
+from callejero.bindings.views import spark_view, table, with_views
 from callejero.functions import air, clock, dates, labels, numbers, text
 
 SPELLINGS = with_views("v_spellings")
@@ -99,7 +99,7 @@ _DOC_FOLD = (r"strip_accents(lower(regexp_replace(coalesce(text, ''), "
 
 @query(f"SELECT doc_id, md5({_DOC_FOLD}) AS folded, {sql.fold('lang')} AS lang FROM documents")
 def q_fold_text(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return docs.select(
         "doc_id", F.md5(text.fold_text(F.col("text"))).alias("folded"),
         text.fold_text(F.col("lang")).alias("lang"),
@@ -108,14 +108,14 @@ def q_fold_text(spark, sf_dir):
 
 @query(f"""SELECT doc_id,
   md5(trim(regexp_replace({_DOC_FOLD}, '[^a-z0-9]+', '_', 'g'), '_')) AS slug,
-  CASE WHEN trim(regexp_replace({sql.fold("regexp_replace(text, '[A-Za-z]', '', 'g')")},
+  CASE WHEN trim(regexp_replace({sql.fold("regexp_replace(text, '[A-Za-z]+', '', 'g')")},
          '[^a-z0-9]+', '_', 'g'), '_') = '' THEN 'ubicacion'
-       ELSE trim(regexp_replace({sql.fold("regexp_replace(text, '[A-Za-z]', '', 'g')")},
+       ELSE trim(regexp_replace({sql.fold("regexp_replace(text, '[A-Za-z]+', '', 'g')")},
          '[^a-z0-9]+', '_', 'g'), '_') END AS slug_or_default
 FROM documents""")
 def q_slug(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    bare = F.regexp_replace("text", "[A-Za-z]", "")
+    docs = table(spark, sf_dir, "documents")
+    bare = F.regexp_replace("text", "[A-Za-z]+", "")
     return docs.select(
         "doc_id", F.md5(text.slug(F.col("text"))).alias("slug"),
         text.slug(bare, default="ubicacion").alias("slug_or_default"),
@@ -133,7 +133,7 @@ FROM customer""")
 def q_aqi_category(spark, sf_dir):
     aqi = F.expr("""concat(CAST(c_custkey % 520 AS STRING), CASE WHEN c_custkey % 7 = 0
         THEN '.0' WHEN c_custkey % 11 = 0 THEN 'x' ELSE '' END)""")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    customers = table(spark, sf_dir, "customer").select(
         "c_custkey", aqi.alias("aqi"))
     return customers.withColumn("categoria", air.aqi_category(F.col("aqi")))
 
@@ -184,7 +184,7 @@ def q_csv_paths(spark, sf_dir):
     AS STRING), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS STRING), 2, '0'),
     '%d/%m/%Y %H:%M'), '%Y-%m-%d %H:%M') AS ts FROM orders""")
 def q_date_and_hour_text(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = table(spark, sf_dir, "orders")
     fecha = F.date_format("o_orderdate", "dd/MM/yyyy")
     hora = F.concat_ws(":", (F.col("o_custkey") % 24).cast("string"),
                        F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"))

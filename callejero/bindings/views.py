@@ -353,11 +353,15 @@ FROM {orders}
 }
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame over the Parquet tables in ``sf_dir``."""
     text = VIEWS[name]
     used = set(re.findall(r"\{(\w+)\}", text))
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    tables = {t: table(spark, sf_dir, t) for t in used}
     return spark.sql(text, **tables)
 
 

@@ -14,6 +14,7 @@ from callejero.functions.text import strip_blanks
 MICRO = "µg/m³"
 UNIT_FORM = "µg/m³|μg/m³|ug/m3|ppm"
 NAN = float("nan")
+NAME_TO_NUMBER = 300
 
 
 def _lookup(table: dict, key: Column) -> Column:
@@ -122,39 +123,47 @@ def parse_aqi_text(text: Column) -> Column:
     return F.when(found != "", found)
 
 
-def parse_pollutant_text(text: Column) -> Column:
-    """Readings in a page's text: struct of ``<pollutant>_{raw,unit,ugm3}``.
+def readings_part(text: Column) -> Column:
+    """The end of a text from which on readings can occur; null without any.
 
-    Per spelling the last match counts; between spellings of one pollutant the
-    later spelling in the list wins.
+    A reading is a name at most 300 characters before a number with a unit, so
+    nothing before the first such number, less that distance, can take part.
     """
-    has_unit = text.rlike(rf"(?i)\d\s*({UNIT_FORM})")
-    raw: dict[str, Column] = {}
-    unit: dict[str, Column] = {}
-    for spelling, pollutant in K.SNAPSHOT_SPELLINGS:
-        pattern = rf"(?is){re.escape(spelling)}.{{0,300}}?(\d+(?:[.,]\d+)?)\s*({UNIT_FORM})"
-        matches = F.when(has_unit, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        last = F.try_element_at(matches, F.lit(-1))
-        value = F.translate(F.regexp_extract(last, pattern, 1), ",", ".")
-        measure = F.lower(F.regexp_extract(last, pattern, 2))
-        measure = F.replace(measure, F.lit("ug/m3"), F.lit(MICRO))
-        raw[pollutant] = F.coalesce(value, raw[pollutant]) if pollutant in raw else value
-        unit[pollutant] = F.coalesce(measure, unit[pollutant]) if pollutant in unit else measure
-    fields = []
-    for pollutant in K.SNAPSHOT_POLLUTANTS:
-        fields += [
-            raw[pollutant].alias(f"{pollutant}_raw"),
-            unit[pollutant].alias(f"{pollutant}_unit"),
-        ]
-    return F.struct(*fields)
-
-
-def snapshot_fields(parsed: Column) -> list[Column]:
-    """The 18 measure columns of a snapshot row, ``_ugm3`` only for that unit."""
-    columns = [
-        F.when(parsed[f"{p}_unit"] == MICRO, parsed[f"{p}_raw"]).alias(f"{p}_ugm3")
-        for p in K.SNAPSHOT_POLLUTANTS
-    ]
-    for p in K.SNAPSHOT_POLLUTANTS:
-        columns += [parsed[f"{p}_raw"].alias(f"{p}_raw"), parsed[f"{p}_unit"].alias(f"{p}_unit")]
-    return columns
+    first = F.regexp_instr(text, F.lit(rf"(?i)\d+(?:[.,]\d+)?\s*(?:{UNIT_FORM})"))
+    start = F.greatest(first - NAME_TO_NUMBER - 20, F.lit(1))
+    return F.when(first > 0, F.substr(text, start))
+
+
+def _spelling_form(spelling: str) -> str:
+    gap = f".{{0,{NAME_TO_NUMBER}}}?"
+    return rf"(?is){re.escape(spelling)}{gap}(\d+(?:[.,]\d+)?)\s*({UNIT_FORM})"
+
+
+def last_mentions(text: Column) -> dict[str, Column]:
+    """Per spelling the last stretch of text from the name to its number and unit."""
+    return {
+        f"m{i}": F.try_element_at(
+            F.regexp_extract_all(text, F.lit(_spelling_form(spelling)), F.lit(0)), F.lit(-1)
+        )
+        for i, (spelling, _) in enumerate(K.SNAPSHOT_SPELLINGS)
+    }
+
+
+def parse_pollutant_text(mentions: Column) -> list[Column]:
+    """The 18 measure columns ``<pollutant>_{ugm3,raw,unit}`` of a snapshot row.
+
+    ``mentions``: a struct of :func:`last_mentions`. Between spellings of one
+    pollutant the later in the list wins; ``_ugm3`` is filled for that unit only.
+    """
+    tries: dict[str, list[tuple[Column, str]]] = {p: [] for p in K.SNAPSHOT_POLLUTANTS}
+    for i, (spelling, pollutant) in enumerate(K.SNAPSHOT_SPELLINGS):
+        tries[pollutant].insert(0, (mentions[f"m{i}"], _spelling_form(spelling)))
+    values, rest = [], []
+    for pollutant, found in tries.items():
+        raw = F.coalesce(*[F.regexp_extract(m, form, 1) for m, form in found])
+        unit = F.coalesce(*[F.regexp_extract(m, form, 2) for m, form in found])
+        raw = F.translate(raw, ",", ".")
+        unit = F.replace(F.lower(unit), F.lit("ug/m3"), F.lit(MICRO))
+        values.append(F.when(unit == MICRO, raw).alias(f"{pollutant}_ugm3"))
+        rest += [raw.alias(f"{pollutant}_raw"), unit.alias(f"{pollutant}_unit")]
+    return values + rest

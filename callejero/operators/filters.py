@@ -199,11 +199,10 @@ def hour_within_test(
     target = hour[0] * 60 + hour[1]
     by_stamp = F.abs(F.hour(STAMP) * 60 + F.minute(STAMP) - target) <= margin
     names = roles.named_like(df.columns, K.HOUR_KEYS_RANGES)
-    values = {f"__m{i}": time_midpoint(col(n)) for i, n in enumerate(names)}
-    by_column = any_of([F.abs(F.col(m) - target) <= margin for m in values])
+    by_column = any_of([F.abs(time_midpoint(col(n)) - target) <= margin for n in names])
     any_stamp = df.where(stamp.isNotNull()).exists()
     mask = F.when(any_stamp, by_stamp).otherwise(by_column if names else F.lit(True))
-    return Test(mask, {STAMP: stamp, **values})
+    return Test(mask, {STAMP: stamp})
 
 
 def hour_within(

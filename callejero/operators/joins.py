@@ -39,12 +39,21 @@ def left_join_hot_right(
 ) -> DataFrame:
     """Left outer join where ``left`` has unique keys and ``right`` may be skewed.
 
-    Adaptive execution cannot split the right side of a left outer join, so the
-    matched rows come from a spread inner join and the unmatched from an anti join
-    against the distinct right keys (which combine before the shuffle).
+    Adaptive execution cannot split the right side of a left outer join. So the right
+    rows are spread over ``salts`` buckets, and a left row is repeated once per bucket
+    if its key occurs on the right at all (the distinct right keys combine before
+    their shuffle), else kept once. ``left`` is computed a single time.
     """
-    matched = spread_join(right, left, on, "inner", salts)
-    keys = right.select(*on).distinct()
-    alone = left.join(keys, on, "left_anti")
-    columns = [*left.columns, *[c for c in right.columns if c not in left.columns]]
-    return matched.select(*columns).unionByName(alone, allowMissingColumns=True)
+    salt, known, hit = "__salt", "__known", "__hit"
+    keys = right.select(*on).distinct().withColumn(known, F.lit(True))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    buckets = F.when(F.col(known), every).otherwise(F.array(F.lit(0)))
+    repeated = left.join(keys, on, "left").withColumn(salt, F.explode(buckets))
+    spread = right.withColumn(
+        salt, F.pmod(spread_key(right), F.lit(salts)).cast("int")
+    ).withColumn(hit, F.lit(True))
+    return (
+        repeated.join(spread, [*on, salt], "left")
+        .where(F.col(hit).isNotNull() | F.col(known).isNull())
+        .drop(salt, known, hit)
+    )

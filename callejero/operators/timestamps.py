@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.functions.clock import time_midpoint
+from callejero.functions.dates import text_date_and_hour
 from callejero.operators.roles import as_timestamp, col, first_like, named_like
 
 NO_TIMESTAMP = "timestamp_ntz"
@@ -30,20 +31,14 @@ def build_ts(df: DataFrame) -> Column:
     """Timestamp expression for ``df``.
 
     The first datetime-like column with any parsable value serves all rows; only
-    when there is none are date and hour columns combined. Which column that is
-    depends on the data, so it is asked in one lazy aggregate over the candidates.
+    when there is none are date and hour columns combined. Whether a column has one
+    depends on the data; each candidate is asked by a lazy existence test that
+    stops at the first value that parses.
     """
-    candidates = named_like(df.columns, K.DATETIME_KEYS)
     stamp = split_timestamp(df)
-    if not candidates:
-        return stamp
-    seen = (
-        df.agg(*[F.max(as_timestamp(df, n).isNotNull()).alias(n) for n in candidates])
-        .select(F.struct(*[col(n) for n in candidates]).alias("s"))
-        .scalar()
-    )
-    for name in reversed(candidates):
-        stamp = F.when(seen.getField(name), as_timestamp(df, name)).otherwise(stamp)
+    for name in reversed(named_like(df.columns, K.DATETIME_KEYS)):
+        parsed = as_timestamp(df, name)
+        stamp = F.when(df.where(parsed.isNotNull()).exists(), parsed).otherwise(stamp)
     return stamp
 
 
@@ -58,6 +53,4 @@ def emergency_sort_ts(df: DataFrame) -> Column | None:
         return None
     if not hour_name:
         return as_timestamp(df, date_name)
-    from callejero.functions.dates import text_date_and_hour
-
     return text_date_and_hour(col(date_name), col(hour_name))

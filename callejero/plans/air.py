@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.functions.air import (
-    aqi_category, delta, parse_aqi_text, parse_pollutant_text, snapshot_fields,
+    aqi_category, delta, last_mentions, parse_aqi_text, parse_pollutant_text, readings_part,
 )
 from callejero.functions.dates import date_argument, within_months
 from callejero.operators import filters
@@ -25,17 +25,17 @@ MEASURED = "__fecha_dt"
 
 def parse_snapshots(pages: DataFrame, text: str, fecha: str, hora: str, source: str, origin: str):
     """Snapshot rows (24 columns) from page texts; pages without any reading are dropped."""
-    parsed = pages.withColumn("__p", parse_pollutant_text(F.col(text))).withColumn(
-        "aqi", parse_aqi_text(F.col(text))
-    )
-    any_reading = filters.any_of(
-        [F.col("aqi").isNotNull(), *[F.col(f"__p.{p}_raw").isNotNull() for p in K.SNAPSHOT_POLLUTANTS]]
-    )
-    return parsed.where(any_reading).select(
+    page = F.col(text)
+    cut = filters.bind(pages, {"__part": readings_part(page), "__aqi": parse_aqi_text(page)})
+    mentions = F.struct(*[m.alias(n) for n, m in last_mentions(F.col("__part")).items()])
+    rows = filters.bind(cut, {"__m": mentions}).select(
         F.col(source).alias("__fuente"), F.col(fecha).alias("fecha"), F.col(hora).alias("hora"),
-        F.lit(origin).alias("origen"), "aqi", aqi_category(F.col("aqi")).alias("aqi_category"),
-        *snapshot_fields(F.col("__p")),
+        F.lit(origin).alias("origen"), F.col("__aqi").alias("aqi"),
+        aqi_category(F.col("__aqi")).alias("aqi_category"),
+        *parse_pollutant_text(F.col("__m")),
+        F.greatest("__aqi", *[f"__m.m{i}" for i in range(len(K.SNAPSHOT_SPELLINGS))]).alias("any"),
     )
+    return rows.where("any is not null").drop("any")
 
 
 def open_measurements(

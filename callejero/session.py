@@ -12,7 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot interprets methods over 8000 bytes; beyond that plain code generation is faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
