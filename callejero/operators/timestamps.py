@@ -27,6 +27,11 @@ def split_timestamp(df: DataFrame) -> Column:
     return day + F.make_dt_interval(F.lit(0), F.lit(0), minute)
 
 
+def has_rows(df: DataFrame) -> Column:
+    """Scalar: is there any row? Every task stops at its first one."""
+    return df.select(F.lit(1)).limit(1).agg(F.count(F.lit(1)) > 0).scalar()
+
+
 def build_ts(df: DataFrame) -> Column:
     """Timestamp expression for ``df``.
 
@@ -38,7 +43,7 @@ def build_ts(df: DataFrame) -> Column:
     stamp = split_timestamp(df)
     for name in reversed(named_like(df.columns, K.DATETIME_KEYS)):
         parsed = as_timestamp(df, name)
-        stamp = F.when(df.where(parsed.isNotNull()).exists(), parsed).otherwise(stamp)
+        stamp = F.when(has_rows(df.where(parsed.isNotNull())), parsed).otherwise(stamp)
     return stamp
 
 
