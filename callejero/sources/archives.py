@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.operators.reshape import union_drifting
+from callejero.session import scratch_dir
 from callejero.sources.files import (
     HEAD_LINES, header_names, list_files, open_shared, sniff_separator,
 )
@@ -82,60 +83,78 @@ def _decode(raw: bytes) -> str:
 
 
 def member_lines(members: DataFrame, head_only: bool = False) -> DataFrame:
-    """(archive, member, line_no, line) of the members, UTF-8 with Latin-1 as fallback."""
+    """(archive, member, line_no, line) of the members, UTF-8 with Latin-1 as fallback.
+
+    Lines up to a member's ``skip_to`` line number, if given, are left out.
+    """
+    if "skip_to" not in members.columns:
+        members = members.withColumn("skip_to", F.lit(-1).cast("bigint"))
+    names = ["archive", "member", "line_no", "line"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, member in zip(batch["archive"], batch["member"], strict=True):
-                with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
-                    with archive.open(member) as stream:
-                        rows: list[tuple] = []
-                        for number, raw in enumerate(stream):
-                            line = _decode(raw).rstrip("\r\n").removeprefix("\ufeff")
-                            if line.strip():
-                                rows.append((path, member, number, line))
-                            if head_only and len(rows) >= HEAD_LINES:
-                                break
-                            if len(rows) >= LINES_PER_BATCH:
-                                yield pd.DataFrame(
-                                    rows, columns=["archive", "member", "line_no", "line"])
-                                rows = []
-                yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "line"])
+            wanted = zip(batch["archive"], batch["member"], batch["skip_to"], strict=True)
+            for path, member, skip_to in wanted:
+                rows: list[tuple] = []
+                with (
+                    open_shared(path) as handle,
+                    zipfile.ZipFile(handle) as archive,
+                    archive.open(member) as stream,
+                ):
+                    for number, raw in enumerate(stream):
+                        line = _decode(raw).rstrip("\r\n").removeprefix("\ufeff")
+                        if number > skip_to and line.strip():
+                            rows.append((path, member, number, line))
+                        if head_only and len(rows) >= HEAD_LINES:
+                            break
+                        if len(rows) >= LINES_PER_BATCH:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
+                yield pd.DataFrame(rows, columns=names)
 
     # a hash of both names spreads the members of one archive over the tasks
-    spread = members.select("archive", "member").repartition("archive", "member")
+    spread = members.select("archive", "member", "skip_to").repartition("archive", "member")
     return spread.mapInPandas(
         read, "archive string, member string, line_no bigint, line string"
     )
 
 
-def read_csv_archives(
-    spark: SparkSession, folders: str | list[str], target: dt.date | None = None,
-    name_filter: str = "*.zip",
-) -> DataFrame:
-    """Rows of the chosen members of all archives, stacked by name, all columns text."""
-    chosen = select_members(archive_manifest(list_files(spark, folders, name_filter)), target)
-    heads = (
-        member_lines(chosen, head_only=True)
+def member_heads(members: DataFrame) -> DataFrame:
+    """(archive, member, separator, header, skip_to): the shape of every member."""
+    return (
+        member_lines(members, head_only=True)
         .groupBy("archive", "member")
         .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("head"))
         .select(
             "archive", "member", sniff_separator(F.col("head.line")).alias("separator"),
-            F.col("head.line")[0].alias("header"), F.col("head.line_no")[0].alias("header_no"),
+            F.col("head.line")[0].alias("header"), F.col("head.line_no")[0].alias("skip_to"),
         )
     )
-    shapes = heads.select("separator", "header").distinct().collect()
-    lines = member_lines(chosen).join(heads, ["archive", "member"])
+
+
+def read_csv_archives(
+    spark: SparkSession, folders: str | list[str], target: dt.date | None = None,
+    name_filter: str = "*.zip",
+) -> DataFrame:
+    """Rows of the chosen members of all archives, stacked by name, all columns text.
+
+    The list of chosen members and their shapes is written once to the shared folder,
+    so every archive is listed once and every member read once, whatever the number
+    of shapes.
+    """
+    chosen = select_members(archive_manifest(list_files(spark, folders, name_filter)), target)
+    saved = scratch_dir(spark, "members")
+    member_heads(chosen).write.parquet(saved)
+    heads = spark.read.parquet(saved)
     parts = []
-    for separator, header in sorted(shapes):
+    for separator, header in sorted(heads.select("separator", "header").distinct().collect()):
         names = header_names(header, separator)
         schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
         parsed = F.from_csv("line", schema, {"sep": separator, "quote": '"', "escape": '"'})
+        alike = heads.where((F.col("separator") == separator) & (F.col("header") == header))
         parts.append(
-            lines.where(
-                (F.col("separator") == separator) & (F.col("header") == header)
-                & (F.col("line_no") > F.col("header_no"))
-            ).select("archive", "member", parsed.alias("row")).select("archive", "member", "row.*")
+            member_lines(alike).select("archive", "member", parsed.alias("row"))
+            .select("archive", "member", "row.*")
         )
     if not parts:
         return spark.createDataFrame([], "archive string, member string")
