@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 WORDS_KEPT = 200_000
 SHORT = 48
+IDS = ("array<int>", pa.list_(pa.int32()))
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -147,7 +148,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
     def make(codec: Codec, value: str):
         return (np.frombuffer(codec.encode(value), dtype="<i4"),)
 
-    return _each_text(df, text, ranks, pattern, {"ids": ("array<int>", pa.list_(pa.int32()))}, make)
+    return _each_text(df, text, ranks, pattern, {"ids": IDS}, make)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -163,16 +164,17 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
     return df.withColumn(out, joined(F.col(ids)))
 
 
-def digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """Add ``n_tokens``, the digest of the ids and the digest of what they decode to."""
+def digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
+            with_ids: bool = False) -> DataFrame:
+    """Add ``n_tokens``, the digest of the ids and the digest of what they decode to; and ``ids`` if asked for."""
     def make(codec: Codec, value: str):
         ids = codec.encode(value)
-        return (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                hashlib.sha256(codec.decode(ids)).hexdigest())
+        made = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest())
+        return made + (np.frombuffer(ids, dtype="<i4"),) if with_ids else made
 
-    return _each_text(df, text, ranks, pattern, {
-        "n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()),
-        "decoded_sha256": ("string", pa.string())}, make)
+    added = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()),
+             "decoded_sha256": ("string", pa.string())}
+    return _each_text(df, text, ranks, pattern, added | ({"ids": IDS} if with_ids else {}), make)
 
 
 # -- the fold as a higher-order function --------------------------------------

@@ -1,10 +1,86 @@
-"""Documents to training tokens, in stages that are each written and read again."""
+"""Documents to training tokens, in stages that are each written and read again.
+
+Every stage works on all rows its predecessor kept and drops what its operator
+rejects; a row whose id is null can't be rejected by id and stays. The last stage
+returns the token ids instead of the text.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from callejero.llm import bpe, decontaminate, hierarchy, language, neardup
+from callejero.session import scratch_dir
+
+TOKENIZER = "byte_bpe_50k.tiktoken"
+#: documents below this probability of being good go
+LEAST_QUALITY = 0.5
+#: near copies share at least this percentage of their runs of so many words
+SHINGLE, PERCENT = 5, 80
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop texts without a letter and those whose language is ambiguous."""
+    judged = language.predict(docs, language.train(docs))
+    return judged.filter((judged["lang_pred"] != language.UNKNOWN) & ~judged["ambiguous"]).select(*docs.columns)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are probably bad, judged by text, site and section."""
+    judged = hierarchy.assess(docs, _table(spark, sf_dir, "labels"), threshold=LEAST_QUALITY)
+    return _without(docs, judged.filter("NOT kept"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the least id of each group of near copies."""
+    found = neardup.components(docs, SHINGLE, PERCENT)
+    return _without(docs, found.filter("component_id <> doc_id"))
+
+
+def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents with a passage of a benchmark item."""
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.filter("n_hit > 0"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether they decode to its text."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    ranks = bpe.load_ranks(public_tokenizers.path(TOKENIZER))
+    made = bpe.digests(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN, with_ids=True)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return made.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256",
+                       (F.col("decoded_sha256") == digest).alias("round_trip"))
+
+
+STAGES = [
+    ("language", known_language),
+    ("quality", good_quality),
+    ("near copies", one_of_near_copies),
+    ("decontamination", clean_of_benchmarks),
+    ("tokens", tokens),
+]
+
+# models are fitted in the first two stages, which SQL can't express
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written to the shared folder and read by the next."""
+    docs = _table(spark, sf_dir, "documents")
+    folder = scratch_dir(spark, "pipeline")
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name.replace(' ', '-')}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
