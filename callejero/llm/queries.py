@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callejero.llm import (
-    bpe, decontaminate, hierarchy, language, neardup, repetition, sharding, tagpaths, toxicity, urlfilter,
+    bpe, decontaminate, hierarchy, language, neardup, oracles, repetition, sharding, tagpaths, toxicity, urlfilter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,16 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@query()
+LIMITS = repetition.Limits()
+
+
+@query(oracles.repetition(repetition.WINDOW, LIMITS.least, LIMITS.share, LIMITS.longest))
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and whether its repeats are within limits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repetition.judge(docs).select(
+    return repetition.judge(docs, limits=LIMITS).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "covered_words")
 
 
-@query()
+@query(oracles.neardup(4, neardup.PERCENT))
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document among texts that share four fifths of their shingles."""
     found = neardup.components(table(spark, sf_dir, "documents"), shingle=4)
@@ -70,7 +73,8 @@ URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "b
              "com/de/": "block"}
 
 
-@query()
+@query(oracles.url_models(URL_RULES, urlfilter.ORDER, urlfilter.ALPHABET, urlfilter.SCALE, urlfilter.BIN,
+                          urlfilter.LAST_BIN))
 def op5_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the address of every page, by rule or else by the character models."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -84,7 +88,7 @@ def op6_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpaths.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
-@query()
+@query(oracles.winnowing(decontaminate.WINDOW))
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside passages of benchmark items, and these items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -117,7 +121,7 @@ SHARDS = 16
 SHARD_SEED = "callejero"
 
 
-@query()
+@query(oracles.sharding(SHARDS, SHARD_SEED))
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of the mixture of all sources; counts differ by one at most."""
     placed = sharding.interleave(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
