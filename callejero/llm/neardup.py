@@ -246,38 +246,42 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: s
     digest = ["n", "d1", "d2"]
     filled = rows.filter("n > 0 AND id IS NOT NULL")
     classes = folder.keep(filled.groupBy(*digest).agg(F.min("id").alias("rep")))
-    members = folder.keep(filled.join(classes, digest).filter("id = rep").select(
-        "id", *SIGNATURE, F.explode("bands").alias("bucket")))
+    reps = folder.keep(filled.join(classes, digest).filter("id = rep").select("id", *SIGNATURE, "bands"))
+    members = reps.select("id", *SIGNATURE, F.explode("bands").alias("bucket"))
     hubs = folder.keep(members.groupBy("bucket").agg(
         F.min(F.col("id").bitwiseXOR(F.col("bucket"))).alias("least"), F.count("*").alias("size")).filter("size > 1").select(
         "bucket", F.col("least").bitwiseXOR(F.col("bucket")).alias("hub"), "size"))
-    signatures = folder.keep(members.select("id", *SIGNATURE).distinct())
-
-    def signed(side: str) -> DataFrame:
-        return signatures.select(F.col("id").alias(side), *[F.col(s).alias(f"{side}{s}") for s in SIGNATURE])
-
-    stars = members.select("id", "bucket").join(hubs, "bucket").filter("id <> hub").select(
-        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    stars = folder.keep(stars.join(signed("a"), "a").join(signed("b"), "b").withColumn("e", estimate("a", "b")).filter(
-        F.col("e") >= ESTIMATE).select("a", "b", "e"))
+    signed = folder.keep(hubs.join(
+        reps.select(F.col("id").alias("hub"), *[F.col(s).alias(f"h{s}") for s in SIGNATURE]), "hub"))
+    stars = folder.keep(members.join(
+        signed, (members["bucket"] == signed["bucket"]) & (F.col("id") != F.col("hub")) & (estimate("", "h") >= ESTIMATE),
+    ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), estimate("", "h").alias("e")).distinct())
     labels = _resolve(stars, None, docs, folder, shingle, percent)
 
-    crowd = members.join(hubs.filter("size > 2"), "bucket")
+    # a pair is compared in the first band it shares; band keys differ from band to band
+    crowd = reps.select("id", *SIGNATURE, "bands", F.posexplode("bands").alias("band", "bucket")).withColumn(
+        "earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands", "band").join(
+        hubs.filter("size > 2").select("bucket", "hub"), "bucket").filter("id <> hub")
     if labels is not None:
         crowd = crowd.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").join(
             labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
         crowd = crowd.withColumn("label", F.coalesce("label", "id")).withColumn("hub_label", F.coalesce("hub_label", "hub"))
     else:
         crowd = crowd.withColumn("label", F.col("id")).withColumn("hub_label", F.col("hub"))
-    crowd = folder.keep(crowd.filter("id <> hub").select(
-        "bucket", "id", "label", (F.col("label") == F.col("hub_label")).alias("inner"), *SIGNATURE))
+    crowd = crowd.select("bucket", "id", "label", (F.col("label") == F.col("hub_label")).alias("inner"), *SIGNATURE, "earlier")
+    # a bucket whose members are all of the hub's component has nothing left to compare
+    crowd = folder.keep(crowd)
     outer = folder.keep(crowd.filter("NOT inner"))
     if not outer.isEmpty():
-        left = outer.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), *[F.col(s).alias(f"a{s}") for s in SIGNATURE])
-        right = crowd.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"), "inner",
-                             *[F.col(s).alias(f"b{s}") for s in SIGNATURE])
-        others = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("la") != F.col("lb"))
-                           & (F.col("inner") | (F.col("a") < F.col("b"))) & (estimate("a", "b") >= ESTIMATE))
+        crowd = crowd.join(outer.select("bucket").distinct(), "bucket", "left_semi")
+
+        def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+            return rows.select(F.col("bucket").alias(f"{name}bucket"), F.col("id").alias(name), F.col("label").alias(f"l{name}"),
+                               F.col("earlier").alias(f"{name}earlier"), *more, *[F.col(s).alias(f"{name}{s}") for s in SIGNATURE])
+
+        others = side(outer, "a").join(side(crowd, "b", "inner"), (F.col("abucket") == F.col("bbucket"))
+                                       & (F.col("la") != F.col("lb")) & (F.col("inner") | (F.col("a") < F.col("b")))
+                                       & (estimate("a", "b") >= ESTIMATE) & ~F.arrays_overlap("aearlier", "bearlier"))
         others = others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                                estimate("a", "b").alias("e")).distinct()
         others = folder.keep(others.join(stars, ["a", "b"], "left_anti"))
