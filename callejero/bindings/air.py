@@ -113,13 +113,14 @@ def q_air_compare(spark, sf_dir):
 
 @query(f"""{with_views('v_snapshot')}, {LONG}
 SELECT {sql.iso('fecha')} AS fecha, pollutant, 'NA' AS open_value, 'NA' AS open_unit,
+  round(try_cast(acc_value_ugm3 AS DOUBLE), 6) AS acc_value_ugm3,
   coalesce(acc_raw, 'NA') AS acc_raw, coalesce(acc_unit, 'NA') AS acc_unit, aqi,
   coalesce(aqi_category, 'NA') AS aqi_category, 'NA' AS delta_ugm3_acc_minus_open FROM snap""")
 def q_air_fallback(spark, sf_dir):
     """No measurement falls in the window, so the snapshot rows stand alone."""
     tables = {"medidas.csv": spark_view(spark, sf_dir, "v_air")}
     out = jobs.air_comparison(tables, _snapshots(spark, sf_dir), day="1980-01-01")
-    return out.drop("acc_value_ugm3")
+    return out.withColumn("acc_value_ugm3", F.round(F.col("acc_value_ugm3").try_cast("double"), 6))
 
 
 @query(f"""{with_views('v_snapshot')} SELECT count(*) AS n FROM v_snapshot WHERE false""")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zipfile
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from callejero import sinks
@@ -10,9 +14,11 @@ from callejero.bindings.views import spark_view, table, with_views
 from callejero.functions.labels import dataset_label
 from callejero.operators.filters import location_any
 from callejero.plans.climate import climate_daily, climate_monthly
-from callejero.plans.datasheet import datasheet, plain_path, relative_to
+from callejero.plans.datasheet import datasheet, empty_inputs, plain_path, relative_to
+from callejero.plans.transit import load_feed
 from callejero.session import scratch_dir
 from callejero.sources import archives, readers
+from callejero.sources.files import create_shared, file_heads, sniff_separator
 
 INCIDENTS = with_views("v_incidents")
 ROW = ["event_id", "fecha", "hora", "calle", "distrito"]
@@ -25,14 +31,19 @@ def _incidents(spark, sf_dir):
 
 @query(f"""{INCIDENTS} SELECT {TEXT}, NULL AS valor FROM v_incidents
 UNION ALL SELECT CAST(event_id AS STRING), NULL, NULL, calle, NULL, CAST(CAST(floor(valor) AS BIGINT) AS STRING)
+FROM v_incidents
+UNION ALL SELECT CAST(event_id AS STRING), fecha, NULL, calle || chr(10) || coalesce(distrito, 'ñ'), NULL, NULL
 FROM v_incidents""")
 def q_read_auto(spark, sf_dir):
-    """Files with two separators and two sets of columns, under one folder."""
+    """Files of three shapes under one folder: two separators, one of them Latin-1 with a
+    line break inside a quoted cell and a name in capitals."""
     root = scratch_dir(spark, "auto")
     df = spark_view(spark, sf_dir, "v_incidents")
     sinks.write_csv(df.select(*ROW), f"{root}/a", separator="|")
     whole = F.floor("valor").cast("bigint").alias("valor")
     sinks.write_csv(df.select("event_id", "calle", whole), f"{root}/b", separator=",")
+    both = F.concat("calle", F.lit("\n"), F.coalesce("distrito", F.lit("ñ"))).alias("CALLE")
+    sinks.write_csv(df.select("event_id", "fecha", both), f"{root}/c", encoding="ISO-8859-1")
     return readers.read_delimited_auto(spark, root)
 
 
@@ -167,16 +178,16 @@ def q_climate_monthly(spark, sf_dir):
     months = spark_view(spark, sf_dir, "v_climate_monthly")
     months.write.option("encoding", "ISO-8859-1").json(path)
     records = readers.read_climate_json(spark, path, monthly=True, multi_line=False)
-    return climate_monthly(records.where("fecha like '1998-%'"), 1998)
+    return climate_monthly(records, 1998)
 
 
 @query(f"""{with_views('v_manifest')} SELECT archive, member, size, CAST(rank AS INT) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY archive ORDER BY
     CASE WHEN contains(member, substr(archive, 9, 4)) AND contains(member, substr(archive, 6, 2))
       THEN 0 ELSE 1 END, pos, member) AS rank FROM v_manifest)
-WHERE rank <= 8 AND size <= 80 * 1024 * 1024""")
+""")
 def q_archive_members(spark, sf_dir):
-    """Which members to read of each archive, by the month in the archive's name."""
+    """The order in which to read the members of each archive, by the month in the archive's name."""
     chosen = archives.select_members(spark_view(spark, sf_dir, "v_manifest"))
     return chosen.select("archive", "member", "size", "rank")
 
@@ -223,8 +234,68 @@ def q_read_results(spark, sf_dir):
     per_file = lines.groupBy(plain_path(F.col(readers.PATH)).alias("plain")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    files = listing.withColumn("plain", plain_path(F.col("path"))).join(per_file, "plain")
+    named = F.regexp_replace(F.col("lines")[0], '"[^"]*"', "")
+    columns = F.size(F.split(named, F.concat(F.lit("\\Q"), sniff_separator(F.col("lines")), F.lit("\\E"))))
+    heads = file_heads(listing).select("path", columns.alias("columns"))
+    files = listing.join(heads, "path").withColumn("plain", plain_path(F.col("path"))).join(per_file, "plain")
     label = dataset_label(relative_to(F.col("path"), root))
     return files.groupBy(label.alias("dataset")).agg(
-        F.lit(3).alias("n_columns"), F.sum("n_rows").alias("n_rows")
+        F.max("columns").alias("n_columns"), F.sum("n_rows").alias("n_rows")
     )
+
+
+@query("""SELECT 'resultados ' || lower(v) AS dataset FROM (VALUES ('A'), ('N'), ('R'), ('X'), ('Y')) AS t(v)
+WHERE v NOT IN (SELECT l_returnflag FROM lineitem)""")
+def q_empty_inputs(spark, sf_dir):
+    """Result files below whose header nothing stands."""
+    root = scratch_dir(spark, "empties")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    for flag in "ANRXY":
+        sinks.write_csv(items.where(F.col("l_returnflag") == flag), f"{root}/Resultados {flag}")
+    return empty_inputs(spark, root).select("dataset").distinct()
+
+
+@query("""SELECT CAST(c_custkey AS STRING) AS clave, c_mktsegment AS uso, NULL AS saldo FROM customer WHERE c_custkey % 12 < 11
+UNION ALL SELECT CAST(c_custkey AS STRING), NULL, 'línea ' || CAST(c_nationkey AS STRING) || chr(10) || 'dos'
+FROM customer WHERE c_custkey % 12 = 11""")
+def q_read_archives(spark, sf_dir):
+    """Archives of a thousand customers in twelve members, the last in another shape and Latin-1."""
+    root = scratch_dir(spark, "archives")
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment", F.floor(F.col("c_custkey") / 1000).cast("bigint").alias("part"))
+
+    def write(rows):
+        name = f"{root}/datos-{rows['part'].iloc[0]}.zip"
+        with create_shared(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            for member, own in rows.groupby(rows["c_custkey"] % 12):
+                if member < 11:
+                    lines = ["clave;uso", *[f"{r.c_custkey};{r.c_mktsegment}" for r in own.itertuples()]]
+                    text = "\n".join(lines).encode()
+                else:
+                    lines = ["clave,saldo", *[f'{r.c_custkey},"línea {r.c_nationkey}\ndos"' for r in own.itertuples()]]
+                    text = "\r\n".join(lines).encode("latin-1")
+                archive.writestr(f"m{member:02d}.csv", text)
+        return pd.DataFrame({"name": [name]})
+
+    customers.groupBy("part").applyInPandas(write, "name string").write.text(f"{root}/names")
+    return archives.read_csv_archives(spark, root).drop("archive", "member")
+
+
+@query(f"""{with_views('v_trips', 'v_calendar', 'v_stop_times')}
+SELECT 'trips' AS tabla, count(*) AS n, count(DISTINCT service_id) AS claves FROM v_trips
+UNION ALL SELECT 'calendar', count(*), count(DISTINCT service_id) FROM v_calendar
+UNION ALL SELECT 'stop_times', count(*), count(DISTINCT trip_id) FROM v_stop_times
+UNION ALL SELECT 'calendar_dates', count(*) FILTER (false), count(DISTINCT service_id) FILTER (false) FROM v_trips""")
+def q_read_gtfs(spark, sf_dir):
+    """A feed written as text and loaded again; a table it lacks is empty."""
+    root = scratch_dir(spark, "gtfs")
+    for name in ("trips", "calendar", "stop_times"):
+        sinks.write_csv(spark_view(spark, sf_dir, f"v_{name}"), f"{root}/{name}.txt", separator=",")
+    feed = load_feed(spark, root)
+    parts = [
+        getattr(feed, name).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("claves")).select(
+            F.lit(name).alias("tabla"), "n", "claves")
+        for name, key in (("trips", "service_id"), ("calendar", "service_id"), ("stop_times", "trip_id"),
+                          ("calendar_dates", "service_id"))
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

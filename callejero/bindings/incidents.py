@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.bindings import query, sql
-from callejero.bindings.views import spark_view, with_views
+from callejero.bindings.views import spark_view, table, with_views
 from callejero.functions.clock import hour_of, to_hour_minute
 from callejero.functions.dates import date_argument, within_months
 from callejero.operators import filters
@@ -102,10 +102,26 @@ def q_location_missing_all(spark, sf_dir):
     return filters.location_any(df, "alcala", K.STATION_KEYS, on_missing="all")
 
 
-@query(f"{INCIDENTS} SELECT event_id, fecha FROM v_incidents WHERE false")
+@query(f"""{INCIDENTS} SELECT event_id, 'con calle' AS tabla FROM v_incidents
+WHERE contains({sql.fold('calle')}, 'alcala')""")
 def q_location_missing_empty(spark, sf_dir):
-    df = _incidents(spark, sf_dir).select("event_id", "fecha")
-    return filters.location_any(df, "alcala", K.STREET_KEYS)
+    """Of a table with and one without location columns, the second is emptied."""
+    df = _incidents(spark, sf_dir)
+    parts = [
+        filters.location_any(table, "alcala", K.STREET_KEYS).select("event_id", F.lit(label).alias("tabla"))
+        for label, table in (("con calle", df.select("event_id", "calle")),
+                             ("sin calle", df.select("event_id", "fecha")))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS fecha FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-03-31' AND DATE '1998-05-31'""")
+def q_date_window_typed(spark, sf_dir):
+    """A stored timestamp is compared as it is, so that the scan prunes by the window."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("fecha"))
+    kept = filters.date_window(orders, "1998-05-31", 2)
+    return kept.select("o_orderkey", F.date_format("fecha", "yyyy-MM-dd").alias("fecha"))
 
 
 @query(f"""{INCIDENTS} SELECT {ROW} FROM v_incidents

@@ -11,39 +11,28 @@ from callejero.operators import links as link_operators
 from callejero.operators.reshape import first_nonempty
 from callejero.sources import documents
 
-CLEAN = sql.quoted(r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>")
-ANCHOR = sql.quoted(
-    r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"""
-)
-TAG = sql.quoted(r"(?is)<[a-z][^>]*\sdata-(?:url|href)\s*=[^>]*>")
+_ROOT = "regexp_extract(page, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+# What the pages hold: menu links of their own, all of one plain form, and then what v_pages adds
+_OWN = sql.quoted('<a href="(/[^"]*)">([^<]*)</a>')
 
 
 def _plain(x: str) -> str:
-    for entity, char in documents.ENTITIES:
-        x = f"replace({x}, {sql.quoted(entity)}, {sql.quoted(char)})"
-    return x
-
-
-def _bare(x: str) -> str:
-    return f"trim({_plain(f'''regexp_replace({x}, {sql.quoted('^[' + chr(34) + chr(39) + ']|[' + chr(34) + chr(39) + ']$')}, '', 'g')''')})"
-
-
-def _absolute(x: str) -> str:
-    return (f"CASE WHEN starts_with({x}, '//') THEN 'https:' || {x} WHEN starts_with({x}, '/') "
-            f"THEN regexp_extract(page, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {x} "
-            f"ELSE {x} END")
-
-
-_LABEL = r"'[\s\x{A0}]+'"
-ANCHORS = f"""{with_views('v_pages', 'v_responses')},
-bodies AS (SELECT page_id, url AS page, regexp_replace(html, {CLEAN}, '', 'g') AS body FROM v_pages),
-found AS (SELECT page_id, page, regexp_extract_all(body, {ANCHOR}, 1) AS hrefs,
-                 regexp_extract_all(body, {ANCHOR}, 2) AS texts FROM bodies),
-raw AS (SELECT page, CAST(i - 1 AS INT) AS pos,
-          trim(regexp_replace({_plain("regexp_replace(texts[i], '<[^>]+>', ' ', 'g')")}, {_LABEL}, ' ', 'g')) AS label,
-          {_bare('hrefs[i]')} AS link
-        FROM found, unnest(range(1, len(hrefs) + 1)) AS r(i)),
-anchors AS (SELECT page, pos, label, {_absolute('link')} AS href FROM raw)"""
+    return f"replace(replace({x}, '&quot;', '\"'), '&amp;', '&')"
+
+
+ANCHORS = f"""{with_views('v_answers')},
+own AS (SELECT page_id, url AS page, regexp_extract_all(html, {_OWN}, 1) AS hrefs, regexp_extract_all(html, {_OWN}, 2) AS texts FROM pages),
+added AS (SELECT page_id, page, CAST(len(hrefs) AS INT) AS n, CAST(page_id AS STRING) AS id FROM own),
+anchors AS (
+  SELECT page, CAST(i - 1 AS INT) AS pos, trim({_plain('texts[i]')}) AS label, {_ROOT} || {_plain('hrefs[i]')} AS href
+  FROM own, unnest(range(1, len(hrefs) + 1)) AS r(i)
+  UNION ALL SELECT page, n, 'Mapa', 'https://example.org/datos?x=1&f=json' FROM added WHERE page_id % 3 = 1
+  UNION ALL SELECT page, n, 'Descarga datos de órdenes é', {_ROOT} || '/download/' || id || '.csv' FROM added WHERE page_id % 3 = 2
+  UNION ALL SELECT page, n + 1, 'json', 'https://cdn.example.org/d/' || id || '.json' FROM added WHERE page_id % 3 = 2),
+attributes AS (
+  SELECT page, CAST(0 AS INT) AS pos, {_ROOT} || '/descarga/' || id || '.csv' AS href FROM added WHERE page_id % 3 = 0
+  UNION ALL SELECT page, 1, {_ROOT} || '/mapa/wms' FROM added WHERE page_id % 3 = 0
+  UNION ALL SELECT page, 0, 'https://cdn.example.org/' || id || '.zip' FROM added WHERE page_id % 3 = 1)"""
 # the pages' own links name no data, so each gets a suffix by its place
 SUFFIXES = ["", ".csv", ".json", ".zip", "/download"]
 SUFFIXED = f"""{ANCHORS}, links AS (
@@ -92,20 +81,10 @@ def q_anchors(spark, sf_dir):
     return documents.absolute_links(documents.extract_anchors(_pages(spark, sf_dir)))
 
 
-def _attribute(name: str) -> str:
-    form = sql.quoted(rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
-    return f"nullif({_bare(f'regexp_extract(tag, {form}, 1)')}, '')"
-
-
 @query(f"""{SUFFIXED.replace('links AS', 'unused AS')},
-links AS (SELECT * FROM anchors), {_scored(False)},
-tags AS (SELECT page, CAST(i - 1 AS INT) AS pos, all_tags[i] AS tag
-  FROM (SELECT page, regexp_extract_all(body, {TAG}, 0) AS all_tags FROM bodies),
-    unnest(range(1, len(all_tags) + 1)) AS r(i)),
-values_ AS (SELECT page, pos, coalesce({_attribute('data-url')}, {_attribute('data-href')}) AS v FROM tags)
-SELECT page, pos, {_absolute('v')} AS href FROM values_
-WHERE v IS NOT NULL AND page NOT IN (SELECT page FROM scored)
-  AND NOT regexp_matches(lower(v), '{EXCLUDED.replace("{zip}", "")}')""")
+links AS (SELECT * FROM anchors), {_scored(False)}
+SELECT page, pos, href FROM attributes WHERE page NOT IN (SELECT page FROM scored)
+  AND NOT regexp_matches(lower(href), '{EXCLUDED.replace("{zip}", "")}')""")
 def q_anchors_fallback(spark, sf_dir):
     """Data attributes of the pages where no anchor looks like data."""
     pages = _pages(spark, sf_dir)
@@ -161,29 +140,42 @@ def q_response_type(spark, sf_dir):
     )
 
 
-@query(f"""{SUFFIXED}, {_scored(False)},
-answers AS (SELECT DISTINCT href, CASE length(href) % 3 WHEN 0 THEN 'text/csv' WHEN 1 THEN 'text/html'
-  ELSE NULL END AS content_type, CASE WHEN length(href) % 7 = 0 THEN 404 ELSE 200 END AS status
-  FROM links),
-good AS (SELECT s.* FROM scored s JOIN answers a USING (href) WHERE status < 400
-  AND (coalesce(content_type, '') = 'text/csv' OR lower(href) LIKE '%.csv'
-    OR lower(href) LIKE '%.json' OR lower(href) LIKE '%.geojson'))
+_GOOD = """good AS (SELECT href, final_url FROM (SELECT *, '' AS fname FROM v_answers) WHERE status < 400 AND {is_data})"""
+
+
+@query(f"""{ANCHORS}, links AS (SELECT * FROM anchors), {_scored(False)}, {_GOOD.format(is_data=_IS_DATA)}
 SELECT page, score, pos, label, href FROM (
-  SELECT *, row_number() OVER (PARTITION BY page ORDER BY score, pos, label, href) AS rank FROM good)
+  SELECT page, score, pos, label, final_url AS href,
+    row_number() OVER (PARTITION BY page ORDER BY score, pos) AS rank FROM scored JOIN good USING (href))
 WHERE rank = 1""")
 def q_link_accepted(spark, sf_dir):
     """The best link whose logged response is data; refused and wrong ones are passed over."""
-    links = _links(spark, sf_dir)
-    size = F.char_length("href")
-    responses = links.select("href").distinct().select(
-        "href", F.col("href").alias("final_url"), F.lit(None).cast("string").alias("disposition"),
-        F.when(size % 7 == 0, 404).otherwise(200).alias("status"),
-        F.when(size % 3 == 0, "text/csv").when(size % 3 == 1, "text/html").alias("content_type"),
+    anchors = documents.absolute_links(documents.extract_anchors(_pages(spark, sf_dir)))
+    accepted = link_operators.accepted_links(
+        link_operators.score_links(anchors), spark_view(spark, sf_dir, "v_answers")
     )
-    accepted = link_operators.accepted_links(link_operators.score_links(links), responses)
     return link_operators.best_links(accepted.drop("kind"))
 
 
+@query(f"""{ANCHORS}, links AS (SELECT * FROM anchors), {_scored(False)}, {_GOOD.format(is_data=_IS_DATA)},
+ranked AS (
+  SELECT page, 1 AS stage, score, pos, final_url AS href FROM scored JOIN good USING (href)
+  UNION ALL SELECT page, 2, 0, pos, final_url FROM attributes JOIN good USING (href)
+  WHERE NOT regexp_matches(lower(href), '{EXCLUDED.replace("{zip}", "")}')),
+best AS (SELECT page, stage, href FROM (
+  SELECT *, row_number() OVER (PARTITION BY page ORDER BY stage, score, pos) AS rank FROM ranked) WHERE rank = 1)
+SELECT url AS page, CASE WHEN contains(url, 'example.org') THEN 'https://datos.example/a.csv' ELSE href END AS href,
+  CASE WHEN contains(url, 'example.org') THEN 'override' WHEN stage = 1 THEN 'anchor' WHEN stage = 2 THEN 'attribute' END AS origin
+FROM pages LEFT JOIN best ON best.page = pages.url""")
+def q_link_resolve(spark, sf_dir):
+    """The one data link of each page: fixed, else the best anchor that answers with data, else
+    the first data attribute that does."""
+    return link_operators.resolve_links(
+        _pages(spark, sf_dir), spark_view(spark, sf_dir, "v_answers"),
+        {"example.org": "https://datos.example/a.csv"},
+    )
+
+
 @query("""SELECT page_id, url AS page, CASE WHEN contains(url, 'example.org') THEN
   'https://datos.example/a.csv' WHEN contains(url, '/fr/') THEN 'https://datos.example/b.csv' END
   AS forced FROM pages WHERE url LIKE 'https:%'""")
@@ -199,24 +191,23 @@ def q_link_override(spark, sf_dir):
     )
 
 
-@query("""WITH kept AS (SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_quantity
-  FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49)
-SELECT * FROM kept WHERE l_linenumber =
-  (SELECT min(l_linenumber) FROM kept k WHERE k.l_suppkey = kept.l_suppkey)""")
+@query("""SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_quantity FROM lineitem l
+WHERE l_linenumber = (SELECT min(l_linenumber) FROM lineitem k WHERE k.l_suppkey = l.l_suppkey)""")
 def q_first_nonempty(spark, sf_dir):
-    """Per supplier the lowest line number with any surviving row."""
-    items = table(spark, sf_dir, "lineitem")
-    kept = items.where("l_returnflag = 'R' and l_quantity > 49").select(
+    """Per supplier the lowest line number with any row."""
+    items = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", "l_quantity"
     )
-    return first_nonempty(kept, "l_suppkey", "l_linenumber")
+    return first_nonempty(items, "l_suppkey", "l_linenumber")
 
 
 _XML = """
 SELECT page_id, CASE WHEN page_id % 9 = 8 THEN '<rdf:RDF><roto' ELSE
   '<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" '
   || 'xmlns:dcat="http://www.w3.org/ns/dcat#" xmlns:dct="http://purl.org/dc/terms/">'
+  || CASE WHEN page_id % 4 = 2 THEN '<dcat:Catalog><dcat:record>' ELSE '' END
   || CASE WHEN page_id % 2 = 0 THEN '<dcat:Dataset><dcat:distribution>' ELSE '' END
+  || '<o:Distribution xmlns:o="http://other.example/"><dct:title>Ajena</dct:title></o:Distribution>'
   || '<dcat:Distribution><dct:title> Datos JSON ' || CAST(page_id AS STRING)
   || '</dct:title><dcat:accessURL rdf:resource="https://example.org/' || CAST(page_id AS STRING)
   || '.json"/></dcat:Distribution>'
@@ -225,6 +216,7 @@ SELECT page_id, CASE WHEN page_id % 9 = 8 THEN '<rdf:RDF><roto' ELSE
   || '<dcat:accessURL rdf:resource="https://example.org/t/' || CAST(page_id AS STRING)
   || '"/></dcat:Distribution>'
   || CASE WHEN page_id % 2 = 0 THEN '</dcat:distribution></dcat:Dataset>' ELSE '' END
+  || CASE WHEN page_id % 4 = 2 THEN '</dcat:record></dcat:Catalog>' ELSE '' END
   || '<dcat:Distribution><dct:title>Sin enlace</dct:title></dcat:Distribution></rdf:RDF>'
   END AS xml
 FROM {pages}"""
@@ -236,6 +228,6 @@ UNION ALL
 SELECT page_id, 1, 'Datos JSON ' || CAST(page_id AS STRING), '',
   'https://example.org/' || CAST(page_id AS STRING) || '.json' FROM pages WHERE page_id % 9 <> 8""")
 def q_dcat(spark, sf_dir):
-    """A catalogue record per page; some are broken, some nest their distributions."""
+    """A catalogue record per page; some are broken, some nest their distributions at some depth."""
     docs = spark.sql(_XML, pages=table(spark, sf_dir, "pages"))
     return documents.extract_dcat_distributions(docs, "page_id", "xml")

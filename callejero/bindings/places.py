@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callejero.bindings import query, sql
-from callejero.bindings.views import spark_view, with_views
+from callejero.bindings.views import spark_view, table, with_views
 from callejero.operators.aggregates import distance_bands, distance_stats
 from callejero.operators.filters import with_distance
 from callejero.operators.ordering import nearest
-from callejero.operators.roles import name_column
+from callejero.operators.reshape import add_missing, ordered_distinct
+from callejero.operators.roles import address_column, col, name_column
 from callejero.plans import parking as jobs
 
 PARKING = with_views("v_parking") + f""", located AS (
@@ -90,6 +91,22 @@ def q_distance_stats(spark, sf_dir):
     return stats.withColumns({c: F.round(c, 6) for c in numbers})
 
 
+@query(f"""{PARKING} SELECT pk, nombre AS name, via AS address, CAST(NULL AS INT) AS plazas FROM located""")
+def q_name_and_address(spark, sf_dir):
+    """The columns that hold names and addresses, and one the table lacks."""
+    found = jobs.located(_raw(spark, sf_dir))
+    name, address = name_column(found.columns), address_column(found.columns)
+    return add_missing(found, {"plazas": "int"}).select(
+        "pk", col(name).alias("name"), col(address).alias("address"), "plazas"
+    )
+
+
+@query("""SELECT event_type, min(event_id) AS event_id FROM events GROUP BY event_type""")
+def q_ordered_distinct(spark, sf_dir):
+    """Distinct values, each with the position it first stands at."""
+    return ordered_distinct(table(spark, sf_dir, "events"), "event_type", "event_id")
+
+
 @query(f"""{PARKING} SELECT count(*) AS n, count(*) AS n_stamped, 1 AS n_runs FROM located""")
 def q_extraction_ts(spark, sf_dir):
     """Every row carries the one time of extraction of its run."""

@@ -153,8 +153,8 @@ _LABEL_CASE = " ".join(
 
 @query(rf"""{with_views('v_paths')} SELECT doc_id, ruta, CASE {_LABEL_CASE}
   WHEN contains(ruta, '/') AND regexp_extract(lower(ruta), '([^/]*)/[^/]*$', 1) <> ''
-    THEN left(regexp_extract(lower(ruta), '([^/]*)/[^/]*$', 1), 31)
-  ELSE left(regexp_extract(ruta, '([^/]+)\.[^.]*$', 1), 31) END AS dataset FROM v_paths""")
+    THEN regexp_extract(lower(ruta), '([^/]*)/[^/]*$', 1)
+  ELSE regexp_extract(ruta, '([^/]+)\.[^.]*$', 1) END AS dataset FROM v_paths""")
 def q_dataset_label(spark, sf_dir):
     paths = spark_view(spark, sf_dir, "v_paths")
     return paths.withColumn("dataset", labels.dataset_label(F.col("ruta")))

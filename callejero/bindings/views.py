@@ -287,10 +287,24 @@ SELECT page_id, url,
               || '.csv" data-href="/otro">x</button><p data-url="/mapa/wms">y</p>'
          WHEN 1 THEN '<div data-href="//cdn.example.org/' || CAST(page_id AS STRING)
               || '.zip"></div><a href="https://example.org/datos?x=1&amp;f=json">Mapa</a>'
-         ELSE '<a class="d" href="/download/' || CAST(page_id AS STRING)
-              || '.csv">Descarga  <b>datos</b></a><a href="//cdn.example.org/d/'
+         ELSE '<a class="d" title="a > b &amp; href=/no" href="/download/' || CAST(page_id AS STRING)
+              || '.csv">Descarga  <b>datos</b> de &oacute;rdenes &#233;</a><a href="//cdn.example.org/d/'
               || CAST(page_id AS STRING) || '.json">json</a>' END AS html
 FROM {pages}
+""",
+    # what the servers answered for the data links of v_pages, one row per link
+    "v_answers": """
+SELECT DISTINCT href, href AS final_url, CAST(NULL AS STRING) AS disposition,
+       CASE page_id % 3 WHEN 0 THEN 'text/csv' WHEN 1 THEN 'text/html' ELSE NULL END AS content_type,
+       CASE WHEN page_id % 7 = 0 THEN 404 ELSE 200 END AS status
+FROM (
+  SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/descarga/' || CAST(page_id AS STRING) || '.csv' AS href
+  FROM {pages} WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id + 1, 'https://cdn.example.org/' || CAST(page_id AS STRING) || '.zip' FROM {pages} WHERE page_id % 3 = 1
+  UNION ALL SELECT page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/download/' || CAST(page_id AS STRING) || '.csv'
+  FROM {pages} WHERE page_id % 3 = 2
+  UNION ALL SELECT page_id + 1, 'https://cdn.example.org/d/' || CAST(page_id AS STRING) || '.json' FROM {pages} WHERE page_id % 3 = 2
+) AS links
 """,
     # what the servers answered for the links of a crawl
     "v_responses": """

@@ -124,12 +124,9 @@ DATASET_LABELS = [
     ("aemet", "clima"), ("radar", "radares"), ("camara", "radares"),
     ("calidad_aire", "calidad_aire"), ("accidente", "accidentes"),
 ]
-SHEET_NAME_LIMIT = 31
 
 # --- limits and places --------------------------------------------------------
 SEPARATORS = [";", ",", "\t", "|"]
-MAX_MEMBERS_PER_ARCHIVE = 8
-MAX_MEMBER_BYTES = 80 * 1024 * 1024
 MONTHS_BACK_ACCIDENTS = 3
 MONTHS_BACK = 2
 HOUR_MARGIN_MINUTES = 60

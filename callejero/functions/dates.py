@@ -1,8 +1,8 @@
 """Dates as the feeds write them: ISO, or day first with slashes or dashes.
 
 Accepted: ``yyyy-M-d``, ``d/M/yyyy`` and ``d-M-yyyy``, each with an optional
-``H:mm[:ss[.fraction]]`` after a space or ``T``. Everything else is null. A
-time without a date is not a date.
+``H:mm[:ss[.fraction]]`` after a space or ``T``; a fraction is cut to microseconds.
+Everything else is null. A time without a date is not a date.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from callejero.functions.numbers import first_group
 
 DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 ANY_FORM = (
-    r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})"
-    r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+    r"^((?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})"
+    r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?)(?:(?<=\.\d{6})\d+)?$"
 )
 WHOLE = r"^\s*\+?(\d{1,9})(?:\.0*)?\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
@@ -26,7 +26,7 @@ ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 def parse_timestamp(c: Column) -> Column:
     """Date or date-time text to a zone-less timestamp, day first unless ISO."""
-    known = F.regexp_extract(F.trim(c.cast("string")), ANY_FORM, 0)
+    known = F.regexp_extract(F.trim(c.cast("string")), ANY_FORM, 1)
     return F.regexp_replace(known, DAY_FIRST, "$3-$2-$1").try_cast("timestamp_ntz")
 
 

@@ -13,9 +13,9 @@ CSV_PATH = r'(?i)((?:[A-Za-z]:\\|/)?[^\s"<>|]+?\.csv)'
 def dataset_label(path: Column) -> Column:
     """Dataset a result file belongs to: first known fragment, else its folder, else its name."""
     low = F.lower(path)
-    folder = F.substring(F.regexp_extract(low, r"([^/]*)/[^/]*$", 1), 1, K.SHEET_NAME_LIMIT)
+    folder = F.regexp_extract(low, r"([^/]*)/[^/]*$", 1)
     name = F.regexp_extract(path, r"([^/]+)$", 1)
-    stem = F.substring(F.regexp_replace(name, r"(.)\.[^.]*$", "$1"), 1, K.SHEET_NAME_LIMIT)
+    stem = F.regexp_replace(name, r"(.)\.[^.]*$", "$1")
     label = F.when(folder != "", folder).otherwise(stem)
     for fragment, dataset in reversed(K.DATASET_LABELS):
         label = F.when(low.contains(fragment), F.lit(dataset)).otherwise(label)

@@ -15,14 +15,13 @@ def first_group(text: Column, pattern: str, group: int) -> Column:
     Null, unlike the empty string of a plain extract, casts without raising an
     error inside, which on dirty columns is most of the cost.
     """
-    return F.try_element_at(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(1)
-    )
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
 def coerce_number(c: Column) -> Column:
     """Text to double; anything that is not a plain decimal number becomes null."""
-    return first_group(c.cast("string"), NUMBER, 0).try_cast("double")
+    text = c.cast("string")
+    return F.when(text.rlike(NUMBER), text).try_cast("double")
 
 
 def decimal_comma(c: Column) -> Column:
@@ -32,7 +31,8 @@ def decimal_comma(c: Column) -> Column:
 
 def coerce_int(c: Column) -> Column:
     """Text to int; fractions and other text become null."""
-    return first_group(c.cast("string"), INTEGER, 1).try_cast("int")
+    text = c.cast("string")
+    return F.when(text.rlike(INTEGER), F.trim(text)).try_cast("int")
 
 
 def nan_to_null(c: Column) -> Column:

@@ -2,7 +2,8 @@
 
 A :class:`Test` is a condition plus the parsed values it looks at. :func:`keep`
 computes every value once per row and then filters, instead of parsing a cell
-anew for each comparison. Null counts as false.
+anew for each comparison. Null counts as false. ``stored`` is a condition on stored
+columns that every passing row fulfils; it is there for the scan to prune by.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.functions.clock import stamp_code, time_midpoint, to_hour_minute
-from callejero.functions.dates import date_argument, date_from_parts, within_months
+from callejero.functions.dates import (
+    date_argument, date_from_parts, months_before, within_months,
+)
 from callejero.functions.geo import haversine_km, in_bounding_box
 from callejero.functions.text import fold_literal, fold_text
 from callejero.operators import roles
@@ -30,6 +33,7 @@ STAMP = "__ts"
 class Test:
     mask: Column
     values: dict[str, Column] = field(default_factory=dict)
+    stored: Column | None = None
 
 
 def any_of(masks: list[Column]) -> Column:
@@ -53,15 +57,38 @@ def bind(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def keep(df: DataFrame, *tests: Test) -> DataFrame:
-    """Rows that pass every test."""
+def keep(df: DataFrame, *tests: Test, carry: dict[str, str] | None = None) -> DataFrame:
+    """Rows that pass every test; ``carry`` keeps parsed values under new names.
+
+    What a test says of stored columns goes first, where it reaches the scan.
+    """
     values = {name: value for test in tests for name, value in test.values.items()}
+    for test in tests:
+        if test.stored is not None:
+            df = df.where(test.stored)
     passing = bind(df, values).where(all_of([test.mask for test in tests]))
-    return passing.select(*[col(c) for c in df.columns]) if values else passing
+    kept = [F.col(value).alias(name) for value, name in (carry or {}).items()]
+    return passing.select(*[col(c) for c in df.columns], *kept) if values else passing
 
 
 # --- dates --------------------------------------------------------------------
 
+def stored_window(df: DataFrame, names: list[str], first: Column, last: Column) -> Column | None:
+    """Some of the typed columns is dated in [first, last]; None if one of them is text.
+
+    A plain comparison of the stored value, which a Parquet scan prunes by.
+    """
+    ranges = []
+    for name in names:
+        kind = df.schema[name].dataType.typeName()
+        if kind not in ("date", "timestamp", "timestamp_ntz"):
+            return None
+        until = col(name) <= last if kind == "date" else (
+            col(name) < F.date_add(last, 1).cast(df.schema[name].dataType))
+        ranges.append((col(name) >= first.cast(df.schema[name].dataType)) & until)
+    return reduce(lambda a, b: a | b, ranges) if ranges else None
+
+
 def date_test(df: DataFrame, day: dt.date, months: int) -> Test:
     """In [day - months, day] by any usable date column or by year/month/day parts.
 
@@ -77,7 +104,8 @@ def date_test(df: DataFrame, day: dt.date, months: int) -> Test:
     if parts := roles.date_parts(df.columns):
         values["__parts"] = date_from_parts(*[col(p) for p in parts])
         masks.append(within_months(F.col("__parts"), day, months))
-    return Test(any_of(masks), values)
+    stored = None if parts else stored_window(df, names, months_before(day, months), F.lit(day))
+    return Test(any_of(masks), values, stored)
 
 
 def date_window(
@@ -93,9 +121,16 @@ def date_or_undated_test(stamp: Column, day: dt.date, months: int) -> Test:
 
 
 def date_window_keep_null(
-    df: DataFrame, stamp: Column, day: str | dt.date, months: int = K.MONTHS_BACK
+    df: DataFrame, stamp: Column | str, day: str | dt.date, months: int = K.MONTHS_BACK
 ) -> DataFrame:
-    return keep(df, date_or_undated_test(stamp, date_argument(day), months))
+    """In the window by ``stamp``, an expression or the name of a column, or undated."""
+    day, stored = date_argument(day), None
+    if isinstance(stamp, str):
+        stored = stored_window(df, [stamp], months_before(day, months), F.lit(day))
+        stored = None if stored is None else stored | col(stamp).isNull()
+        stamp = as_timestamp(df, stamp)
+    test = date_or_undated_test(stamp, day, months)
+    return keep(df, Test(test.mask, test.values, stored))
 
 
 def first_date(df: DataFrame) -> Column:
@@ -109,13 +144,14 @@ def first_date(df: DataFrame) -> Column:
 
 
 def last_n_days(df: DataFrame, end: str | dt.date, days: int, name: str = "fecha") -> DataFrame:
-    """Rows dated in [end - days, end]; ``days`` is 1 to 365."""
-    if not 1 <= days <= 365:
-        raise ValueError("the period must be 1 to 365 days")
+    """Rows dated in [end - days, end]; ``days`` is at least 1."""
+    if days < 1:
+        raise ValueError("the period must be at least one day")
     end = date_argument(end)
     day = as_timestamp(df, name).cast("date")
-    inside = F.col("__day").between(F.date_sub(F.lit(end), days), F.lit(end))
-    return keep(df, Test(inside, {"__day": day}))
+    first, last = F.date_sub(F.lit(end), days), F.lit(end)
+    stored = stored_window(df, [name], first, last)
+    return keep(df, Test(F.col("__day").between(first, last), {"__day": day}, stored))
 
 
 def row_time_test(
@@ -141,7 +177,7 @@ def row_time_test(
                 *[as_timestamp(df, names[int(d[3:])]).cast("date") for d in dated]
             )
             found &= F.coalesce(within_months(F.col("__first"), day, months), F.lit(True))
-        return Test(found, values)
+        return Test(found, values, stored_window(df, names, months_before(day, months), F.lit(day)))
     if hour:
         hours = [
             F.coalesce(stamp_code(as_timestamp(df, n)), to_hour_minute(col(n))) for n in names

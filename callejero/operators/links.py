@@ -12,6 +12,7 @@ from callejero.functions.links import (
 )
 from callejero.operators.filters import bind
 from callejero.operators.ordering import best_link
+from callejero.sources.documents import absolute_links, extract_candidates
 
 
 def _with_text(links: DataFrame) -> DataFrame:
@@ -57,6 +58,37 @@ def best_links(scored: DataFrame) -> DataFrame:
     return best_link(scored, "page", "score", "pos")
 
 
+def resolve_links(
+    pages: DataFrame, responses: DataFrame, overrides: dict[str, str], page: str = "url",
+    html: str = "html", allow_zip: bool = False,
+) -> DataFrame:
+    """(page, href, origin): the one data link of each page.
+
+    A fixed link, else the best-scored anchor whose logged response is data, else the
+    first data attribute whose response is. A page without any has a null link. Pages
+    are read once for anchors and attributes; the best of a page is a minimum, which
+    combines before its shuffle.
+    """
+    candidates = absolute_links(extract_candidates(pages, page, html))
+    texts = {"__href": F.col("href"), "__label": F.col("label")}
+    href, label = F.col("__href"), F.col("__label")
+    bound = bind(candidates.select("page", "stage", "pos", "label", "href"), texts)
+    anchor = F.col("stage") == 1
+    scored = bound.where(
+        F.when(anchor, looks_like_data(href, label, allow_zip)).otherwise(
+            ~is_excluded(href, K.LINK_EXCLUDED_WITH_ZIP))
+    ).select(
+        "page", "stage", "pos", "label", href.alias("href"),
+        F.when(anchor, link_score(href, label, allow_zip)).otherwise(0).alias("score"),
+    )
+    accepted = accepted_links(scored, responses, allow_zip)
+    best = accepted.groupBy("page").agg(F.min(F.struct("stage", "score", "pos", "href")).alias("best"))
+    every = override_links(pages.select(F.col(page).alias("page")), overrides).join(best, "page", "left")
+    origin = F.when(F.col("forced").isNotNull(), "override").when(
+        F.col("best.stage") == 1, "anchor").when(F.col("best.stage") == 2, "attribute")
+    return every.select("page", F.coalesce("forced", "best.href").alias("href"), origin.alias("origin"))
+
+
 def fallback_links(attributes: DataFrame, accepted: DataFrame) -> DataFrame:
     """``data-url`` links of the pages without any accepted anchor."""
     pages = accepted.select("page").distinct()

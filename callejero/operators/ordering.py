@@ -12,9 +12,13 @@ from callejero.operators.roles import col
 
 def sort_spread(df: DataFrame, *order: Column) -> DataFrame:
     """Global sort with a tie-break, so that one repeated sort value (a date with a third
-    of the rows, or the rows without any) is still split over many partitions."""
+    of the rows, or the rows without any) is still split over many partitions.
+
+    Range partitioning samples its input first. The exchange in front of it keeps that
+    sample from running everything since the last exchange a second time.
+    """
     tie = "__tie"
-    return df.withColumn(tie, spread_key(df)).orderBy(*order, tie).drop(tie)
+    return df.withColumn(tie, spread_key(df)).repartition(tie).orderBy(*order, tie).drop(tie)
 
 
 def sort_by_timestamp(df: DataFrame, stamp: Column | None) -> DataFrame:

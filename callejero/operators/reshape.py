@@ -14,15 +14,25 @@ from callejero.operators.roles import col
 
 
 def union_drifting(parts: list[DataFrame]) -> DataFrame:
-    """Stack tables by column name; absent columns are null, clashing types become text."""
+    """Stack tables by column name; absent columns are null, clashing types become text.
+
+    Names that differ only in case are one column, spelled as the first table has it.
+    """
     types: dict[str, set[str]] = {}
+    spelled: dict[str, str] = {}
     for part in parts:
         for name, kind in part.dtypes:
-            types.setdefault(name, set()).add(kind)
+            types.setdefault(name.lower(), set()).add(kind)
+            spelled.setdefault(name.lower(), name)
     clashing = {n for n, kinds in types.items() if len(kinds) > 1}
+
+    def aligned_column(name: str) -> Column:
+        kept = col(name).cast("string") if name.lower() in clashing else col(name)
+        return kept.alias(spelled[name.lower()])
+
     aligned = [
-        p.select(*[col(c).cast("string").alias(c) if c in clashing else col(c) for c in p.columns])
-        if clashing.intersection(p.columns)
+        p.select(*[aligned_column(c) for c in p.columns])
+        if any(c.lower() in clashing or spelled[c.lower()] != c for c in p.columns)
         else p
         for p in parts
     ]
@@ -50,19 +60,22 @@ def first_nonempty(candidates: DataFrame, group: str, rank: str) -> DataFrame:
 def tag_source(df: DataFrame, first: bool = False, **tags: Column | str) -> DataFrame:
     """Provenance columns as literals, at the end or (``first``) in front.
 
-    A column of the same name already present is kept as ``<name>_src``.
+    A column of the same name (in any case) already present is kept as ``<name>_src``.
     """
     for name in tags:
-        if name in df.columns:
+        if any(c.lower() == name.lower() for c in df.columns):
             df = df.withColumnRenamed(name, f"{name}_src")
     made = [(v if isinstance(v, Column) else F.lit(v)).alias(n) for n, v in tags.items()]
     return df.select(*made, "*") if first else df.select("*", *made)
 
 
-def fill_sentinel(df: DataFrame, sentinel: str = "NA") -> DataFrame:
-    """All columns as text; null, NaN and blank cells become the sentinel."""
+def fill_sentinel(df: DataFrame, sentinel: str = "NA", but: str | None = None) -> DataFrame:
+    """All columns as text; null, NaN and blank cells become the sentinel. ``but`` stays as it is."""
     cells = []
     for name, kind in df.dtypes:
+        if name == but:
+            cells.append(col(name))
+            continue
         text = col(name).cast("string")
         missing = col(name).isNull()
         if kind in ("double", "float"):

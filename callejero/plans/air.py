@@ -11,13 +11,14 @@ from callejero import constants as K
 from callejero.functions.air import (
     aqi_category, delta, last_mentions, parse_aqi_text, parse_pollutant_text, readings_part,
 )
-from callejero.functions.dates import date_argument, within_months
+from callejero.functions.dates import date_argument, months_before, within_months
 from callejero.operators import filters
 from callejero.operators.aggregates import city_daily_mean
 from callejero.operators.joins import left_join_hot_right
 from callejero.operators.reshape import (
     fill_sentinel, only_if_empty, preferred_first, snapshot_to_long, tag_source, union_drifting,
 )
+from callejero.operators.roles import first_like
 
 Day = str | dt.date | None
 MEASURED = "__fecha_dt"
@@ -49,7 +50,10 @@ def open_measurements(
     )
     tests = []
     if day := date_argument(day):
-        tests.append(filters.Test(within_months(F.col(MEASURED), day, months)))
+        name = first_like(df.columns, K.TIMESTAMP_KEYS_NARROW)
+        first = months_before(day, months)
+        stored = filters.stored_window(df, [name], first, F.lit(day)) if name else None
+        tests.append(filters.Test(within_months(F.col(MEASURED), day, months), {}, stored))
     if place:
         tests.append(
             filters.location_test(df, place, K.STATION_KEYS, on_missing="all", regex=regex)

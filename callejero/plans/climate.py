@@ -23,9 +23,12 @@ def climate_daily(df: DataFrame, end: str | dt.date, days: int) -> DataFrame:
 
 
 def climate_monthly(df: DataFrame, year: int) -> DataFrame:
-    """The records of one year with month names; a record without month is ``Mes N/D``."""
+    """The records of one year with month names; a record without month is ``Mes N/D``.
+
+    The year of a record leads its ``fecha`` (``yyyy-M``).
+    """
     month = F.col("mes") if "mes" in df.columns else F.lit(None)
-    return df.select(
+    return df.where(F.regexp_extract("fecha", r"^\s*(\d{4})(?:\D|$)", 1) == str(year)).select(
         F.lit(year).alias("Año"),
         F.coalesce(month.cast("string"), F.lit("N/D")).alias("Mes"),
         month_name(month).alias("Nombre_Mes"),

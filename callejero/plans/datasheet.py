@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from callejero.functions.labels import dataset_label
 from callejero.operators.reshape import tag_source
-from callejero.operators.roles import col
-from callejero.sources.files import list_files
+from callejero.sources.files import file_heads, list_files
 from callejero.sources.readers import PATH, read_delimited_auto
 
 
@@ -40,12 +39,9 @@ def datasheet(spark: SparkSession, root: str, folders: list[str] | None = None)
 
 
 def empty_inputs(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
-    """Result files that contributed no row, with their dataset label."""
+    """Result files that contributed no row, with their dataset label; only heads are read."""
     files = list_files(spark, folders or root, "*.csv")
-    rows = read_delimited_auto(spark, folders or root, with_path=True)
-    seen = rows.select(plain_path(col(PATH)).alias("plain")).distinct()
     file = relative_to(F.col("path"), root)
-    return (
-        files.withColumn("plain", plain_path(F.col("path"))).join(seen, "plain", "left_anti")
-        .select(dataset_label(file).alias("dataset"), file.alias("source_file"))
+    return file_heads(files).where("not has_rows").select(
+        dataset_label(file).alias("dataset"), file.alias("source_file")
     )

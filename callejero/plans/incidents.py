@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callejero import constants as K
@@ -14,13 +14,14 @@ from callejero.functions.dates import date_argument
 from callejero.operators import filters
 from callejero.operators.ordering import sort_by_first_date_column, sort_by_timestamp
 from callejero.operators.reshape import (
-    fill_sentinel, first_nonempty, tag_source, union_drifting,
+    fill_sentinel, tag_source, union_drifting,
 )
 from callejero.operators.roles import is_event_level
 from callejero.operators.timestamps import build_ts, emergency_sort_ts
 
 Day = str | dt.date | None
 Hour = str | tuple[int, int] | None
+SORT_STAMP = "__sort_ts"
 
 
 @dataclass(frozen=True)
@@ -57,28 +58,37 @@ def accidents(
 
     ``sources`` are in order of preference within their page.
     """
-    rank = "__rank"
-    parts = [
-        tag_source(
-            filter_accidents(s.table, day, street, hour, months),
-            __origen__=s.page, __descarga__=s.link,
-        ).withColumn(rank, F.lit(i))
-        for i, s in enumerate(sources)
-    ]
-    stacked = union_drifting(parts)
-    if len({s.page for s in sources}) < len(sources):
-        stacked = first_nonempty(stacked, "__origen__", rank)
-    return sort_by_first_date_column(stacked.drop(rank))
+    parts: list[DataFrame] = []
+    found: dict[str, Column] = {}
+    for s in sources:
+        part = filter_accidents(s.table, day, street, hour, months)
+        earlier = found.get(s.page)
+        found[s.page] = part.exists() if earlier is None else earlier | part.exists()
+        tagged = tag_source(part, __origen__=s.page, __descarga__=s.link)
+        # an existence test per earlier source, which stops at its first row
+        parts.append(tagged if earlier is None else tagged.where(~earlier))
+    if not parts:
+        return _nothing("__origen__", "__descarga__")
+    return sort_by_first_date_column(union_drifting(parts))
+
+
+def _nothing(*columns: str) -> DataFrame:
+    """The result without any source: no row, but a header to write."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return SparkSession.active().createDataFrame([], schema)
 
 
 def filter_traffic(
     df: DataFrame, day: Day = None, hour: Hour = None, place: str | None = None,
-    months: int = K.MONTHS_BACK, margin: int = K.HOUR_MARGIN_MINUTES,
+    months: int = K.MONTHS_BACK, margin: int = K.HOUR_MARGIN_MINUTES, carry: str | None = None,
 ) -> DataFrame:
-    """Date window (undated rows stay), hour margin, and place over all columns joined."""
+    """Date window (undated rows stay), hour margin, and place over all columns joined.
+
+    ``carry`` names a column that keeps the timestamp of each row.
+    """
     day, hour = date_argument(day), hour_argument(hour)
     if (day or hour) and not is_event_level(df.columns, with_ranges=True):
-        return df.where(F.lit(False))
+        df = df.where(F.lit(False))
     stamp = build_ts(df)
     tests = []
     if day:
@@ -87,17 +97,21 @@ def filter_traffic(
         tests.append(filters.hour_within_test(df, stamp, hour, margin))
     if place:
         tests.append(filters.location_joined_test(df, place, K.ROAD_POINT_KEYS))
-    return filters.keep(df, *tests)
+    if carry:
+        tests.append(filters.Test(F.lit(True), {filters.STAMP: stamp}))
+    return filters.keep(df, *tests, carry={filters.STAMP: carry} if carry else None)
 
 
 def traffic(sources: list[Source], **criteria) -> DataFrame:
     """Filtered tables of the enabled sources, blanks as ``NA``, in time order."""
     parts = [
-        tag_source(filter_traffic(s.table, **criteria), __fuente=s.link)
+        tag_source(filter_traffic(s.table, carry=SORT_STAMP, **criteria), __fuente=s.link)
         for s in sources if s.enabled
     ]
-    out = fill_sentinel(union_drifting(parts))
-    return sort_by_timestamp(out, build_ts(out))
+    if not parts:
+        return _nothing("__fuente")
+    out = fill_sentinel(union_drifting(parts), but=SORT_STAMP)
+    return sort_by_timestamp(out, F.col(SORT_STAMP)).drop(SORT_STAMP)
 
 
 def filter_emergencies(
@@ -114,8 +128,11 @@ def filter_emergencies(
 
 def emergencies(sources: list[Source], **criteria) -> DataFrame:
     parts = [
-        tag_source(filter_emergencies(s.table, **criteria), __fuente=s.link) for s in sources
+        tag_source(filter_emergencies(s.table, **criteria), __fuente=s.link)
+        for s in sources if s.enabled
     ]
+    if not parts:
+        return _nothing("__fuente")
     out = fill_sentinel(union_drifting(parts))
     return sort_by_timestamp(out, emergency_sort_ts(out))
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from callejero import constants as K
 from callejero.operators.filters import valid_coordinates, with_distance, within_radius
 from callejero.operators.ordering import sort_spread
-from callejero.operators.reshape import only_if_empty
 from callejero.operators.roles import coordinate_columns, normalize_columns
 
 
@@ -42,7 +41,8 @@ def parking_or_all(
     ``scope`` says which of the two a row belongs to.
     """
     everything = with_distance(located(df, extracted), centre)
-    inside = within_radius(located(df, extracted), centre, km)
-    return inside.withColumn("scope", F.lit("radius")).unionByName(
-        only_if_empty(everything, inside).withColumn("scope", F.lit("all"))
+    any_inside = within_radius(located(df, extracted), centre, km).exists()
+    inside = F.col("distancia_centro_km") <= km
+    return everything.where(inside | ~any_inside).withColumn(
+        "scope", F.when(inside, "radius").otherwise("all")
     )

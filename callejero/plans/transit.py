@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 from callejero.operators.ordering import sort_spread
-from callejero.operators.reshape import union_drifting
-from callejero.operators.transit import Feed, schedule
+from callejero.operators.transit import MODE, Feed, schedule, stacked
 from callejero.sources.readers import read_gtfs
 
 MODES_WITH_RAW_STOPS = ("METRO",)
@@ -22,9 +21,5 @@ def load_feed(spark: SparkSession, folder: str) -> Feed:
 
 def day_schedule(feeds: dict[str, Feed], day: dt.date) -> DataFrame:
     """All modes' stops of the day in mode, trip and stop order (one sort in all)."""
-    parts = [
-        schedule(feed, mode, day, clean_stops=mode not in MODES_WITH_RAW_STOPS)
-        for mode, feed in feeds.items()
-    ]
-    order = [F.col(c) for c in ("tipo_transporte", "trip_id", "stop_sequence")]
-    return sort_spread(union_drifting(parts), *order)
+    rows = schedule(stacked(feeds), day, MODES_WITH_RAW_STOPS)
+    return sort_spread(rows, *[F.col(c) for c in (MODE, "trip_id", "stop_sequence")])

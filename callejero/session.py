@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot interprets methods over 8000 bytes; beyond that plain code generation is faster
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -27,12 +24,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared location every executor can reach.
 
-    The cluster names that location in ``spark.checkpoint.dir``. Only a local
-    session without it (a test) falls back to a temporary folder.
+    The cluster names that location in ``spark.checkpoint.dir``; where it is unset, the
+    session's warehouse is used, which is shared too. The folder goes when the
+    application ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="callejero-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
-def _as_csv(df: DataFrame, separator: str, mode: str) -> DataFrameWriter:
+def _as_csv(df: DataFrame, separator: str, mode: str, encoding: str = "UTF-8") -> DataFrameWriter:
     return (
         df.write.mode(mode).option("header", "true").option("sep", separator)
-        .option("escape", '"').option("emptyValue", "")
+        .option("escape", '"').option("emptyValue", "").option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     )
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ";", mode: str = "overwrite") -> None:
+def write_csv(
+    df: DataFrame, path: str, separator: str = ";", mode: str = "overwrite", encoding: str = "UTF-8"
+) -> None:
     """One folder of CSV part files with header, written in parallel."""
-    _as_csv(df, separator, mode).option("partitionOverwriteMode", "static").csv(path)
+    _as_csv(df, separator, mode, encoding).option("partitionOverwriteMode", "static").csv(path)
 
 
 def replace_run(df: DataFrame, path: str, run_column: str, separator: str = ";") -> None:

@@ -2,27 +2,28 @@
 
 Archives are opened by name inside tasks with random access, so listing reads a
 directory at the end of each file and extraction reads single members, streamed
-line by line. No archive or member is ever held whole.
+record by record. No archive or member is ever held whole.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callejero import constants as K
 from callejero.operators.reshape import union_drifting
 from callejero.session import scratch_dir
 from callejero.sources.files import (
-    HEAD_LINES, header_names, list_files, open_shared, sniff_separator,
+    HEAD_RECORDS, decode, header_names, list_files, open_shared, records, sniff_separator,
 )
 
-LINES_PER_BATCH = 20_000
+RECORDS_PER_BATCH = 20_000
 
 
 def archive_manifest(files: DataFrame) -> DataFrame:
@@ -55,106 +56,123 @@ def _month_hint(archive: Column, target: dt.date | None) -> tuple[Column, Column
 def select_members(
     manifest: DataFrame,
     target: dt.date | None = None,
-    limit: int = K.MAX_MEMBERS_PER_ARCHIVE,
-    max_bytes: int = K.MAX_MEMBER_BYTES,
+    limit: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """The members to read per archive: those of the wanted month first, then stored order.
+    """The members of each archive in the order to read them: those of the wanted month
+    first, then stored order.
 
-    The cap comes before the size test, as the feed's reader defines it. The rank
-    filter is a window group limit in the plan: every task keeps at most ``limit``
-    members per archive before the shuffle, however long an archive's listing is.
+    All members by default. A caller may ask for the first ``limit`` per archive, and of
+    these for members of at most ``max_bytes``; the rank filter is then a window group
+    limit, so every task keeps at most ``limit`` members per archive before the shuffle.
     """
     year, month = _month_hint(F.col("archive"), target)
     preferred = (year != "") & F.col("member").contains(year) & F.col("member").contains(month)
     order = Window.partitionBy("archive").orderBy(F.col("preferred").desc(), "pos", "member")
-    return (
-        manifest.withColumn("preferred", preferred)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= limit)
-        .where(F.col("size") <= max_bytes)
+    ranked = manifest.withColumn("preferred", preferred).withColumn(
+        "rank", F.row_number().over(order)
     )
+    if limit is not None:
+        ranked = ranked.where(F.col("rank") <= limit)
+    return ranked if max_bytes is None else ranked.where(F.col("size") <= max_bytes)
 
 
-def _decode(raw: bytes) -> str:
-    try:
-        return raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return raw.decode("latin-1")
+def _lines(stream, encoding: str | None) -> Iterator[str]:
+    """Lines of a member with their ends, UTF-8 with Latin-1 as fallback."""
+    for number, raw in enumerate(stream):
+        line = raw.decode(encoding, "replace") if encoding else decode(raw)[0]
+        yield line.removeprefix("\ufeff") if number == 0 else line
 
 
-def member_lines(members: DataFrame, head_only: bool = False) -> DataFrame:
-    """(archive, member, line_no, line) of the members, UTF-8 with Latin-1 as fallback.
-
-    Lines up to a member's ``skip_to`` line number, if given, are left out.
-    """
-    if "skip_to" not in members.columns:
-        members = members.withColumn("skip_to", F.lit(-1).cast("bigint"))
-    names = ["archive", "member", "line_no", "line"]
+def member_heads(members: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(archive, member, separator, header): the shape of every member."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            wanted = zip(batch["archive"], batch["member"], batch["skip_to"], strict=True)
-            for path, member, skip_to in wanted:
-                rows: list[tuple] = []
+            rows = []
+            for path, member in zip(batch["archive"], batch["member"], strict=True):
                 with (
                     open_shared(path) as handle,
                     zipfile.ZipFile(handle) as archive,
                     archive.open(member) as stream,
                 ):
-                    for number, raw in enumerate(stream):
-                        line = _decode(raw).rstrip("\r\n").removeprefix("\ufeff")
-                        if number > skip_to and line.strip():
-                            rows.append((path, member, number, line))
-                        if head_only and len(rows) >= HEAD_LINES:
+                    text, lines = "", []
+                    for line in _lines(stream, encoding):
+                        text += line
+                        lines = records(text, line[-1:] not in "\r\n")
+                        if len(lines) >= HEAD_RECORDS:
                             break
-                        if len(rows) >= LINES_PER_BATCH:
-                            yield pd.DataFrame(rows, columns=names)
-                            rows = []
-                yield pd.DataFrame(rows, columns=names)
-
-    # a hash of both names spreads the members of one archive over the tasks
-    spread = members.select("archive", "member", "skip_to").repartition("archive", "member")
-    return spread.mapInPandas(
-        read, "archive string, member string, line_no bigint, line string"
+                rows.append((path, member, lines))
+            yield pd.DataFrame(rows, columns=["archive", "member", "head"])
+
+    heads = _spread(members).mapInPandas(read, "archive string, member string, head array<string>")
+    return heads.where(F.size("head") > 0).select(
+        "archive", "member", sniff_separator(F.col("head")).alias("separator"),
+        F.col("head")[0].alias("header"),
     )
 
 
-def member_heads(members: DataFrame) -> DataFrame:
-    """(archive, member, separator, header, skip_to): the shape of every member."""
-    return (
-        member_lines(members, head_only=True)
-        .groupBy("archive", "member")
-        .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("head"))
-        .select(
-            "archive", "member", sniff_separator(F.col("head.line")).alias("separator"),
-            F.col("head.line")[0].alias("header"), F.col("head.line_no")[0].alias("skip_to"),
-        )
+def member_records(members: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(archive, member, separator, header, cells): the records below each member's header.
+
+    A record is a line, or several where a line break is inside quotes; it is streamed,
+    no member is ever held whole. Blank lines are none. An empty cell is null.
+    """
+    names = ["archive", "member", "separator", "header", "cells"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            wanted = zip(*[batch[n] for n in names[:-1]], strict=True)
+            for path, member, separator, header in wanted:
+                with (
+                    open_shared(path) as handle,
+                    zipfile.ZipFile(handle) as archive,
+                    archive.open(member) as stream,
+                ):
+                    cells = csv.reader(_lines(stream, encoding), delimiter=separator)
+                    body = (r for r in cells if len(r) > 1 or (r and r[0].strip()))
+                    next(body, None)
+                    while rows := [[c or None for c in r] for r in islice(body, RECORDS_PER_BATCH)]:
+                        yield pd.DataFrame({
+                            "archive": path, "member": member, "separator": separator,
+                            "header": header, "cells": rows,
+                        })
+
+    return _spread(members, "separator", "header").mapInPandas(
+        read, "archive string, member string, separator string, header string, cells array<string>"
     )
 
 
+def _spread(members: DataFrame, *more: str) -> DataFrame:
+    """A hash of both names spreads the members of one archive over the tasks."""
+    return members.select("archive", "member", *more).repartition("archive", "member")
+
+
 def read_csv_archives(
     spark: SparkSession, folders: str | list[str], target: dt.date | None = None,
-    name_filter: str = "*.zip",
+    name_filter: str = "*.zip", limit: int | None = None, max_bytes: int | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
-    """Rows of the chosen members of all archives, stacked by name, all columns text.
+    """Rows of all members of all archives, stacked by name, all columns text.
 
-    The list of chosen members and their shapes is written once to the shared folder,
-    so every archive is listed once and every member read once, whatever the number
-    of shapes.
+    ``limit`` and ``max_bytes`` are those of :func:`select_members`. The list of members
+    and their shapes is written once to the shared folder, so every archive is listed
+    once and every member read once for its shape and once for its rows.
     """
-    chosen = select_members(archive_manifest(list_files(spark, folders, name_filter)), target)
+    manifest = archive_manifest(list_files(spark, folders, name_filter))
+    chosen = select_members(manifest, target, limit, max_bytes)
     saved = scratch_dir(spark, "members")
-    member_heads(chosen).write.parquet(saved)
+    member_heads(chosen, encoding).write.parquet(saved)
     heads = spark.read.parquet(saved)
     parts = []
     for separator, header in sorted(heads.select("separator", "header").distinct().collect()):
-        names = header_names(header, separator)
-        schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
-        parsed = F.from_csv("line", schema, {"sep": separator, "quote": '"', "escape": '"'})
         alike = heads.where((F.col("separator") == separator) & (F.col("header") == header))
         parts.append(
-            member_lines(alike).select("archive", "member", parsed.alias("row"))
-            .select("archive", "member", "row.*")
+            member_records(alike, encoding).select(
+                "archive", "member",
+                *[F.try_element_at("cells", F.lit(i)).alias(n)
+                  for i, n in enumerate(header_names(header, separator), 1)],
+            )
         )
     if not parts:
         return spark.createDataFrame([], "archive string, member string")

@@ -2,75 +2,92 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import html as markup
+from collections.abc import Callable
+from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callejero.functions.links import absolutize
 from callejero.functions.text import squeeze
 
 NOT_CONTENT = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)</a\s*>"""
-DATA_TAG = r"(?is)<[a-z][^>]*\sdata-(?:url|href)\s*=[^>]*>"
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&amp;", "&"),
-]
-DISTRIBUTION = (
-    "array<struct<title:string,mediaType:string,accessURL:struct<_resource:string>>>"
-)
-DCAT_SCHEMA = (
-    f"Distribution {DISTRIBUTION}, "
-    f"Dataset array<struct<distribution:array<struct<Distribution:{DISTRIBUTION}>>>>, "
-    f"Catalog array<struct<dataset:array<struct<Dataset:array<struct<"
-    f"distribution:array<struct<Distribution:{DISTRIBUTION}>>>>>>>>"
-)
+# quoted values are units: a ``>`` inside one does not end the tag
+ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+ANCHOR = rf"(?is)<a(?=\s)({ATTRIBUTES})>(.*?)</a\s*>"
 
 
-def unescape(c: Column) -> Column:
-    """Named entities of markup text to characters."""
-    return reduce(lambda text, e: F.replace(text, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+@F.pandas_udf(T.StringType())
+def unescape(texts: pd.Series) -> pd.Series:
+    """Named and numeric character references of markup text to characters."""
+    return texts.map(markup.unescape, na_action="ignore")
 
 
-def _unquote(c: Column) -> Column:
-    return F.trim(unescape(F.regexp_replace(c, r"""^["']|["']$""", "")))
+def _attribute(attributes: Column, name: str) -> Column:
+    """The quoted or bare value of an attribute, looked for outside of other values."""
+    form = rf"""(?is)^(?:[^"']|"[^"]*+"|'[^']*+')*?(?<=\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+    value = F.regexp_replace(F.regexp_extract(attributes, form, 1), r"""^["']|["']$""", "")
+    return F.trim(value)
 
 
-def extract_anchors(pages: DataFrame, page: str = "url", html: str = "html") -> DataFrame:
-    """(page, pos, label, href) for every link of every page; comments and scripts skipped.
+def _anchors(body: Column) -> Column:
+    """Array of (href, label) of the links with a target, as written."""
+    tags = F.regexp_extract_all(body, F.lit(ANCHOR), F.lit(1))
+    labels = F.regexp_extract_all(body, F.lit(ANCHOR), F.lit(2))
+    links = F.transform(
+        F.arrays_zip(tags.alias("tag"), labels.alias("label")),
+        lambda link: F.struct(_attribute(link["tag"], "href").alias("href"), link["label"].alias("label")),
+    )
+    return F.filter(links, lambda link: link["href"] != "")
+
+
+def _data_attributes(body: Column) -> Column:
+    """Array of (href, label) of ``data-url``, else ``data-href``, as written; the label is null."""
+    def value(tag: Column, name: str) -> Column:
+        return F.nullif(_attribute(tag, name), F.lit(""))
+
+    tags = F.regexp_extract_all(body, F.lit(rf"(?is)<[a-z]({ATTRIBUTES})>"), F.lit(1))
+    tagged = F.filter(tags, lambda tag: tag.rlike(r"(?is)\sdata-(?:url|href)\s*="))
+    return F.transform(tagged, lambda tag: F.struct(
+        F.coalesce(value(tag, "data-url"), value(tag, "data-href")).alias("href"),
+        F.lit(None).cast("string").alias("label")))
+
+
+def _exploded(pages: DataFrame, page: str, html: str, made: dict[int, Callable[[Column], Column]]) -> DataFrame:
+    """(page, stage, pos, label, href) of some arrays of links, read from a page at once.
 
     Links come out of a page's own row, so nothing is shuffled.
     """
     body = F.regexp_replace(F.col(html), NOT_CONTENT, "")
-    hrefs = F.regexp_extract_all(F.col("body"), F.lit(ANCHOR), F.lit(1))
-    labels = F.regexp_extract_all(F.col("body"), F.lit(ANCHOR), F.lit(2))
-    pairs = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
-    return (
-        pages.select(F.col(page).alias("page"), body.alias("body"))
-        .select("page", F.posexplode(pairs).alias("pos", "link"))
-        .select(
-            "page", "pos",
-            squeeze(unescape(F.regexp_replace("link.label", "<[^>]+>", " "))).alias("label"),
-            _unquote(F.col("link.href")).alias("href"),
-        )
-    )
+    cut = pages.select(F.col(page).alias("page"), body.alias("body"))
+    entries = [
+        F.transform(make(F.col("body")), lambda link, i: F.struct(  # noqa: B023
+            F.lit(stage).alias("stage"), i.alias("pos"), link["label"].alias("label"), link["href"].alias("href")))  # noqa: B023
+        for stage, make in made.items()
+    ]
+    links = cut.select("page", F.inline(entries[0] if len(entries) == 1 else F.concat(*entries)))
+    plain = F.regexp_replace("label", rf"<{ATTRIBUTES}>", " ")
+    return links.where("href is not null").select(
+        "page", "stage", "pos", unescape(plain).alias("label"), unescape("href").alias("href"),
+    ).select("page", "stage", "pos", squeeze(F.col("label")).alias("label"), F.trim("href").alias("href"))
+
+
+def extract_anchors(pages: DataFrame, page: str = "url", html: str = "html") -> DataFrame:
+    """(page, pos, label, href) for every link of every page; comments and scripts skipped."""
+    return _exploded(pages, page, html, {1: _anchors}).drop("stage")
 
 
 def extract_data_attributes(pages: DataFrame, page: str = "url", html: str = "html") -> DataFrame:
     """(page, pos, href) of elements with ``data-url`` or ``data-href``; ``data-url`` wins."""
-    def attribute(name: str) -> Column:
-        form = rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
-        value = _unquote(F.regexp_extract("tag", form, 1))
-        return F.when(value != "", value)
+    return _exploded(pages, page, html, {2: _data_attributes}).drop("stage", "label")
 
-    body = F.regexp_replace(F.col(html), NOT_CONTENT, "")
-    tags = F.regexp_extract_all(body, F.lit(DATA_TAG), F.lit(0))
-    return (
-        pages.select(F.col(page).alias("page"), F.posexplode(tags).alias("pos", "tag"))
-        .select("page", "pos", F.coalesce(attribute("data-url"), attribute("data-href")).alias("href"))
-        .where("href is not null")
-    )
+
+def extract_candidates(pages: DataFrame, page: str = "url", html: str = "html") -> DataFrame:
+    """(page, stage, pos, label, href): the links (stage 1) and data attributes (2) of every page."""
+    return _exploded(pages, page, html, {1: _anchors, 2: _data_attributes})
 
 
 def absolute_links(links: DataFrame, protocol_relative: bool = True) -> DataFrame:
@@ -79,42 +96,49 @@ def absolute_links(links: DataFrame, protocol_relative: bool = True) -> DataFram
     )
 
 
-def extract_dcat_distributions(docs: DataFrame, doc: str, xml: str) -> DataFrame:
-    """(doc, pos, title, media, href) per distribution with an access URL, CSV first.
+DCAT = "{http://www.w3.org/ns/dcat#}"
+TERMS = "{http://purl.org/dc/terms/}"
+RESOURCE = "{http://www.w3.org/1999/02/22-rdf-syntax-ns#}resource"
 
-    Bad XML yields no row. Distributions are found at the root, in data sets and in
-    catalogues. The order is settled inside each document's own row.
-    """
-    parsed = F.from_xml(xml, DCAT_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-    none = F.array().cast(DISTRIBUTION)
 
-    def of_dataset(dataset: Column) -> Column:
-        return F.coalesce(F.flatten(dataset["distribution"]["Distribution"]), none)
+def _distributions(xml: str | None) -> list[dict[str, str]]:
+    """Title, media and href of every distribution of one record, at any depth."""
+    try:
+        root = ElementTree.fromstring(xml or "")
+    except ElementTree.ParseError:
+        return []
+    out = []
+    for node in root.iter(f"{DCAT}Distribution"):
+        access = node.find(f"{DCAT}accessURL")
+        out.append({
+            "title": (node.findtext(f"{TERMS}title") or "").strip(),
+            "media": (node.findtext(f"{DCAT}mediaType") or "").strip(),
+            "href": (access.get(RESOURCE, "") if access is not None else "").strip(),
+        })
+    return out
 
-    from_catalogues = F.flatten(
-        F.transform(
-            F.col("p.Catalog"),
-            lambda c: F.flatten(F.transform(F.flatten(c["dataset"]["Dataset"]), of_dataset)),
-        )
-    )
-    from_datasets = F.flatten(F.transform(F.col("p.Dataset"), of_dataset))
-    every = F.concat(
-        F.coalesce(F.col("p.Distribution"), none), F.coalesce(from_datasets, none),
-        F.coalesce(from_catalogues, none),
-    )
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "media", "href")])))
+def _parsed(xml: pd.Series) -> pd.Series:
+    return xml.map(_distributions)
+
+
+def extract_dcat_distributions(docs: DataFrame, doc: str, xml: str) -> DataFrame:
+    """(doc, pos, title, media, href) per distribution with an access URL, CSV first.
+
+    Bad XML yields no row. Elements of other vocabularies do not count. The order is
+    settled inside each document's own row.
+    """
     def entry(d: Column, i: Column) -> Column:
-        title, media = (F.trim(F.coalesce(d[k], F.lit(""))) for k in ("title", "mediaType"))
-        href = F.trim(F.coalesce(d["accessURL"]["_resource"], F.lit("")))
-        is_csv = F.lower(media).contains("csv") | F.lower(href).endswith(".csv")
+        is_csv = F.lower(d["media"]).contains("csv") | F.lower(d["href"]).endswith(".csv")
         return F.struct(
-            F.when(is_csv, 0).otherwise(1).alias("order"), i.alias("at"), title.alias("title"),
-            media.alias("media"), href.alias("href"),
+            F.when(is_csv, 0).otherwise(1).alias("order"), i.alias("at"), d["title"].alias("title"),
+            d["media"].alias("media"), d["href"].alias("href"),
         )
 
-    ranked = F.array_sort(F.filter(F.transform(every, entry), lambda d: d["href"] != ""))
+    ranked = F.array_sort(F.filter(F.transform("found", entry), lambda d: d["href"] != ""))
     return (
-        docs.select(F.col(doc).alias("doc"), parsed.alias("p"))
+        docs.select(F.col(doc).alias("doc"), _parsed(F.col(xml)).alias("found"))
         .select("doc", F.posexplode(ranked).alias("pos", "d"))
         .select("doc", "pos", "d.title", "d.media", "d.href")
     )

@@ -1,12 +1,13 @@
 """Listing files, and looking at the first bytes of each, as Spark jobs.
 
-Listing reads no content. Heads are read inside tasks, a bounded number of bytes
-per file, so sniffing a large tree costs one small read per file.
+Listing reads no content. Heads are read inside tasks, as many bytes of a file as its
+header takes, so sniffing a large tree costs one small read per file.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 
+# bytes to look at first; a longer header is read on to its end
 HEAD_BYTES = 64 * 1024
-HEAD_LINES = 20
+# records given for each file: its header, and some more to break ties between separators
+HEAD_RECORDS = 20
 
 
 def open_shared(path: str):
@@ -31,6 +34,19 @@ def open_shared(path: str):
     return filesystem.open_input_file(inner)
 
 
+def create_shared(path: str):
+    """A new file, for writing, named by a URI or a plain path."""
+    from pyarrow import fs
+
+    parsed = urlparse(path)
+    if parsed.scheme in ("", "file"):
+        filesystem, inner = fs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else path
+    else:
+        filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return filesystem.open_output_stream(inner)
+
+
 def list_files(spark: SparkSession, folders: str | list[str], name_filter: str) -> DataFrame:
     """(path, bytes, modified), one row per file however many globs reach it."""
     listing = (
@@ -48,38 +64,68 @@ def newest_first(files: DataFrame) -> DataFrame:
     return files.orderBy(F.col("modified").desc(), "path")
 
 
-def _head_lines(raw: bytes) -> list[str]:
+def decode(raw: bytes) -> tuple[str, str]:
+    """Text and encoding of some bytes: UTF-8, or Latin-1 where they are no UTF-8."""
     try:
-        text = raw.decode("utf-8")
+        return raw.decode("utf-8"), "UTF-8"
     except UnicodeDecodeError as error:
         # a character cut at the end of the head is not an encoding problem
-        cut = len(raw) - error.start < 4
-        text = raw[: error.start].decode("utf-8") if cut else raw.decode("latin-1")
-    lines = text.removeprefix("\ufeff").splitlines()
-    if len(raw) >= HEAD_BYTES and len(lines) > 1:
-        lines = lines[:-1]
-    return [line for line in lines if line.strip()][:HEAD_LINES]
+        if error.end == len(raw) and error.reason == "unexpected end of data":
+            return raw[: error.start].decode("utf-8"), "UTF-8"
+        return raw.decode("latin-1"), "ISO-8859-1"
 
 
-def file_heads(files: DataFrame) -> DataFrame:
-    """(path, lines): the first lines of every file."""
+def records(text: str, whole: bool) -> list[str]:
+    """Non-blank records of a head: lines, where a line break inside quotes ends none.
+
+    The last record counts only if it is ended or the text is ``whole``.
+    """
+    out, start, quoted = [], 0, False
+    text = text.removeprefix("\ufeff")
+    for found in re.finditer(r'"|\r\n|\n|\r', text):
+        if found[0] == '"':
+            quoted = not quoted
+        elif not quoted:
+            out.append(text[start:found.start()])
+            start = found.end()
+    if whole and start < len(text):
+        out.append(text[start:])
+    return [r for r in out if r.strip()]
+
+
+def file_heads(files: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(path, lines, encoding, has_rows): the first records of every file, at least its
+    whole header, and whether anything stands below it.
+
+    ``encoding`` is what the files are in; without it, each head is tried as UTF-8
+    and else is Latin-1.
+    """
+
+    def head(path: str) -> tuple[list[str], str, bool]:
+        with open_shared(path) as handle:
+            raw, size = b"", HEAD_BYTES
+            while True:
+                raw += handle.read(size - len(raw))
+                whole = len(raw) < size
+                text, found = (raw.decode(encoding, "ignore"), encoding) if encoding else decode(raw)
+                lines = records(text, whole)
+                if lines or whole:
+                    return lines[:HEAD_RECORDS], found, len(lines) > 1 or not whole
+                size *= 2
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                with open_shared(path) as handle:
-                    rows.append((path, _head_lines(handle.read(HEAD_BYTES))))
-            yield pd.DataFrame(rows, columns=["path", "lines"])
+            rows = [(path, *head(path)) for path in batch["path"]]
+            yield pd.DataFrame(rows, columns=["path", "lines", "encoding", "has_rows"])
 
-    return files.select("path").mapInPandas(read, "path string, lines array<string>")
+    return files.select("path").mapInPandas(read, "path string, lines array<string>, encoding string, has_rows boolean")
 
 
 def sniff_separator(lines: Column) -> Column:
-    """Separator of some head lines: the one that occurs equally often on every line.
+    """Separator of a head: the one that occurs most often in the header outside quotes.
 
-    Quoted parts do not count. Among several the most frequent wins, ties in the
-    usual order; if none is constant, the most frequent on the header line.
+    Of several that occur equally often, the one that as many later lines as possible
+    have equally often, then the usual order.
     """
     bare = F.transform(lines, lambda line: F.regexp_replace(line, '"[^"]*"', ""))
     scores = []
@@ -88,25 +134,30 @@ def sniff_separator(lines: Column) -> Column:
             bare, lambda line: F.char_length(line) - F.char_length(
                 F.replace(line, F.lit(separator), F.lit("")))  # noqa: B023
         )
-        header = F.try_element_at(counts, F.lit(1))
-        constant = (F.array_min(counts) == F.array_max(counts)) & (header > 0)
-        scores.append(
-            F.struct(
-                F.coalesce(constant, F.lit(False)).alias("constant"),
-                F.coalesce(header, F.lit(0)).alias("count"),
-                F.lit(-rank).alias("order"),
-                F.lit(separator).alias("separator"),
-            )
-        )
+        # one array element, so that the counts are made once
+        score = F.transform(F.array(counts), lambda c: F.struct(
+            F.coalesce(F.try_element_at(c, F.lit(1)), F.lit(0)).alias("count"),
+            F.coalesce(F.size(F.filter(c, lambda n: n == c[0])), F.lit(0)).alias("alike"),
+            F.lit(-rank).alias("order"),  # noqa: B023
+            F.lit(separator).alias("separator"),  # noqa: B023
+        ))
+        scores.append(score[0])
     return F.greatest(*scores)["separator"]
 
 
+def glob_escaped(path: str) -> str:
+    """A listed path as a pattern that matches itself alone."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
+
+
 def header_names(line: str, separator: str) -> list[str]:
-    """Unique column names of a header line."""
+    """Column names of a header record, unique whatever their case."""
     names: list[str] = []
-    for i, cell in enumerate(next(csv.reader([line], delimiter=separator), [])):
+    taken: set[str] = set()
+    for i, cell in enumerate(next(csv.reader(line.splitlines(True), delimiter=separator), [])):
         name = cell.strip() or f"_c{i}"
-        while name in names:
+        while name.lower() in taken:
             name = f"{name}.{i}"
         names.append(name)
+        taken.add(name.lower())
     return names

@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 from callejero import constants as K
 from callejero.operators.reshape import union_drifting
 from callejero.operators.roles import col
-from callejero.sources.files import file_heads, header_names, list_files, sniff_separator
+from callejero.session import scratch_dir
+from callejero.sources.files import (
+    file_heads, glob_escaped, header_names, list_files, sniff_separator,
+)
 
 PATH = "__path"
 
@@ -25,35 +28,61 @@ def _strip_bom(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.removeprefix("\ufeff") for c in df.columns])
 
 
+def file_shapes(files: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(folder, separator, header, encoding, paths): the shapes of the files of each folder.
+
+    ``paths`` is empty where all files of a folder are alike: the folder stands for them.
+    The heads are written to the shared folder, so every file is looked at once.
+    """
+    spark = files.sparkSession
+    saved = scratch_dir(spark, "heads")
+    file_heads(files, encoding).where(F.size("lines") > 0).select(
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "path",
+        sniff_separator(F.col("lines")).alias("separator"), F.col("lines")[0].alias("header"),
+        "encoding",
+    ).write.parquet(saved)
+    heads = spark.read.parquet(saved)
+    shape = ["separator", "header", "encoding"]
+    first = heads.groupBy("folder").agg(
+        *[(F.min(c) == F.max(c)).alias(f"one_{c}") for c in shape]
+    ).select("folder", (F.col("one_separator") & F.col("one_header") & F.col("one_encoding")).alias("one"))
+    alike = heads.join(first, "folder")
+    return alike.groupBy("folder", *shape).agg(
+        F.sort_array(F.collect_list(F.when(~F.col("one"), F.col("path")))).alias("paths")
+    )
+
+
 def read_delimited_auto(
     spark: SparkSession, folders: str | list[str], name_filter: str = "*.csv",
-    with_path: bool = False, multi_line: bool = False,
+    with_path: bool = False, multi_line: bool = True, encoding: str | None = None,
 ) -> DataFrame:
     """Delimited files of unknown and differing separators and columns, stacked by name.
 
-    Each file's separator and header come from its head. Files of one shape are read
-    together by the CSV source with a declared all-text schema (no inference pass,
-    files stay splittable). Only file names and headers reach the driver, the same
-    listing the file index holds.
+    Each file's separator, header and encoding come from its head. Files of one shape
+    are read together by the CSV source with a declared all-text schema (no inference
+    pass). What reaches the driver is one row per shape of a folder, with single paths
+    only for folders whose files differ.
+
+    Line breaks inside quotes belong to the cell. ``multi_line=False`` gives that up for
+    files that can be split over tasks. ``encoding`` is for files whose head is plain
+    ASCII and the rest isn't UTF-8.
     """
-    files = list_files(spark, folders, name_filter)
-    shapes: dict[tuple[str, str], list[str]] = defaultdict(list)
-    heads = file_heads(files).where(F.size("lines") > 0).select(
-        "path", sniff_separator(F.col("lines")).alias("separator"), F.col("lines")[0].alias("head")
-    )
-    for path, separator, head in heads.toLocalIterator():
-        shapes[separator, head].append(path)
+    shapes: dict[tuple[str, str, str], list[str]] = defaultdict(list)
+    for row in file_shapes(list_files(spark, folders, name_filter), encoding).collect():
+        shapes[row.header, row.separator, row.encoding] += row.paths or [row.folder]
     parts = []
-    for (separator, head), paths in sorted(shapes.items()):
+    for (header, separator, found), paths in sorted(shapes.items()):
         part = (
-            spark.read.schema(_text_schema(header_names(head, separator)))
+            spark.read.schema(_text_schema(header_names(header, separator)))
             .option("header", "true")
             .option("enforceSchema", "true")
             .option("sep", separator)
             .option("quote", '"')
             .option("escape", '"')
+            .option("encoding", found)
+            .option("pathGlobFilter", name_filter)
             .option("multiLine", str(multi_line).lower())
-            .csv(sorted(paths))
+            .csv([glob_escaped(p) for p in sorted(paths)])
         )
         if with_path:
             part = part.select("*", F.col("_metadata.file_path").alias(PATH))
@@ -63,12 +92,15 @@ def read_delimited_auto(
     return union_drifting(parts)
 
 
-def read_delimited(spark: SparkSession, path: str | list[str], separator: str = ";") -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str | list[str], separator: str = ";", encoding: str = "UTF-8",
+    multi_line: bool = True,
+) -> DataFrame:
     """Delimited text with a known separator; if it never occurs in the header, a comma."""
     def load(sep: str) -> DataFrame:
         return _strip_bom(
-            spark.read.option("header", "true").option("sep", sep).option("encoding", "UTF-8")
-            .option("escape", '"').csv(path)
+            spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
+            .option("escape", '"').option("multiLine", str(multi_line).lower()).csv(path)
         )
 
     df = load(separator)

@@ -37,6 +37,39 @@ def test_auto_reader_mixes_shapes_bom_and_latin1(spark, tmp_path):
 
 def test_header_names_are_unique():
     assert files.header_names('"a";b;a;', ";") == ["a", "b", "a.2", "_c3"]
+    assert files.header_names("Nombre;nombre", ";") == ["Nombre", "nombre.1"]
+
+
+def test_auto_reader_on_awkward_files(spark, tmp_path):
+    (tmp_path / "a[1].csv").write_bytes("Nombre;nombre\nAlcalá;\"uno\ndos\"\n".encode("latin-1"))
+    (tmp_path / "{b}*.csv").write_text("Nombre;nombre\nSol;tres\n")
+    rows = {(r[0], r[1]) for r in readers.read_delimited_auto(spark, str(tmp_path)).collect()}
+    assert rows == {("Alcalá", "uno\ndos"), ("Sol", "tres")}
+    late = tmp_path / "late"
+    late.mkdir()
+    (late / "x.csv").write_bytes(b"calle\n" + b"plain text of a line\n" * 5000 + "Alcalá\n".encode("latin-1"))
+    got = readers.read_delimited_auto(spark, str(late), encoding="ISO-8859-1")
+    assert got.where("calle = 'Alcalá'").count() == 1 and got.count() == 5001
+    assert readers.read_delimited(spark, str(late / "x.csv"), encoding="ISO-8859-1").where("calle = 'Alcalá'").count() == 1
+
+
+def test_a_header_of_any_length_is_read_whole(spark, tmp_path):
+    names = [f"column_number_{i}" for i in range(8000)]
+    (tmp_path / "wide.csv").write_text(";".join(names) + "\n" + ";".join("1" * 8000) + "\n")
+    heads = files.file_heads(files.list_files(spark, str(tmp_path), "*.csv")).collect()
+    assert heads[0].lines[0] == ";".join(names) and heads[0].has_rows
+    (shape,) = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv")).collect()
+    assert (shape.separator, len(files.header_names(shape.header, ";")), shape.paths) == (";", 8000, [])
+
+
+def test_shapes_name_paths_only_where_a_folder_is_mixed(spark, tmp_path):
+    for folder, texts in (("same", ["a;b\n1;2\n"] * 3), ("mixed", ["a;b\n1;2\n", "a,b\n1,2\n"])):
+        (tmp_path / folder).mkdir()
+        for i, text in enumerate(texts):
+            (tmp_path / folder / f"{i}.csv").write_text(text)
+    shapes = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv")).collect()
+    assert sorted((s.folder.rsplit("/", 1)[1], s.separator, len(s.paths)) for s in shapes) == [
+        ("mixed", ",", 1), ("mixed", ";", 1), ("same", ";", 0)]
 
 
 def test_listing_is_unique_and_newest_first(spark, tmp_path):
@@ -86,8 +119,10 @@ def test_archives(spark, tmp_path):
                                  ("vacio.csv", "")])
     df = archives.read_csv_archives(spark, str(tmp_path))
     rows = [r for r in df.collect() if r.archive.endswith("2025.zip")]
+    assert {r.id for r in rows} == {"99", *map(str, range(10))}
+    few = archives.read_csv_archives(spark, str(tmp_path), limit=8).collect()
     # the month's own member first, then seven more in stored order
-    assert {r.id for r in rows} == {"99", *map(str, range(7))}
+    assert {r.id for r in few if r.archive.endswith("2025.zip")} == {"99", *map(str, range(7))}
     assert {r.calle for r in df.collect() if r.archive.endswith("otro.zip")} == {"Alcalá"}
     manifest = archives.archive_manifest(files.list_files(spark, str(tmp_path), "*.zip"))
     assert manifest.count() == 13
@@ -98,7 +133,7 @@ def test_archives(spark, tmp_path):
 
 def test_member_ranking_limits_before_the_shuffle(spark):
     manifest = spark.createDataFrame([("a", "m", 1, 1)], "archive string, member string, size long, pos long")
-    plan = archives.select_members(manifest)._jdf.queryExecution().executedPlan().toString()
+    plan = archives.select_members(manifest, limit=8)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
 
@@ -121,6 +156,7 @@ def test_monthly_climate_is_latin1_and_may_lack_months(spark, tmp_path):
     row = climate.climate_monthly(readers.read_climate_json(spark, str(tmp_path), monthly=True), 2024).first()
     assert row["Año"] == 2024 and row["Nombre_Mes"] == "Mes N/D" and row["Humedad_Media_%"] == "año"
     assert row["Temp_Media_°C"] == "28.2" and row["Horas_Sol"] == "N/D"
+    assert climate.climate_monthly(readers.read_climate_json(spark, str(tmp_path), monthly=True), 2023).count() == 0
 
 
 def test_daily_climate_window_is_inclusive_and_newest_first(spark):
@@ -145,6 +181,11 @@ def test_dcat(spark):
     got = [(r.doc, r.pos, r.title, r.href) for r in
            documents.extract_dcat_distributions(docs, "d", "x").orderBy("doc", "pos").collect()]
     assert got == [(1, 0, "c", "http://x/b"), (1, 1, "j", "http://x/a.json"), (2, 0, "c", "http://x/b")]
+    deep = nested.replace("<dcat:dataset>", "<dcat:record>").replace("</dcat:dataset>", "</dcat:record>")
+    other = csv_dist.replace("dcat:Distribution", "o:Distribution").replace(
+        "<o:Distribution>", '<o:Distribution xmlns:o="http://other/">')
+    docs = spark.createDataFrame([(1, head + deep + other + "</rdf:RDF>"), (2, None)], "d int, x string")
+    assert [r.title for r in documents.extract_dcat_distributions(docs, "d", "x").collect()] == ["c"]
 
 
 def test_anchors_and_data_attributes(spark):
@@ -155,6 +196,10 @@ def test_anchors_and_data_attributes(spark):
     got = [(r.pos, r.label, r.href) for r in documents.extract_anchors(pages).collect()]
     assert got == [(0, "Uno dos", "/a?b=1&c=2"), (1, "r", "raw.csv")]
     assert [r.href for r in documents.extract_data_attributes(pages).collect()] == ["/u"]
+    html = """<a title="a > b" data-x='href=/no' href=/d.csv>N&oacute;mina &#233;</a><i title="data-url=no" data-href="/h?a&amp;b">"""
+    pages = spark.createDataFrame([("https://h.example/p", html), ("x", None)], "url string, html string")
+    assert [(r.label, r.href) for r in documents.extract_anchors(pages).collect()] == [("Nómina é", "/d.csv")]
+    assert [r.href for r in documents.extract_data_attributes(pages).collect()] == ["/h?a&b"]
 
 
 def test_sinks_and_datasheet(spark, tmp_path):
