@@ -122,7 +122,7 @@ class Limits:
     """``least`` words make a repeat; limits of its share of a text (%) and of the longest one (words)."""
 
     least: int = 5
-    share: int = 25
+    share: int = 40
     longest: int = 64
 
 

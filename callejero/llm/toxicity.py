@@ -2,7 +2,7 @@
 
 Tokens are words of letters and digits, A-Z lower-cased. The share of toxic
 documents behind a token has a Dirichlet prior whose mean is the share of its
-prefix of one byte less, from 6 bytes down to 3 and the share of all tokens, so
+prefix of one byte less, from 9 bytes down to 3 and the share of all tokens, so
 an unseen word of a known family is judged by its family. A token's score is the
 log-odds of its share against all tokens; tokens that say little cost ``DRIFT``.
 
@@ -38,9 +38,9 @@ from callejero.session import scratch_dir
 
 SAMPLE = 16_000
 LEXICON = 200_000
-DEPTHS = (3, 4, 5, 6)
-WHOLE = 7
-PRIOR = 4.0
+DEPTHS = (3, 4, 5, 6, 7, 8, 9)
+WHOLE = 99
+PRIOR = 6.0
 DRIFT = 0.25
 LEAST = 1.0
 EXPECTED = 0.05
@@ -239,30 +239,20 @@ def train(docs: DataFrame, labels: DataFrame, calibration: Column, key: str = "d
 
     if not sizes.get((False, 1)) or not sizes.get((False, 0)):
         return model
-    counts = _counts(texts_of(False))
+    counts = _counts(texts_of(False)).withColumn("held", F.lit(False)).unionByName(
+        _counts(texts_of(True)).withColumn("held", F.lit(True)))
     folder = scratch_dir(docs.sparkSession, "toxicity")
     counts.write.parquet(folder)
     counts = docs.sparkSession.read.parquet(folder)
-    sums = counts.filter(F.col("level") == len(DEPTHS)).agg(F.sum("n1"), F.sum("n0")).first()
-    toxic, clean = sums[0] or 0, sums[1] or 0
-    if not toxic or not clean:
+    if not _learn(model, counts.filter("NOT held")):
         return model
-    got = _lexicon(counts, toxic, clean).toPandas()
-    for level in range(len(DEPTHS) + 1):
-        own = got[got["level"] == level]
-        keys = own["key"].to_numpy(dtype=np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        model.keys.append(keys[order])
-        model.odds.append(own["odds"].to_numpy(dtype=float)[order])
-    model.lam = _lambda(got["odds"].to_numpy(dtype=float), got["n0"].to_numpy(dtype=float), clean)
-    best = passages(texts_of(True), model, kept=["label"]).toPandas()
-    quiet = best[best["label"] == 0]
+    quiet = passages(texts_of(True), model, kept=["label"]).filter("label = 0").select("best", "n_words").toPandas()
     if len(quiet):
         # K from how often a clean text holds a segment of at least the least score
         over = (quiet["best"] >= LEAST).sum()
         chance = (over + 0.5) / (len(quiet) + 1)
         model.k = float(-np.log1p(-chance) * np.exp(model.lam * LEAST) / max(quiet["n_words"].mean(), 1.0))
-    held = passages(texts_of(True), model, kept=["label"]).toPandas()
+    held = passages(texts_of(True), model, kept=["label"]).select("label", "sum").toPandas()
     if held["label"].nunique() == 2:
         y = held["label"].to_numpy(dtype=float)
         share = {one: sizes[(True, one)] / (y == one).sum() for one in (0, 1)}
@@ -270,9 +260,32 @@ def train(docs: DataFrame, labels: DataFrame, calibration: Column, key: str = "d
         model.intercept, model.slope = _logistic(np.log1p(held["sum"].to_numpy()), y, weight / weight.mean())
     else:
         model.slope = 3.0
+    # the calibration holds for texts that were not learned from; the tokens are then learned from all
+    calibrated = model.lam
+    _learn(model, counts.groupBy("level", "key").agg(
+        F.min("parent").alias("parent"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
+    model.lam = calibrated
     return model
 
 
+def _learn(model: Model, counts: DataFrame) -> bool:
+    """Put the lexicon of some counts and its lambda into the model, if both kinds of text have tokens."""
+    sums = counts.filter(F.col("level") == len(DEPTHS)).agg(F.sum("n1"), F.sum("n0")).first()
+    toxic, clean = sums[0] or 0, sums[1] or 0
+    if not toxic or not clean:
+        return False
+    got = _lexicon(counts, toxic, clean).toPandas()
+    model.keys, model.odds = [], []
+    for level in range(len(DEPTHS) + 1):
+        own = got[got["level"] == level]
+        keys = own["key"].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        model.keys.append(keys[order])
+        model.odds.append(own["odds"].to_numpy(dtype=float)[order])
+    model.lam = _lambda(got["odds"].to_numpy(dtype=float), got["n0"].to_numpy(dtype=float), clean)
+    return True
+
+
 def passages(df: DataFrame, model: Model, text: str = "text", kept: list[str] | None = None) -> DataFrame:
     """Words, significant segments, best segment, and the probability of toxicity of each text."""
     added = {"n_words": ("bigint", pa.int64()), "best": ("double", pa.float64()), "sum": ("double", pa.float64()),
