@@ -10,11 +10,11 @@ in none of the 32 bands with a probability of 5e-8.
 Pairs of a band are never all listed. First each member is compared with one hub of
 its bucket, drawn by the key: the signatures estimate the similarity by bit counts
 (corrected for chance agreement), and pairs within five standard deviations of the
-limit are confirmed on the full sets, the best of each document first. Then only
-members whose component differs are compared, those outside the hub's component
-with the rest of the bucket; again the best first. So a large group of near copies
-costs a few comparisons per member, and no pair that shares a band and could join
-two components goes unchecked.
+limit are confirmed on the full sets, the best of each document first. What is left are
+members of buckets that hold several components. Their pairs across components pass only
+if an exact bound on the shingles they share allows a link; again the best are confirmed
+first. So a large group of near copies costs a few comparisons per member, and no pair
+that shares a band and could join two components goes unchecked.
 
 Only texts of candidate classes are moved, kept by a bitmap of their ids. Tables of
 each phase are written to the shared folder, where an executor's loss costs nothing.
@@ -45,6 +45,9 @@ PERCENT = 80
 #: least estimate to confirm: 0.8 less five standard deviations of the estimate
 ESTIMATE = 0.58
 SIGNATURE = ["s0", "s1", "s2", "s3"]
+#: slots of the bitmaps of sets that were compared with their hubs only, and the words that hold them
+SLOTS = 4096
+WORDS = [f"w{i}" for i in range(SLOTS // 64)]
 
 
 def _factors(seed: int = 11) -> np.ndarray:
@@ -207,21 +210,26 @@ def _labelled(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
             .withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b")))
 
 
-def _resolve(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, folder: _Folder, shingle: int,
-             percent: int) -> DataFrame | None:
-    """Confirm candidate pairs (a, b, e), the best of each document first; return the new labels."""
-    if pairs.isEmpty():
-        return labels
-    involved = pairs.select(F.xxhash64("a").alias("h")).unionByName(pairs.select(F.xxhash64("b").alias("h")))
-    seen = docs.sparkSession.sparkContext.broadcast(bitmap(involved, "h"))
+def _texts_of(docs: DataFrame, hashes: DataFrame, folder: _Folder) -> DataFrame:
+    """Id and text of the documents whose hashed id (``h``) is asked for, and a few others."""
+    seen = docs.sparkSession.sparkContext.broadcast(bitmap(hashes, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = pa.array(np.flatnonzero(holds(seen.value, batch.column(2).to_numpy())))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["id", "text"])
 
-    held = folder.keep(docs.filter("id IS NOT NULL AND text IS NOT NULL").select("id", "text", F.xxhash64("id")).mapInArrow(
+    return folder.keep(docs.filter("id IS NOT NULL AND text IS NOT NULL").select("id", "text", F.xxhash64("id")).mapInArrow(
         run, "id bigint, text string"))
+
+
+def _resolve(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, folder: _Folder, shingle: int,
+             percent: int) -> DataFrame | None:
+    """Confirm candidate pairs (a, b, e), the best of each document first; return the new labels."""
+    if pairs.isEmpty():
+        return labels
+    involved = pairs.select(F.xxhash64("a").alias("h")).unionByName(pairs.select(F.xxhash64("b").alias("h")))
+    held = _texts_of(docs, involved, folder)
     sides = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "e").unionByName(
         pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "e"))
     best = sides.groupBy("x").agg(F.max(F.struct("e", "y")).alias("top")).select("x", F.col("top.y").alias("y"))
@@ -237,6 +245,54 @@ def _resolve(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, folder
     return labels
 
 
+def _others(live: DataFrame, reps: DataFrame, docs: DataFrame, folder: _Folder, shingle: int,
+            percent: int) -> DataFrame:
+    """Candidate pairs (a, b, e) of different components among the members of mixed buckets.
+
+    ``live``: bucket, id, label, inner (of the hub's component, to be compared with others
+    only). A pair is compared in the first band it shares. Beside the estimate, each set
+    has a bitmap of ``SLOTS`` hashed slots: two sets share at most as many shingles as
+    slots, and one more for each slot that several of a set's own shingles take. That
+    bound is exact, and refutes most pairs below the limit inside the join.
+    """
+    held = _texts_of(docs, live.select(F.xxhash64("id").alias("h")), folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in texts.blocks(batch.column(1)):
+                values, n = shingles(block, shingle)
+                slots = np.zeros((len(n), SLOTS), dtype=bool)
+                slots[np.repeat(np.arange(len(n)), n), (values >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)] = True
+                words = np.packbits(slots, axis=1, bitorder="little").view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(block.low, block.high - block.low), pa.array(n, pa.int64()),
+                     pa.array(n - slots.sum(axis=1), pa.int64()), *[pa.array(words[:, i]) for i in range(len(WORDS))]],
+                    names=["id", "n", "spare", *WORDS])
+
+    columns = ", ".join(f"{c} bigint" for c in ("id", "n", "spare", *WORDS))
+    known = folder.keep(held.mapInArrow(run, columns).dropDuplicates(["id"]))
+    signed = reps.select("id", *SIGNATURE, "bands").dropDuplicates(["id"])
+    rows = folder.keep(live.join(known, "id").join(signed, "id").withColumn(
+        "earlier", F.slice("bands", F.lit(1), F.array_position("bands", F.col("bucket")).cast("int") - 1)).drop("bands"))
+    values = ["bucket", "id", "label", "inner", "n", "spare", "earlier", *SIGNATURE, *WORDS]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{name}_{c}") for c in values])
+
+    shared = F.least("a_spare", "b_spare")
+    for word in WORDS:
+        shared = shared + F.bit_count(F.col(f"a_{word}").bitwiseAND(F.col(f"b_{word}")))
+    total = F.col("a_n") + F.col("b_n")
+    # 100 I >= p (na + nb - I), with the bound for I
+    pairs = side(rows.filter("NOT inner"), "a").join(
+        side(rows, "b"), (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label"))
+        & (F.col("b_inner") | (F.col("a_id") < F.col("b_id")))
+        & ((100 + percent) * F.least("a_n", "b_n") >= percent * total) & (estimate("a_", "b_") >= ESTIMATE)
+        & ((100 + percent) * shared >= percent * total) & ~F.arrays_overlap("a_earlier", "b_earlier"))
+    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"),
+                        estimate("a_", "b_").alias("e")).distinct()
+
+
 def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: str = "doc_id",
                text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
@@ -258,34 +314,20 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: s
     ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), estimate("", "h").alias("e")).distinct())
     labels = _resolve(stars, None, docs, folder, shingle, percent)
 
-    # a pair is compared in the first band it shares; band keys differ from band to band
-    crowd = reps.select("id", *SIGNATURE, "bands", F.posexplode("bands").alias("band", "bucket")).withColumn(
-        "earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands", "band").join(
-        hubs.filter("size > 2").select("bucket", "hub"), "bucket").filter("id <> hub")
+    # what is left to compare: members of a bucket that also holds another component
+    met = members.select("id", "bucket").join(hubs.filter("size > 2").select("bucket", "hub"), "bucket").filter("id <> hub")
     if labels is not None:
-        crowd = crowd.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").join(
+        met = met.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").join(
             labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
-        crowd = crowd.withColumn("label", F.coalesce("label", "id")).withColumn("hub_label", F.coalesce("hub_label", "hub"))
+        met = met.withColumn("label", F.coalesce("label", "id")).withColumn("hub_label", F.coalesce("hub_label", "hub"))
     else:
-        crowd = crowd.withColumn("label", F.col("id")).withColumn("hub_label", F.col("hub"))
-    crowd = crowd.select("bucket", "id", "label", (F.col("label") == F.col("hub_label")).alias("inner"), *SIGNATURE, "earlier")
-    # a bucket whose members are all of the hub's component has nothing left to compare
-    crowd = folder.keep(crowd)
-    outer = folder.keep(crowd.filter("NOT inner"))
-    if not outer.isEmpty():
-        crowd = crowd.join(outer.select("bucket").distinct(), "bucket", "left_semi")
-
-        def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-            return rows.select(F.col("bucket").alias(f"{name}bucket"), F.col("id").alias(name), F.col("label").alias(f"l{name}"),
-                               F.col("earlier").alias(f"{name}earlier"), *more, *[F.col(s).alias(f"{name}{s}") for s in SIGNATURE])
-
-        others = side(outer, "a").join(side(crowd, "b", "inner"), (F.col("abucket") == F.col("bbucket"))
-                                       & (F.col("la") != F.col("lb")) & (F.col("inner") | (F.col("a") < F.col("b")))
-                                       & (estimate("a", "b") >= ESTIMATE) & ~F.arrays_overlap("aearlier", "bearlier"))
-        others = others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                               estimate("a", "b").alias("e")).distinct()
-        others = folder.keep(others.join(stars, ["a", "b"], "left_anti"))
-        labels = _resolve(others, labels, docs, folder, shingle, percent)
+        met = met.withColumn("label", F.col("id")).withColumn("hub_label", F.col("hub"))
+    met = folder.keep(met.select("bucket", "id", "label", (F.col("label") == F.col("hub_label")).alias("inner")))
+    mixed = met.filter("NOT inner").select("bucket").distinct()
+    live = folder.keep(met.join(mixed, "bucket", "left_semi"))
+    if not live.isEmpty():
+        others = _others(live, reps, docs, folder, shingle, percent)
+        labels = _resolve(folder.keep(others.join(stars, ["a", "b"], "left_anti")), labels, docs, folder, shingle, percent)
     named = classes
     if labels is not None:
         named = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn(
