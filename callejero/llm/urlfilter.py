@@ -11,8 +11,9 @@ blocked ones by most.
 
 Everything is grouping, joining and windows over character sequences: counts of
 the longest sequences are taken once, those of shorter ones are sums of them, and
-all tables but the first hold distinct sequences. Log ratios are whole millionths,
-so sums don't depend on their order.
+all tables but the first hold distinct sequences. Each of them is written to the
+shared folder, which keeps the plans, and what the driver holds for them, small.
+Log ratios are whole millionths, so sums don't depend on their order.
 
 A null address or one without ``://`` has an empty host and path, fits no rule and
 scores 0. A side without any address makes every score 0 and the threshold 0.
@@ -26,6 +27,8 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callejero.session import scratch_dir
+
 ORDER = 4
 ALPHABET = 256
 SCALE = 1_000_000
@@ -62,15 +65,21 @@ def _pieces(text: Column, order: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(order + 1)))
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """Log ratio of both models for each sequence; ``counts``: piece, n1 (allowed), n0 (blocked)."""
-    tables = [counts]
+    folder = scratch_dir(counts.sparkSession, "characters")
+    tables = [_kept(counts, f"{folder}/counts-{order + 1}")]
     for size in range(order, 0, -1):
-        tables.append(tables[-1].groupBy(F.substring("piece", 2, size).alias("piece")).agg(
-            F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
+        tables.append(_kept(tables[-1].groupBy(F.substring("piece", 2, size).alias("piece")).agg(
+            F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), f"{folder}/counts-{size}"))
     done = None
     for size, level in enumerate(reversed(tables), start=1):
-        context = F.substring("piece", 1, size - 1) if size > 1 else F.lit("")
+        context = F.substring("piece", 1, size - 1)
         totals = level.groupBy(context.alias("context")).agg(
             F.sum("n1").alias("t1"), F.sum("n0").alias("t0"),
             F.sum((F.col("n1") > 0).cast("bigint")).alias("k1"), F.sum((F.col("n0") > 0).cast("bigint")).alias("k0"))
@@ -85,7 +94,8 @@ def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
             n, t, k, q = (F.col(f"{c}{side}") for c in "ntkq")
             return F.when(t > 0, (n + k * q) / (t + k)).otherwise(q)
 
-        done = step.select("piece", "n1", "n0", chance(1).alias("p1"), chance(0).alias("p0"))
+        done = _kept(step.select("piece", "n1", "n0", chance(1).alias("p1"), chance(0).alias("p0")),
+                     f"{folder}/chances-{size}")
     return done.select("piece", F.round(F.log(F.col("p1") / F.col("p0")) * SCALE).cast("bigint").alias("ratio"))
 
 
@@ -110,6 +120,7 @@ def judge(df: DataFrame, rules: dict[str, str], url: str = "url", order: int = O
     asked = texts.filter(F.col("side").isNull() | F.col("held"))
     scored = asked.select("_text", "n", "side", F.explode(_pieces(F.col("_text"), order)).alias("piece")).join(
         ratios, "piece").groupBy("_text", "n", "side").agg((F.sum("ratio") / F.count("*")).alias("_mean"))
+    scored = _kept(scored, f"{scratch_dir(df.sparkSession, 'addresses')}/scored")
     bins = scored.filter(F.col("side").isNotNull()).groupBy(
         F.greatest(F.least(F.floor(F.col("_mean") / BIN), F.lit(LAST_BIN)), F.lit(-LAST_BIN)).alias("bin")).agg(
         F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("n1"),
