@@ -3,11 +3,15 @@
 A page is cut into blocks of text, each with its path of block elements from the
 root (with classes and ids; inline markup is no part of it). Over the blocks of a
 path, text length and punctuation give its ratio: characters outside links per
-block, times one plus the punctuation marks per block. Ratios are smoothed along
-the page, fused over the paths of one container (the nearest article or main
-element, else the parent), weighted by the container's share of the text, and
-containers of at least ``THRESHOLD`` of the best one are the content: all their
-blocks, however short.
+block, times one plus the punctuation marks per block, smoothed along the page. A
+block weighs its characters outside links times this ratio, an element what all
+blocks inside weigh. The outermost article and main elements are the content,
+unless the rest of the page weighs ``SEMANTIC_WEIGHT`` times as much; then, or
+without them, the root of the content is found from the top: the way goes down
+into the wrapper that has ``ROOT_SHARE`` of the weight, as far as there is one. All
+blocks below the root are content, however short. Of what stands beside the way,
+wrappers that are mostly links go, and so does bare text of a low ratio beside or
+above such wrappers.
 
 Elements that are never content (scripts, forms, menus, page headers and footers,
 asides, notices, adverts, reader comments) are left out before, by name, role or
@@ -16,7 +20,7 @@ an end tag without a start is ignored, open elements end with the page, an
 unfinished tag, comment or script at the end is dropped.
 
 A null or empty page has the empty text. Pages are independent, so repeated rows
-and ties need no rule; a tie of containers keeps all of them.
+and ties need no rule.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ from pyspark.sql import DataFrame
 
 THRESHOLD = 0.5
 SEMANTIC_WEIGHT = 8.0
+#: the way to the root goes on while one wrapper has this share of the weight
+ROOT_SHARE = 0.9
+#: a wrapper is mostly links where they have this many times the characters outside
+LINK_TIMES = 2
 
 # Elements of HTML
 BLOCKS = frozenset("""
@@ -56,6 +64,11 @@ MARKS = frozenset("""
     newsletter subscribe subscription signup login share sharing social search hidden skip
 """.split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
+# Elements that only arrange others; those that frame a page; those whose own text is bare
+WRAPPERS = frozenset("html body div section center table tbody tr td main article dl ul ol".split())
+FRAMES = frozenset("html body".split())
+BARE = frozenset("html body div center address".split())
+SEMANTIC = frozenset("article main".split())
 QUALIFIERS = frozenset("has with no is without".split())
 PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、；：！？]")
 
@@ -90,10 +103,10 @@ def _is_noise(name: str, attributes: dict[str, str], raw: str, inside: bool) ->
             or _marked(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """Path, text and characters in links of every block that may be content, in page order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, str, bool]] = []   # name, name in paths, whether in noise
+def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, tuple[tuple[str, int], ...]]]:
+    """Path, text, characters in links and elements (name and number) of every block that may be content, in page order."""
+    out: list[tuple[tuple[str, ...], str, int, tuple[tuple[str, int], ...]]] = []
+    stack: list[tuple[str, str, bool, int]] = []   # name, name in paths, whether in noise, number
     text: list[str] = []
     linked, in_link, inline_noise = 0, 0, []
     end = len(page)
@@ -102,7 +115,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         nonlocal linked
         whole = " ".join(html.unescape("".join(text)).split())
         if whole and not (stack and stack[-1][2]):
-            out.append((tuple(s[1] for s in stack), whole, linked))
+            out.append((tuple(s[1] for s in stack), whole, linked, tuple((s[0], s[3]) for s in stack)))
         text.clear()
         linked = 0
 
@@ -169,7 +182,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
                 label += f"#{attributes['id']}" if attributes.get("id") and name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr") else ""
             else:
                 label = name
-            stack.append((name, label, above or _is_noise(name, attributes, raw, inside)))
+            stack.append((name, label, above or _is_noise(name, attributes, raw, inside), at))
         elif name not in VOID:
             if name == "a":
                 in_link += 1
@@ -181,37 +194,65 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
-def _container(path: tuple[str, ...]) -> tuple[tuple[str, ...], float]:
-    for i, label in enumerate(path):
-        if label.split(".")[0].split("#")[0] in ("article", "main"):
-            deeper = next((j for j in range(i + 1, len(path)) if path[j].split(".")[0].split("#")[0] == "article"), i)
-            return path[:deeper + 1], SEMANTIC_WEIGHT
-    return path[:-1] if len(path) > 1 else path, 1.0
+def _under_root(found: list, ratio: list[float], weight: list[float], least: float) -> list[int]:
+    """Blocks below the root of a page's content, and those beside the way to it that are content too."""
+    levels, depth, core = [], 0, list(range(len(found)))
+    total = sum(weight)
+    while True:
+        above = found[core[0]][3][depth - 1][0] if depth else "html"
+        parts: dict[tuple, list[int]] = {}
+        for i in core:
+            nodes = found[i][3]
+            parts.setdefault(nodes[depth] if len(nodes) > depth else (None, i), []).append(i)
+        way = max(parts, key=lambda p: sum(weight[i] for i in parts[p]))
+        down = above != "article" and way[0] in WRAPPERS and sum(weight[i] for i in parts[way]) >= ROOT_SHARE * total
+        if down or above in FRAMES:   # a frame is never the root
+            levels.append([(part[0], inside) for part, inside in parts.items() if not (down and part == way)])
+            core = parts[way] if down else []
+        if not down:
+            break
+        depth += 1
+    kept, has_links = core, False
+    for level in reversed(levels):
+        rest = []
+        for name, inside in level:
+            linked = sum(found[i][2] for i in inside)
+            if (name is None or name in WRAPPERS) and linked and linked >= LINK_TIMES * sum(
+                    max(len(found[i][1]) - found[i][2], 0) for i in inside):
+                has_links = True
+            else:
+                rest.append((name, inside))
+        for name, inside in rest:
+            bare = (name is None or name in WRAPPERS) and all(not found[i][3] or found[i][3][-1][0] in BARE for i in inside)
+            if not (has_links and bare and max(ratio[i] for i in inside) < least):
+                kept = kept + inside
+    return kept
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
-    """Blocks of the content containers, joined by line feeds."""
+    """Blocks of the content, joined by line feeds."""
     found = blocks(page or "")
     if not found:
         return ""
     sums: dict[tuple[str, ...], list[float]] = {}
-    for path, text, linked in found:
+    for path, text, linked, _ in found:
         entry = sums.setdefault(path, [0, 0, 0])
         entry[0] += max(len(text) - linked, 0)
         entry[1] += 1
         entry[2] += len(PUNCTUATION.findall(text))
-    ratio = [sums[p][0] / sums[p][1] * (1 + sums[p][2] / sums[p][1]) for p, _, _ in found]
+    own = {p: chars / count * (1 + marks / count) for p, (chars, count, marks) in sums.items()}
+    ratio = [own[f[0]] for f in found]
     edged = [ratio[0], *ratio, ratio[-1]]
     smooth = [(a + 2 * b + c) / 4 for a, b, c in zip(edged, edged[1:], edged[2:])]
-    fused: dict[tuple[str, ...], list[float]] = {}
-    for (path, text, linked), value in zip(found, smooth):
-        container, weight = _container(path)
-        entry = fused.setdefault(container, [0.0, 0.0, weight])
-        entry[0] = max(entry[0], value)
-        entry[1] += max(len(text) - linked, 0) + 1
-    score = {c: value * size * weight for c, (value, size, weight) in fused.items()}
-    least = threshold * max(score.values())
-    return "\n".join(text for path, text, _ in found if score[_container(path)[0]] >= least)
+    weight = [max(len(text) - linked, 0) * value for (_, text, linked, _), value in zip(found, smooth)]
+    total = sum(weight)
+    kept = {i for i, f in enumerate(found) if any(name in SEMANTIC for name, _ in f[3])}
+    semantic = sum(weight[i] for i in kept)
+    if not total:
+        kept = set(range(len(found)))
+    elif not semantic or semantic * SEMANTIC_WEIGHT < total - semantic:
+        kept = set(_under_root(found, ratio, weight, threshold * max(ratio)))
+    return "\n".join(f[1] for i, f in enumerate(found) if i in kept)
 
 
 def extract(df: DataFrame, page: str = "html", out: str = "text") -> DataFrame:

@@ -360,6 +360,31 @@ def test_main_text_of_broken_pages(page, text):
     assert tagpaths.main_text(page) == text
 
 
+LINKS = '<div class="links"><a href="/">Home of the site</a> <a href="/b">Another page</a></div>'
+PROSE = "Long text, with words; and more words. Also more, and more, and more of it."
+
+
+def test_main_text_is_whole_without_article():
+    page = f"""<body>{LINKS}<div class="content"><h1>Title</h1><p>{PROSE}</p><ul><li>One</li><li>Two</li></ul>
+<blockquote><p>Quote</p></blockquote><table><tr><td>Cell</td></tr></table>
+<div class="s1"><h2>First</h2><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div><div class="s2"><h2>Second</h2><p>Short.</p></div>
+<p><a href="/x">Source</a></p></div></body>"""
+    assert tagpaths.main_text(page).split("\n") == [
+        "Title", PROSE, "One", "Two", "Quote", "Cell", "First", PROSE, PROSE, PROSE, "Second", "Short.", "Source"]
+
+
+@pytest.mark.parametrize("page, texts", [
+    (f"<article id=post-1><p>{PROSE}<p>{PROSE}</article><article id=post-2><p>Two.</article>", [PROSE, PROSE, "Two."]),
+    (f"<main><h1>Head</h1><article><p>{PROSE}<p>{PROSE}</article></main>", ["Head", PROSE, PROSE]),
+    (f"<body>{LINKS}<h1>Head</h1><div class=text><p>{PROSE}<p>{PROSE}</div><ol><li>One</ol><div>Imprint</div>",
+     ["Head", PROSE, PROSE, "One"]),
+    (f"<body>{LINKS}<article></article><div class=text><p>{PROSE}<p>{PROSE}</div>", [PROSE, PROSE]),
+    ("<body><a href=x>only links</a>", ["only links"]),
+])
+def test_main_text_keeps_what_belongs_to_it(page, texts):
+    assert tagpaths.main_text(page).split("\n") == texts
+
+
 def test_extract_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, None, "u", "old"), (2, "<p>new", None, None)], "page_id int, html string, url string, text string")
     assert sorted(map(tuple, tagpaths.extract(df).select("page_id", "url", "text").collect())) == [(1, "u", ""), (2, None, "new")]
