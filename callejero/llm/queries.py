@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callejero.llm import (
-    bpe, decontaminate, hierarchy, language, neardup, oracles, repetition, sharding, tagpaths, toxicity, urlfilter,
+    bpe, decontaminate, hierarchy, language, neardup, oracles, repetition, resample, sharding, spelling, tagpaths,
+    tokenfiles, toxicity, urlfilter,
 )
+from callejero.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +129,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleave(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words, the word each is a variant of, and the root of that."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", F.col("n_near").cast("bigint"), "form_n")
+
+
+@query()
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's token ids, read back from the files."""
+    import public_tokenizers
+
+    docs, folder = table(spark, sf_dir, "documents"), scratch_dir(spark, "tokenfiles")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as lines:
+        tokenfiles.write(docs, folder, lines.read(), public_tokenizers.PATTERN)
+    return tokenfiles.read(spark, folder, with_ids=False)
+
+
+@query()
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's texts, and the ranks of the twentieth that is drawn."""
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
