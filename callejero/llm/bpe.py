@@ -19,16 +19,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORDS_KEPT = 200_000
 SHORT = 48
+#: maps that the literal rank table is dealt to
+SLOTS = 8192
 IDS = ("array<int>", pa.list_(pa.int32()))
 
 
@@ -179,41 +183,47 @@ def digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "t
 
 # -- the fold as a higher-order function --------------------------------------
 
-def rank_map(spark: SparkSession, ranks: dict[bytes, int], buckets: int = 8192) -> Column:
-    """The rank table as one literal: an array of small maps, found by the hash of the piece.
+def byte_text(piece: bytes) -> str:
+    """A character for each byte, as maps and concatenation of text need it."""
+    return piece.decode("latin-1")
+
+
+def rank_map(ranks: dict[bytes, int], buckets: int = SLOTS) -> Column:
+    """The rank table as one literal: an array of small maps, found by the CRC of the piece.
 
     A map is searched from its start, so one map of all pieces would cost its
-    whole length for every pair.
+    whole length for every pair. The text is folded into a literal once per plan.
     """
-    pieces = spark.createDataFrame([(bytearray(p), r) for p, r in ranks.items()], "piece binary, rank int")
-    slot = F.pmod(F.xxhash64("piece"), F.lit(buckets)).cast("int")
-    maps = pieces.groupBy(slot.alias("slot")).agg(
-        F.collect_list(F.struct("piece", "rank")).alias("m"))
-    whole = spark.range(buckets).select(F.col("id").cast("int").alias("slot")).join(maps, "slot", "left")
-    table = whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "m"))),
-                                  lambda x: F.map_from_entries(x["m"])).alias("t"))
-    return table.scalar()
+    maps: list[dict[str, int]] = [{} for _ in range(buckets)]
+    for piece, rank in ranks.items():
+        maps[zlib.crc32(byte_text(piece).encode()) % buckets][byte_text(piece)] = rank
+    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
 
 
-def fold_words(words: DataFrame, table: Column, word: str = "word", buckets: int = 8192) -> DataFrame:
+def fold_words(words: DataFrame, table: Column, word: str = "word", buckets: int = SLOTS) -> DataFrame:
     """Add ``ids`` to a table of distinct binary words, by a fold of ranked merges."""
     def rank(piece: Column) -> Column:
-        found = F.element_at(table, F.pmod(F.xxhash64(piece), F.lit(buckets)).cast("int") + 1)
-        return F.try_element_at(found, piece)
+        slot = (F.crc32(piece.cast("binary")) % buckets).cast("int") + 1
+        return F.try_element_at(F.element_at(table, slot), piece)
 
     def merge(parts: Column, _: Column) -> Column:
-        pairs = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-            lambda i: F.struct(rank(F.concat(F.element_at(parts, i), F.coalesce(F.try_element_at(parts, i + 1), F.lit(b"")))).alias("r"),
-                               i.alias("i")))
-        best = F.array_min(F.filter(pairs, lambda p: p["r"].isNotNull()))
-        joined = F.concat(F.slice(parts, 1, best["i"] - 1),
-                          F.array(F.concat(F.element_at(parts, best["i"]), F.element_at(parts, best["i"] + 1))),
-                          F.slice(parts, best["i"] + 2, F.size(parts)))
-        return F.when((F.size(parts) > 1) & best.isNotNull(), joined).otherwise(parts)
-
-    letters = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(F.col(word), i, F.lit(1)))
-    parts = F.aggregate(F.sequence(F.lit(1), F.length(word)), letters, merge)
-    ids = F.transform(parts, rank)
-    empty = F.array().cast("array<int>")
-    return words.withColumn("ids", F.when(F.length(word) > 0, ids).otherwise(empty))
+        pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.struct(
+            rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))).alias("r"), i.alias("i")))
+        best = F.when(F.size(parts) > 1, F.array_min(F.filter(pairs, lambda p: p["r"].isNotNull()))["i"])
+
+        def joined(i: Column) -> Column:
+            return F.concat(F.slice(parts, F.lit(1), i - 1),
+                            F.array(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))),
+                            F.slice(parts, i + 2, F.size(parts)))
+
+        # an array of one place or none, so that the place is found once
+        return F.coalesce(F.get(F.transform(F.filter(F.array(best), lambda i: i.isNotNull()), joined), F.lit(0)), parts)
+
+    text = F.decode(F.col(word), "ISO-8859-1")
+    size = F.char_length(text)
+    letters = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(text, i, F.lit(1)))
+    whole = rank(text)   # most words are pieces
+    parts = F.aggregate(F.sequence(F.lit(2), size), letters, merge)
+    ids = F.when(size == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).when(
+        size == 1, F.transform(letters, rank)).otherwise(F.transform(parts, rank))
+    return words.withColumn("ids", ids)

@@ -23,6 +23,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +95,7 @@ def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def codewords(count: int, seed: int = 7) -> np.ndarray:
-    """All splits of up to five languages; beyond, ten times log2 random splits, all different."""
+    """All splits of up to five languages; beyond, ten times log2 even splits at random, all different, or all even ones."""
     if count < 2:
         return np.ones((count, 0), dtype=np.int8)
     if count <= 5:
@@ -101,6 +103,10 @@ def codewords(count: int, seed: int = 7) -> np.ndarray:
         return np.array(splits, dtype=np.int8).T
     rng = np.random.default_rng(seed)
     bits = 10 * int(np.ceil(np.log2(count)))
+    half = count // 2
+    if comb(count, half) // (1 if count % 2 else 2) <= bits:   # six languages have ten even splits
+        sides = [c for c in combinations(range(count), half) if count % 2 or 0 in c]
+        return np.array([[1 if i in c else -1 for c in sides] for i in range(count)], dtype=np.int8)
     columns: dict[bytes, np.ndarray] = {}
     while len(columns) < bits or len(np.unique(np.array(list(columns.values())).T, axis=0)) < count:
         column = np.where(rng.permutation(count) < count // 2, 1, -1).astype(np.int8)

@@ -15,8 +15,8 @@ are added up, and a logistic curve fitted on the calibration texts turns the sum
 into a probability.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE`` of either
-class, by the hash of the id) and holds at most ``LEXICON`` prefixes and words.
-Rows with a null label are not learned from; of several labels of one id the
+class, by the hash of the id), for learning and for calibration each; the lexicon is
+as large as what that sample says. Rows with a null label are not learned from; of several labels of one id the
 highest counts. Null and empty texts have no segments and get the score of a text
 without any. Without rows to learn from, every score is the share of toxic labels
 (0 without labels). Repeated rows are judged alike; columns of the input with the
@@ -37,7 +37,6 @@ from callejero.llm import texts
 from callejero.session import scratch_dir
 
 SAMPLE = 16_000
-LEXICON = 200_000
 DEPTHS = (3, 4, 5, 6, 7, 8, 9)
 WHOLE = 99
 PRIOR = 6.0
@@ -99,33 +98,34 @@ def _counts(rows: DataFrame) -> DataFrame:
         F.min("parent").alias("parent"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def _lexicon(counts: DataFrame, toxic: int, clean: int) -> DataFrame:
-    """Prefixes and words that speak for toxicity, or against a prefix of theirs that does."""
-    root = toxic / (toxic + clean)
-
-    def share(of: Column) -> Column:
-        return (F.col("n1") + PRIOR * of) / (F.col("n1") + F.col("n0") + PRIOR)
+def _lexicon(counts: DataFrame, toxic: int, clean: int, folder: str) -> DataFrame:
+    """Prefixes and words that speak for toxicity, or against a prefix of theirs that does.
 
-    done = None
+    Each level is written, and the next one is joined with what was written, so that
+    no plan holds more than one level.
+    """
+    spark = counts.sparkSession
+    root = toxic / (toxic + clean)
     for level in range(len(DEPTHS) + 1):
-        own = counts.filter(F.col("level") == level)
-        if done is None:
-            step = own.withColumn("before", F.lit(root))
+        own = counts.filter(F.col("level") == level).drop("level")
+        if level:
+            # a prefix's parent is on the level before; a word's is its longest prefix
+            above = spark.read.parquet(f"{folder}/level={level - 1}" if level < len(DEPTHS) else folder)
+            own = own.join(above.select(F.col("key").alias("parent"), F.col("share").alias("before")), "parent", "left")
         else:
-            step = own.join(done.select(F.col("key").alias("parent"), F.col("share").alias("before")), "parent", "left")
-            step = step.withColumn("before", F.coalesce("before", F.lit(root)))
-        step = step.withColumn("share", share(F.col("before"))).select("level", "key", "n1", "n0", "before", "share")
-        done = step if done is None else done.unionByName(step)
+            own = own.withColumn("before", F.lit(None).cast("double"))
+        before = F.coalesce("before", F.lit(root))
+        share = (F.col("n1") + PRIOR * before) / (F.col("n1") + F.col("n0") + PRIOR)
+        own.select("key", "n1", "n0", before.alias("before"), share.alias("share")).write.parquet(f"{folder}/level={level}")
     base = float(np.log(root / (1 - root)))
 
     def odds(of: str) -> Column:
         return F.log(F.col(of) / (1 - F.col(of))) - base
 
-    rows = done.withColumn("odds", odds("share")).withColumn("before", odds("before"))
+    rows = spark.read.parquet(folder).withColumn("odds", odds("share")).withColumn("before", odds("before"))
     speaks = (F.col("odds") >= LEAST) & (F.col("n1") >= 2) & (F.col("odds") - F.col("before") >= 0.5)
     against = (F.col("before") >= LEAST) & (F.col("before") - F.col("odds") >= 0.5)
-    return rows.filter(speaks | against).orderBy(F.desc(F.abs("odds") * (F.col("n1") + F.col("n0"))), "level", "key").limit(
-        LEXICON).select("level", "key", "odds", "n0")
+    return rows.filter(speaks | against).select("level", "key", "odds", "n0")
 
 
 def segments(at: list[int], score: list[float], drift: float) -> list[tuple[int, int, float]]:
@@ -230,29 +230,27 @@ def train(docs: DataFrame, labels: DataFrame, calibration: Column, key: str = "d
     total = sum(sizes.values())
     toxic_share = sum(n for (_, one), n in sizes.items() if one) / total if total else 0.0
     model = Model(intercept=float(np.log(toxic_share / (1 - toxic_share))) if 0 < toxic_share < 1 else 40.0 * (2 * toxic_share - 1))
-    rows = docs.select(F.col(key), F.col(text).alias("text"))
-
-    def texts_of(held: bool) -> DataFrame:
-        # at most twice the sample: its ids and labels are what is broadcast
-        chosen = _bounded(given.filter(F.col("held") == held), key, sample)
-        return rows.join(F.broadcast(chosen.select(key, "label")), key).select("text", "label")
-
     if not sizes.get((False, 1)) or not sizes.get((False, 0)):
         return model
-    counts = _counts(texts_of(False)).withColumn("held", F.lit(False)).unionByName(
-        _counts(texts_of(True)).withColumn("held", F.lit(True)))
-    folder = scratch_dir(docs.sparkSession, "toxicity")
-    counts.write.parquet(folder)
-    counts = docs.sparkSession.read.parquet(folder)
-    if not _learn(model, counts.filter("NOT held")):
+    spark, folder = docs.sparkSession, scratch_dir(docs.sparkSession, "toxicity")
+    # at most four times the sample: its ids and labels are what is broadcast, its texts are written once
+    chosen = _bounded(given.filter("NOT held"), key, sample).unionByName(_bounded(given.filter("held"), key, sample))
+    docs.select(F.col(key), F.col(text).alias("text")).join(
+        F.broadcast(chosen.select(key, "label", "held")), key).select("text", "label", "held").write.parquet(f"{folder}/sample")
+    rows = spark.read.parquet(f"{folder}/sample")
+    calibrating = rows.filter("held").select("text", "label")
+    _counts(rows.filter("NOT held").select("text", "label")).withColumn("held", F.lit(False)).unionByName(
+        _counts(calibrating).withColumn("held", F.lit(True))).write.parquet(f"{folder}/counts")
+    counts = spark.read.parquet(f"{folder}/counts")
+    if not _learn(model, counts.filter("NOT held").drop("held"), f"{folder}/learned"):
         return model
-    quiet = passages(texts_of(True), model, kept=["label"]).filter("label = 0").select("best", "n_words").toPandas()
+    quiet = passages(calibrating, model, kept=["label"]).filter("label = 0").select("best", "n_words").toPandas()
     if len(quiet):
         # K from how often a clean text holds a segment of at least the least score
         over = (quiet["best"] >= LEAST).sum()
         chance = (over + 0.5) / (len(quiet) + 1)
         model.k = float(-np.log1p(-chance) * np.exp(model.lam * LEAST) / max(quiet["n_words"].mean(), 1.0))
-    held = passages(texts_of(True), model, kept=["label"]).select("label", "sum").toPandas()
+    held = passages(calibrating, model, kept=["label"]).select("label", "sum").toPandas()
     if held["label"].nunique() == 2:
         y = held["label"].to_numpy(dtype=float)
         share = {one: sizes[(True, one)] / (y == one).sum() for one in (0, 1)}
@@ -263,18 +261,18 @@ def train(docs: DataFrame, labels: DataFrame, calibration: Column, key: str = "d
     # the calibration holds for texts that were not learned from; the tokens are then learned from all
     calibrated = model.lam
     _learn(model, counts.groupBy("level", "key").agg(
-        F.min("parent").alias("parent"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
+        F.min("parent").alias("parent"), F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), f"{folder}/learned-from-all")
     model.lam = calibrated
     return model
 
 
-def _learn(model: Model, counts: DataFrame) -> bool:
+def _learn(model: Model, counts: DataFrame, folder: str) -> bool:
     """Put the lexicon of some counts and its lambda into the model, if both kinds of text have tokens."""
     sums = counts.filter(F.col("level") == len(DEPTHS)).agg(F.sum("n1"), F.sum("n0")).first()
     toxic, clean = sums[0] or 0, sums[1] or 0
     if not toxic or not clean:
         return False
-    got = _lexicon(counts, toxic, clean).toPandas()
+    got = _lexicon(counts, toxic, clean, folder).toPandas()   # bounded by the sample
     model.keys, model.odds = [], []
     for level in range(len(DEPTHS) + 1):
         own = got[got["level"] == level]
