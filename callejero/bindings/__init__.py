@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("incidents", "scalars", "transit", "air", "places", "links", "files")
+MODULES = ("incidents", "scalars", "transit", "air", "places", "links", "files", "checks", "risk")
 
 
 def query(oracle: str | None = None):

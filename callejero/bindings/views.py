@@ -352,6 +352,57 @@ SELECT doc_id,
          WHEN 6 THEN '/p/clima/aemet.csv'
          ELSE '/p/Accidentes/' || source || '/a.csv' END AS ruta
 FROM {documents}
+""",
+    # traffic by segment and crashes: likelier at rush hours and under dense traffic
+    "v_flows": f"""
+SELECT event_id, 'T' || CAST(user_id % 40 AS STRING) AS tramo, {_DAY_FIRST} || ' ' || substr(t, 12, 8) AS fecha_hora,
+       CAST(floor(value) AS INT) AS intensidad
+FROM ({_EVENT_TEXT}) AS e
+""",
+    "v_crashes": f"""
+SELECT event_id, 'T' || CAST(user_id % 40 AS STRING) AS tramo, substr(t, 1, 10) AS fecha, substr(t, 12, 5) AS hora
+FROM ({_EVENT_TEXT}) AS e
+WHERE (value > 60 AND h IN (7, 8, 9, 17, 18, 19, 20)) OR (value > 85 AND user_id % 40 < 12) OR event_id % 37 = 0
+""",
+    # stations that send late or twice, one of them most of the time
+    "v_readings": """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'E0' WHEN event_id % 41 = 1 THEN NULL
+            ELSE 'E' || CAST(user_id % 17 AS STRING) END AS estacion,
+       CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_id % 19 = 0 THEN ts - INTERVAL '2' HOUR
+            WHEN event_id % 23 = 0 THEN ts + INTERVAL '5' HOUR ELSE ts END AS momento,
+       CAST(floor(value) AS BIGINT) * 20 AS segundos
+FROM {events}
+""",
+    # a feed with repeated rows, repeated keys, nulls and blanks
+    "v_repeated": """
+SELECT event_id AS ficha, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN '  ' ELSE event_type END AS tipo,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(user_id AS INT) END AS usuario, props AS detalle
+FROM {events}
+UNION ALL SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN '  ' ELSE event_type END,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(user_id AS INT) END, props
+FROM {events} WHERE event_id % 10 = 0
+UNION ALL SELECT event_id, 'otra', CAST(user_id AS INT), props FROM {events} WHERE event_id % 11 = 0
+""",
+    # car parks with the district they say they are in, one in seven of them wrong
+    "v_declared": """
+SELECT c_custkey AS pk, CAST(c_custkey % 201 - 100 AS INT) AS i, CAST(c_custkey % 157 - 78 AS INT) AS j,
+       40.4168e0 + (c_custkey % 201 - 100) * 3e-4 AS lat, -3.7038e0 + (c_custkey % 157 - 78) * 3e-4 AS lon,
+       CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % 89 = 0 THEN 'D99' ELSE 'D' || CAST((
+         CAST(floor((c_custkey % 157 - 78 + 75) / 30e0) AS INT) + 5 * CAST(floor((c_custkey % 201) / 40e0) AS INT)
+         + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END) % 25 AS STRING) END AS distrito
+FROM {customer}
+""",
+    # outlines and holes of districts in steps of a grid that the car parks stand on; some have an exclave
+    "v_rings": """
+SELECT 'D' || CAST(n_nationkey AS STRING) AS distrito, 0 AS pieza, anillo, paso,
+       40.4168e0 + (ci + di) * 3e-4 AS lat, -3.7038e0 + (cj + dj) * 3e-4 AS lon
+FROM (SELECT n_nationkey, CAST(floor(n_nationkey / 5e0) AS INT) * 40 - 80 AS ci, (n_nationkey % 5) * 30 - 60 AS cj FROM {nation}) AS n
+JOIN (VALUES (0, 0, -20, -15), (0, 1, -20, 15), (0, 2, 20, 11), (0, 3, 20, -15), (0, 4, -20, -15),
+             (1, 0, -4, -4), (1, 1, 4, -4), (1, 2, 4, 4), (1, 3, -4, 4), (1, 4, -4, -4)) AS r (anillo, paso, di, dj) ON anillo >= 0
+UNION ALL
+SELECT 'D' || CAST(n_nationkey AS STRING), 1, 0, paso, 40.4168e0 + (CAST(floor(n_nationkey / 5e0) AS INT) * 40 - 80 + di) * 3e-4,
+       -3.7038e0 + ((n_nationkey % 5) * 30 - 45 + dj) * 3e-4
+FROM {nation} JOIN (VALUES (0, 0, 0), (1, 9, 3), (2, 3, 9), (3, 0, 0)) AS r (paso, di, dj) ON n_nationkey % 4 = 1
 """,
     # a listing of archive members; every order is one member of its customer's archive
     "v_manifest": """
