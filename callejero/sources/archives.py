@@ -7,7 +7,6 @@ record by record. No archive or member is ever held whole.
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 import zipfile
 from collections.abc import Iterator
@@ -17,13 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callejero.operators.reshape import union_drifting
+from callejero import constants as K
 from callejero.session import scratch_dir
-from callejero.sources.files import (
-    HEAD_RECORDS, decode, header_names, list_files, open_shared, records, sniff_separator,
-)
-
-RECORDS_PER_BATCH = 20_000
+from callejero.sources.delimited import encoding_of, lines_of, records
+from callejero.sources.files import HEAD_RECORDS, list_files, open_shared, sniff_separator
+from callejero.sources.lazy import MEMBER, PATH, column_names, read_members
 
 
 def archive_manifest(files: DataFrame) -> DataFrame:
@@ -77,77 +74,35 @@ def select_members(
     return ranked if max_bytes is None else ranked.where(F.col("size") <= max_bytes)
 
 
-def _lines(stream, encoding: str | None) -> Iterator[str]:
-    """Lines of a member with their ends, UTF-8 with Latin-1 as fallback."""
-    for number, raw in enumerate(stream):
-        line = raw.decode(encoding, "replace") if encoding else decode(raw)[0]
-        yield line.removeprefix("\ufeff") if number == 0 else line
-
-
 def member_heads(members: DataFrame, encoding: str | None = None) -> DataFrame:
-    """(archive, member, separator, header): the shape of every member."""
+    """(path, member, separator, header, encoding): the shape of every member that has a record.
+
+    The encoding is that of the whole member, which is read to its end for it: UTF-8 if all
+    of it is, else Latin-1. A caller who knows it saves that pass.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, member in zip(batch["archive"], batch["member"], strict=True):
-                with (
-                    open_shared(path) as handle,
-                    zipfile.ZipFile(handle) as archive,
-                    archive.open(member) as stream,
-                ):
-                    text, lines = "", []
-                    for line in _lines(stream, encoding):
-                        text += line
-                        lines = records(text, line[-1:] not in "\r\n")
-                        if len(lines) >= HEAD_RECORDS:
-                            break
-                rows.append((path, member, lines))
-            yield pd.DataFrame(rows, columns=["archive", "member", "head"])
-
-    heads = _spread(members).mapInPandas(read, "archive string, member string, head array<string>")
+                with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
+                    found = encoding
+                    if not found:
+                        with archive.open(member) as stream:
+                            found = encoding_of(stream)
+                    with archive.open(member) as stream:
+                        lines = list(islice(records(lines_of(stream, found), "".join(K.SEPARATORS)), HEAD_RECORDS))
+                rows.append((path, member, lines, found))
+            yield pd.DataFrame(rows, columns=["path", "member", "head", "encoding"])
+
+    # a hash of both names spreads the members of one archive over the tasks
+    spread = members.select("archive", "member").repartition("archive", "member")
+    heads = spread.mapInPandas(read, "path string, member string, head array<string>, encoding string")
     return heads.where(F.size("head") > 0).select(
-        "archive", "member", sniff_separator(F.col("head")).alias("separator"),
-        F.col("head")[0].alias("header"),
-    )
-
-
-def member_records(members: DataFrame, encoding: str | None = None) -> DataFrame:
-    """(archive, member, separator, header, cells): the records below each member's header.
-
-    A record is a line, or several where a line break is inside quotes; it is streamed,
-    no member is ever held whole. Blank lines are none. An empty cell is null.
-    """
-    names = ["archive", "member", "separator", "header", "cells"]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            wanted = zip(*[batch[n] for n in names[:-1]], strict=True)
-            for path, member, separator, header in wanted:
-                with (
-                    open_shared(path) as handle,
-                    zipfile.ZipFile(handle) as archive,
-                    archive.open(member) as stream,
-                ):
-                    cells = csv.reader(_lines(stream, encoding), delimiter=separator)
-                    body = (r for r in cells if len(r) > 1 or (r and r[0].strip()))
-                    next(body, None)
-                    while rows := [[c or None for c in r] for r in islice(body, RECORDS_PER_BATCH)]:
-                        yield pd.DataFrame({
-                            "archive": path, "member": member, "separator": separator,
-                            "header": header, "cells": rows,
-                        })
-
-    return _spread(members, "separator", "header").mapInPandas(
-        read, "archive string, member string, separator string, header string, cells array<string>"
+        "path", "member", sniff_separator(F.col("head")).alias("separator"), F.col("head")[0].alias("header"), "encoding",
     )
 
 
-def _spread(members: DataFrame, *more: str) -> DataFrame:
-    """A hash of both names spreads the members of one archive over the tasks."""
-    return members.select("archive", "member", *more).repartition("archive", "member")
-
-
 def read_csv_archives(
     spark: SparkSession, folders: str | list[str], target: dt.date | None = None,
     name_filter: str = "*.zip", limit: int | None = None, max_bytes: int | None = None,
@@ -156,24 +111,13 @@ def read_csv_archives(
     """Rows of all members of all archives, stacked by name, all columns text.
 
     ``limit`` and ``max_bytes`` are those of :func:`select_members`. The list of members
-    and their shapes is written once to the shared folder, so every archive is listed
-    once and every member read once for its shape and once for its rows.
+    and their shapes is written once to the shared folder; the rows are one lazy scan of
+    that list, whatever the number of shapes (see :mod:`callejero.sources.lazy`). Stray
+    quotes are plain characters (see :mod:`callejero.sources.delimited`).
     """
     manifest = archive_manifest(list_files(spark, folders, name_filter))
     chosen = select_members(manifest, target, limit, max_bytes)
     saved = scratch_dir(spark, "members")
     member_heads(chosen, encoding).write.parquet(saved)
-    heads = spark.read.parquet(saved)
-    parts = []
-    for separator, header in sorted(heads.select("separator", "header").distinct().collect()):
-        alike = heads.where((F.col("separator") == separator) & (F.col("header") == header))
-        parts.append(
-            member_records(alike, encoding).select(
-                "archive", "member",
-                *[F.try_element_at("cells", F.lit(i)).alias(n)
-                  for i, n in enumerate(header_names(header, separator), 1)],
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], "archive string, member string")
-    return union_drifting(parts)
+    columns = column_names(spark.read.parquet(saved))
+    return read_members(spark, saved, [PATH, MEMBER, *columns])

@@ -6,7 +6,6 @@ header takes, so sniffing a large tree costs one small read per file.
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callejero import constants as K
+from callejero.sources.delimited import decode, head_records
 
 # bytes to look at first; a longer header is read on to its end
 HEAD_BYTES = 64 * 1024
@@ -64,33 +64,19 @@ def newest_first(files: DataFrame) -> DataFrame:
     return files.orderBy(F.col("modified").desc(), "path")
 
 
-def decode(raw: bytes) -> tuple[str, str]:
-    """Text and encoding of some bytes: UTF-8, or Latin-1 where they are no UTF-8."""
-    try:
-        return raw.decode("utf-8"), "UTF-8"
-    except UnicodeDecodeError as error:
-        # a character cut at the end of the head is not an encoding problem
-        if error.end == len(raw) and error.reason == "unexpected end of data":
-            return raw[: error.start].decode("utf-8"), "UTF-8"
-        return raw.decode("latin-1"), "ISO-8859-1"
-
-
-def records(text: str, whole: bool) -> list[str]:
-    """Non-blank records of a head: lines, where a line break inside quotes ends none.
+def listed(folder: str, suffix: str) -> list[str]:
+    """The files directly in a folder whose names end so, in order."""
+    from pyarrow import fs
 
-    The last record counts only if it is ended or the text is ``whole``.
-    """
-    out, start, quoted = [], 0, False
-    text = text.removeprefix("\ufeff")
-    for found in re.finditer(r'"|\r\n|\n|\r', text):
-        if found[0] == '"':
-            quoted = not quoted
-        elif not quoted:
-            out.append(text[start:found.start()])
-            start = found.end()
-    if whole and start < len(text):
-        out.append(text[start:])
-    return [r for r in out if r.strip()]
+    parsed = urlparse(folder)
+    if parsed.scheme in ("", "file"):
+        filesystem, inner = fs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else folder
+        prefix = ""
+    else:
+        filesystem, inner = fs.FileSystem.from_uri(folder)
+        prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else f"{parsed.scheme}://{parsed.netloc}"
+    found = filesystem.get_file_info(fs.FileSelector(inner))
+    return sorted(f"{prefix}{f.path}" for f in found if f.is_file and f.base_name.endswith(suffix) and not f.base_name.startswith((".", "_")))
 
 
 def file_heads(files: DataFrame, encoding: str | None = None) -> DataFrame:
@@ -107,10 +93,10 @@ def file_heads(files: DataFrame, encoding: str | None = None) -> DataFrame:
             while True:
                 raw += handle.read(size - len(raw))
                 whole = len(raw) < size
-                text, found = (raw.decode(encoding, "ignore"), encoding) if encoding else decode(raw)
-                lines = records(text, whole)
+                text, found = (raw.decode(encoding, "ignore"), encoding) if encoding else decode(raw, whole)
+                lines = head_records(text, whole, HEAD_RECORDS)
                 if lines or whole:
-                    return lines[:HEAD_RECORDS], found, len(lines) > 1 or not whole
+                    return lines, found, len(lines) > 1 or not whole
                 size *= 2
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,16 +134,3 @@ def sniff_separator(lines: Column) -> Column:
 def glob_escaped(path: str) -> str:
     """A listed path as a pattern that matches itself alone."""
     return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
-
-
-def header_names(line: str, separator: str) -> list[str]:
-    """Column names of a header record, unique whatever their case."""
-    names: list[str] = []
-    taken: set[str] = set()
-    for i, cell in enumerate(next(csv.reader(line.splitlines(True), delimiter=separator), [])):
-        name = cell.strip() or f"_c{i}"
-        while name.lower() in taken:
-            name = f"{name}.{i}"
-        names.append(name)
-        taken.add(name.lower())
-    return names

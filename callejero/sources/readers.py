@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callejero import constants as K
+from callejero.operators.joins import spread_join
 from callejero.operators.reshape import union_drifting
 from callejero.operators.roles import col
 from callejero.session import scratch_dir
-from callejero.sources.files import (
-    file_heads, glob_escaped, header_names, list_files, sniff_separator,
-)
+from callejero.sources import lazy
+from callejero.sources.delimited import header_names
+from callejero.sources.files import file_heads, glob_escaped, list_files, sniff_separator
+from callejero.sources.lazy import column_names, read_members
 
 PATH = "__path"
+#: shapes that are read by one scan each
+SHAPES = 8
 
 
 def _text_schema(names: list[str]) -> T.StructType:
@@ -28,28 +30,25 @@ def _strip_bom(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.removeprefix("\ufeff") for c in df.columns])
 
 
-def file_shapes(files: DataFrame, encoding: str | None = None) -> DataFrame:
-    """(folder, separator, header, encoding, paths): the shapes of the files of each folder.
-
-    ``paths`` is empty where all files of a folder are alike: the folder stands for them.
-    The heads are written to the shared folder, so every file is looked at once.
-    """
-    spark = files.sparkSession
-    saved = scratch_dir(spark, "heads")
+def file_shapes(files: DataFrame, saved: str, encoding: str | None = None) -> DataFrame:
+    """(folder, path, member, separator, header, encoding) of every file that has a record, written to ``saved``."""
     file_heads(files, encoding).where(F.size("lines") > 0).select(
-        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "path",
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "path", F.lit(None).cast("string").alias("member"),
         sniff_separator(F.col("lines")).alias("separator"), F.col("lines")[0].alias("header"),
         "encoding",
     ).write.parquet(saved)
-    heads = spark.read.parquet(saved)
-    shape = ["separator", "header", "encoding"]
-    first = heads.groupBy("folder").agg(
-        *[(F.min(c) == F.max(c)).alias(f"one_{c}") for c in shape]
-    ).select("folder", (F.col("one_separator") & F.col("one_header") & F.col("one_encoding")).alias("one"))
-    alike = heads.join(first, "folder")
-    return alike.groupBy("folder", *shape).agg(
-        F.sort_array(F.collect_list(F.when(~F.col("one"), F.col("path")))).alias("paths")
-    )
+    return files.sparkSession.read.parquet(saved)
+
+
+def folder_shapes(heads: DataFrame) -> DataFrame:
+    """(folder, shape): the header, separator and encoding of folders whose files are all alike, null for the others.
+
+    An unclosed quote in a header is a plain character to the lazy source only.
+    """
+    shape = F.struct("header", "separator", "encoding")
+    ends = heads.groupBy("folder").agg(F.min(shape).alias("low"), F.max(shape).alias("high"))
+    quotes = F.length(F.regexp_replace("low.header", '[^"]', ""))
+    return ends.select("folder", F.when((F.col("low") == F.col("high")) & (quotes % 2 == 0), F.col("low")).alias("shape"))
 
 
 def read_delimited_auto(
@@ -58,18 +57,30 @@ def read_delimited_auto(
 ) -> DataFrame:
     """Delimited files of unknown and differing separators and columns, stacked by name.
 
-    Each file's separator, header and encoding come from its head. Files of one shape
-    are read together by the CSV source with a declared all-text schema (no inference
-    pass). What reaches the driver is one row per shape of a folder, with single paths
-    only for folders whose files differ.
+    Each file's separator, header and encoding come from its head. Folders whose files are
+    all alike are read by Spark's CSV source with a declared all-text schema (no inference
+    pass), one scan per shape. Folders of drifting files, and all folders if they have more
+    than ``SHAPES`` shapes, are one scan of the lazy source, so the plan and what the driver
+    holds don't grow with the number of files or shapes.
 
     Line breaks inside quotes belong to the cell. ``multi_line=False`` gives that up for
     files that can be split over tasks. ``encoding`` is for files whose head is plain
     ASCII and the rest isn't UTF-8.
     """
-    shapes: dict[tuple[str, str, str], list[str]] = defaultdict(list)
-    for row in file_shapes(list_files(spark, folders, name_filter), encoding).collect():
-        shapes[row.header, row.separator, row.encoding] += row.paths or [row.folder]
+    saved = scratch_dir(spark, "heads")
+    heads = file_shapes(list_files(spark, folders, name_filter), saved, encoding)
+    by_folder = folder_shapes(heads)
+    # one row per shape, with the folders of that shape
+    rows = by_folder.groupBy("shape").agg(
+        F.collect_list(F.when(F.col("shape").isNotNull(), F.col("folder"))).alias("folders")).limit(SHAPES + 2).collect()
+    shapes = {tuple(r["shape"]): r["folders"] for r in rows if r["shape"] is not None}
+    manifest = None
+    if len(shapes) > SHAPES:
+        shapes, manifest = {}, saved
+    elif len(shapes) < len(rows):
+        manifest = f"{saved}-drifting"
+        drifting = by_folder.where("shape IS NULL").select("folder")
+        spread_join(heads, drifting, ["folder"], "left_semi").write.parquet(manifest)
     parts = []
     for (header, separator, found), paths in sorted(shapes.items()):
         part = (
@@ -87,6 +98,10 @@ def read_delimited_auto(
         if with_path:
             part = part.select("*", F.col("_metadata.file_path").alias(PATH))
         parts.append(part)
+    if manifest:
+        names = column_names(spark.read.parquet(manifest))
+        part = read_members(spark, manifest, [lazy.PATH, *names], multi_line)
+        parts.append(part.withColumnRenamed(lazy.PATH, PATH) if with_path else part.drop(lazy.PATH))
     if not parts:
         return spark.createDataFrame([], f"`{PATH}` string" if with_path else "`_c0` string")
     return union_drifting(parts)

@@ -1,4 +1,5 @@
 import datetime as dt
+import io
 import json
 import zipfile
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from callejero import constants as K
 from callejero import sinks
 from callejero.plans import climate, datasheet, transit
-from callejero.sources import archives, documents, files, readers
+from callejero.sources import archives, delimited, documents, files, lazy, readers
 
 
 def test_separator_sniffing(spark):
@@ -36,8 +37,8 @@ def test_auto_reader_mixes_shapes_bom_and_latin1(spark, tmp_path):
 
 
 def test_header_names_are_unique():
-    assert files.header_names('"a";b;a;', ";") == ["a", "b", "a.2", "_c3"]
-    assert files.header_names("Nombre;nombre", ";") == ["Nombre", "nombre.1"]
+    assert delimited.header_names('"a";b;a;', ";") == ["a", "b", "a.2", "_c3"]
+    assert delimited.header_names("Nombre;nombre", ";") == ["Nombre", "nombre.1"]
 
 
 def test_auto_reader_on_awkward_files(spark, tmp_path):
@@ -58,18 +59,98 @@ def test_a_header_of_any_length_is_read_whole(spark, tmp_path):
     (tmp_path / "wide.csv").write_text(";".join(names) + "\n" + ";".join("1" * 8000) + "\n")
     heads = files.file_heads(files.list_files(spark, str(tmp_path), "*.csv")).collect()
     assert heads[0].lines[0] == ";".join(names) and heads[0].has_rows
-    (shape,) = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv")).collect()
-    assert (shape.separator, len(files.header_names(shape.header, ";")), shape.paths) == (";", 8000, [])
+    found = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv"), str(tmp_path / "heads"))
+    (row,) = readers.folder_shapes(found).collect()
+    assert (row["shape"].separator, len(delimited.header_names(row["shape"].header, ";"))) == (";", 8000)
 
 
-def test_shapes_name_paths_only_where_a_folder_is_mixed(spark, tmp_path):
+def test_shapes_know_which_folders_are_mixed(spark, tmp_path):
     for folder, texts in (("same", ["a;b\n1;2\n"] * 3), ("mixed", ["a;b\n1;2\n", "a,b\n1,2\n"])):
         (tmp_path / folder).mkdir()
         for i, text in enumerate(texts):
             (tmp_path / folder / f"{i}.csv").write_text(text)
-    shapes = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv")).collect()
-    assert sorted((s.folder.rsplit("/", 1)[1], s.separator, len(s.paths)) for s in shapes) == [
-        ("mixed", ",", 1), ("mixed", ";", 1), ("same", ";", 0)]
+    found = readers.file_shapes(files.list_files(spark, str(tmp_path), "*.csv"), str(tmp_path / "heads"))
+    shapes = {r.folder.rsplit("/", 1)[1]: r["shape"] for r in readers.folder_shapes(found).collect()}
+    assert shapes["mixed"] is None and tuple(shapes["same"]) == ("a;b", ";", "UTF-8")
+    assert readers.read_delimited_auto(spark, str(tmp_path)).where("a = 1 and b = 2").count() == 5
+
+
+def test_decoding_loses_nothing():
+    assert delimited.decode(b"Alcal\xe1", whole=True) == ("Alcal\xe1", "ISO-8859-1")
+    assert delimited.decode("Alcalá".encode()[:-1], whole=False) == ("Alcal", "UTF-8")
+    assert delimited.decode(b"\xe1bc", whole=False) == ("\xe1bc", "ISO-8859-1")
+    assert delimited.encoding_of(io.BytesIO("ñ".encode() * 700_000)) == "UTF-8"
+    assert delimited.encoding_of(io.BytesIO(b"a" * 3_000_000 + b"\xe1")) == "ISO-8859-1"
+
+
+def test_records_and_stray_quotes():
+    def found(text, separators=";"):
+        return list(delimited.records(delimited.lines_of(io.BytesIO(text.encode()), "utf-8"), separators))
+
+    assert found('\ufeffa;b\r\n1;"x\r\ny"\n\n  \n2;"q""r"\n3;z') == ["a;b", '1;"x\r\ny"', '2;"q""r"', "3;z"]
+    assert found('tubo;5" acero\n1;2\n') == ['tubo;5" acero', "1;2"]
+    # a quote that never closes takes its own line only
+    assert found('a;b\n"1;2\n3;4\n5;6') == ["a;b", '"1;2', "3;4", "5;6"]
+    assert delimited.cells('"1;2', ";") == ['"1', "2"]
+    assert delimited.cells('1;"x;\ny";"q""r"', ";") == ["1", "x;\ny", 'q"r']
+    assert delimited.cells('"x" y";;"";', ";") == ['x" y', "", "", ""]
+    assert delimited.cells('"a"b;c', ";") == ['"a"b', "c"]
+    assert delimited.cells('tubo;5" acero', ";") == ["tubo", '5" acero']
+    assert delimited.header_names('"a;b', ";") == ['"a', "b"]
+    assert delimited.head_records("a;b\n1;2\n3", False, 9) == ["a;b", "1;2"]
+    assert delimited.head_records("a;b\n1;2\n3", True, 9) == ["a;b", "1;2", "3"]
+
+
+def test_many_stray_quotes_are_read_in_linear_time():
+    import time
+
+    line = "123;calle 5\" tubo;x\n"
+    text = "n;via;z\n\"abierta;1;2\n" + line * 500_000
+    started = time.perf_counter()
+    rows = sum(1 for _ in delimited.records(iter(text.splitlines(True)), ";"))
+    assert rows == 500_002 and time.perf_counter() - started < 10
+
+
+def test_members_with_stray_quotes_and_latin1(spark, tmp_path):
+    big = 'id;via\n' + '1;"abierta\n' + '2;tubo de 5" largo\n' * 200_000
+    _zip(tmp_path / "a.zip", [("big.csv", big), ("latin.csv", b"id;via\n7;x\n8;Alcal\xe1"),
+                              ("roto.csv", '"id;via\n9;y\n'), ("late.csv", "id;via\n" + "4;plain\n" * 200_000 + "5;é"),
+                              ("late2.csv", b"id;via\n" + b"4;plain\n" * 200_000 + b"6;\xe9")])
+    df = archives.read_csv_archives(spark, str(tmp_path))
+    got = {r.member: r.n for r in df.groupBy("member").agg(F.count("*").alias("n")).collect()}
+    assert got == {"big.csv": 200_001, "latin.csv": 2, "roto.csv": 1, "late.csv": 200_001, "late2.csv": 200_001}
+    assert {r.via for r in df.where("id in (1, 5, 6, 8)").collect()} == {'"abierta', "é", "Alcal\xe1"}
+    assert df.where("member = 'big.csv' and id = 2").select("via").distinct().collect()[0].via == 'tubo de 5" largo'
+    assert df.where("member = 'roto.csv'").select('`"id`', "via").first()[:] == ("9", "y")
+
+
+def test_five_hundred_shapes_are_one_scan(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(500):
+        (folder / f"f{i:03d}.csv").write_text(f"id;propia_{i % 50};Comun\n{i};x{i};c\n" if i % 2 else f"comun,id\nc,{i}\n" + f"d,{i}\n" * (i % 3))
+    df = readers.read_delimited_auto(spark, str(folder), with_path=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") + plan.count("Scan csv") == 1 and "Union" not in plan
+    rows = df.collect()
+    assert len(rows) == 250 + sum(1 + i % 3 for i in range(0, 500, 2))
+    assert {r["propia_7"] for r in rows if r["propia_7"]} == {f"x{i}" for i in range(500) if i % 2 and i % 50 == 7}
+    common = next(c for c in df.columns if c.lower() == "comun")
+    assert {r[common] for r in rows} == {"c", "d"} and len([c for c in df.columns if c.lower() == "comun"]) == 1
+    sheet = datasheet.datasheet(spark, str(folder))
+    assert sheet.count() == len(rows) and sheet.where("source_file like 'f%.csv'").count() == len(rows)
+
+
+def test_lazy_source_runs_nothing_before_an_action(spark, tmp_path):
+    manifest = str(tmp_path / "manifest")
+    (tmp_path / "x.csv").write_text("a;b\n1;\n\n;\"2\n3\"\n5\n6;7;8\n")
+    spark.createDataFrame([(str(tmp_path / "x.csv"), None, ";", "a;b", "UTF-8"), (str(tmp_path / "gone.csv"), None, ";", "a;b", "UTF-8")],
+                          "path string, member string, separator string, header string, encoding string").repartition(2).write.parquet(manifest)
+    df = lazy.read_members(spark, manifest, ["a", "missing", "B"])   # the missing file is not looked at yet
+    assert df.columns == ["a", "missing", "B"]
+    (tmp_path / "gone.csv").write_text("a;b\n")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(
+        [("1", None, None), (None, None, "2\n3"), ("5", None, None), ("6", None, "7")], key=str)
 
 
 def test_listing_is_unique_and_newest_first(spark, tmp_path):
