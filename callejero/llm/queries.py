@@ -145,7 +145,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs, folder = table(spark, sf_dir, "documents"), scratch_dir(spark, "tokenfiles")
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as lines:
-        tokenfiles.write(docs, folder, lines.read(), public_tokenizers.PATTERN)
+        tokenfiles.write(docs, folder, lines.read())
     return tokenfiles.read(spark, folder, with_ids=False)
 
 

@@ -15,10 +15,11 @@ the files of tasks that succeeded, so a lost executor leaves nothing behind but
 files that nobody reads. Manifest order is the order of the documents, and a
 running sum over its files says where each begins.
 
-With ``pattern``, a text is cut into the tokenizer's own words first and each
-distinct word of a block is encoded once (a task keeps ``WORDS_KEPT`` of them).
-Texts with characters from ``FAR`` on are encoded whole, since the classes of
-those change with the version of Unicode.
+Where the tokenizer cuts texts into words by the usual byte-level pattern, a text is
+cut here, all texts of a block at once, and the library encodes each distinct word
+that the task hasn't met (it keeps ``WORDS_KEPT`` of those met last). Texts with
+characters from ``NEAR_POINTS`` on, whose classes change with the version of
+Unicode, and all texts of other tokenizers are encoded whole.
 
 A null or empty text has only the end id. Ids of documents are whole numbers;
 null comes first. Rows that share an id are all kept, in any order. An empty table
@@ -27,8 +28,10 @@ has no files and reads as an empty one. Other columns are left out.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,7 +40,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,9 +51,10 @@ MAGIC = b"RANKIDS1"
 BLOCK = struct.Struct("<QQQ")
 BLOCK_IDS = 1 << 20
 FILE_BYTES = 64 << 20
-WORDS_KEPT = 300_000
-WORD_BYTES = 4_000
-FAR = "ɐ"
+WORDS_KEPT = 400_000
+WORD_BYTES = 400
+#: words that the library is given at once
+WORDS_A_CALL = 1_000
 ROW_BITS = 33
 #: the four byte lengths that each control byte stands for, the first id in its lowest bits
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -81,62 +84,170 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out
 
 
+# classes of characters: letters, numbers, white space, others, and those left to the library
+LETTER, NUMBER, SPACE, OTHER, FAR = range(5)
+#: code points below this have two bytes at most and classes that no version of Unicode changes
+NEAR_POINTS = 0x240
+
+
+def _class(point: int) -> int:
+    kind = unicodedata.category(chr(point))
+    if point in (9, 10, 11, 12, 13, 32):
+        return SPACE
+    if 28 <= point <= 31 or point in (0x85, 0xA0):   # white space to some
+        return FAR
+    return LETTER if kind[0] == "L" else NUMBER if kind[0] == "N" else OTHER
+
+
+POINTS = np.array([_class(p) for p in range(NEAR_POINTS)], dtype=np.uint8)
+#: endings that an apostrophe takes along: one letter, or two
+ONE_LETTER = np.isin(np.arange(256), list(b"stmd"))
+TWO_LETTERS = (b"re", b"ve", b"ll")
+
+
+def _classes(data: np.ndarray) -> np.ndarray:
+    """Class of the character that each byte belongs to."""
+    out = np.where(data < 0x80, POINTS[np.minimum(data, 0x7F)], FAR).astype(np.uint8)
+    lead = np.flatnonzero((data >= 0xC2) & (data < 0xC9))   # of two bytes, below NEAR_POINTS
+    out[lead] = out[lead + 1] = POINTS[(data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63]
+    return out
+
+
+def word_starts(data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the byte-level pre-tokenizer's words begin; they follow each other without a gap.
+
+    The rule is that of its pattern: a run of letters, of numbers or of other characters takes
+    one blank before it along; of more white space the last character stands alone; an
+    apostrophe after a word takes along the endings above.
+    """
+    begins = np.zeros(len(data) + 1, dtype=bool)   # texts
+    begins[bounds] = True
+    starts = begins.copy()
+    starts[1:-1] |= kinds[1:] != kinds[:-1]
+    at = np.flatnonzero(starts[:-1])
+    end = np.r_[at[1:], len(data)]
+    # runs that another run of the same text follows
+    follow = np.flatnonzero(~begins[end])
+    space = follow[kinds[at[follow]] == SPACE]
+    last = end[space] - 1
+    starts[last] = True
+    starts[end[space][data[last] == 32]] = False
+    sign = follow[(end[follow] - at[follow] == 1) & (data[at[follow]] == 39)]
+    sign = sign[kinds[end[sign]] == LETTER]
+    before = at[sign] - 1
+    sign = sign[begins[at[sign]] | (data[before] != 32)]
+    letters = end[sign]
+    size = end[sign + 1] - letters
+    first, second = data[letters], data[np.minimum(letters + 1, len(data) - 1)]
+    taken = ONE_LETTER[first].astype(np.int64)
+    for pair in TWO_LETTERS:
+        taken[(size >= 2) & (first == pair[0]) & (second == pair[1])] = 2
+    own = taken > 0
+    starts[letters[own]] = False
+    more = own & (taken < size)
+    starts[letters[more] + taken[more]] = True
+    return np.flatnonzero(starts[:-1])
+
+
 class Encoder:
     """The library's tokenizer, and the ids of the words a task has met."""
 
-    def __init__(self, tokenizer: str, pattern: str | None):
+    def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer)
         self.library.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.find = regex.compile(pattern).findall if pattern else None
-        self.far = regex.compile(f"[{FAR}-\U0010ffff]")
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
-
-    def ids(self, held: list[str]) -> list[bytes]:
-        """Ids of each text, as numbers of ``dtype``."""
-        whole = [i for i, t in enumerate(held) if self.find is None or self.far.search(t)]
-        out = dict(zip(whole, self._encoded([held[i] for i in whole])))
-        cut = {i: self.find(t) for i, t in enumerate(held) if i not in out}
-        fresh = list(set().union(*cut.values()).difference(self.known))
-        if len(self.known) + len(fresh) > WORDS_KEPT:
-            self.known.clear()
-            fresh = list(set().union(*cut.values()))
-        # the words of one block at most beyond the limit
-        self.known.update(zip(fresh, self._encoded(fresh)))
-        get = self.known.__getitem__
-        for i, words in cut.items():
-            out[i] = b"".join(map(get, words))
-        for word in fresh:
-            if len(word) > WORD_BYTES:
-                del self.known[word]
-        return [out[i] for i in range(len(held))]
+        plan = json.loads(tokenizer)
+        before = plan.get("pre_tokenizer") or {}
+        self.by_words = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                         and not before.get("add_prefix_space") and not plan.get("normalizer")
+                         and all(t.get("special") for t in plan.get("added_tokens", [])))
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _whole(self, held: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.library.encode_batch(held, add_special_tokens=False)]
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; the library takes lists of words and says which id is of which."""
+        out: list[bytes] = []
+        lists = [[w.decode() for w in words[i:i + WORDS_A_CALL]] for i in range(0, len(words), WORDS_A_CALL)]
+        for given, made in zip(lists, self.library.encode_batch(lists, add_special_tokens=False, is_pretokenized=True)):
+            ids, of = np.array(made.ids, dtype=self.dtype), np.array(made.word_ids, dtype=np.int64)
+            ends = np.searchsorted(of, np.arange(len(given) + 1)).tolist()
+            raw = ids.tobytes()
+            out += [raw[a * ids.itemsize:b * ids.itemsize] for a, b in zip(ends, ends[1:])]
+        return out
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words, from what the task has met or from the library."""
+        if len(self.known) > WORDS_KEPT:   # words not met since are forgotten
+            self.known, self.older = {}, self.known
+        found = [self.known.get(w) or self.older.get(w) for w in words]
+        at = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(at, self._encoded([words[i] for i in at])):
+            found[i] = ids
+        self.known.update((w, ids) for w, ids in zip(words, found) if len(w) <= WORD_BYTES)
+        return found
+
+    def ids(self, block: texts.Block) -> list[np.ndarray]:
+        """Ids of each text of a block."""
+        rows, data = block.high - block.low, block.data
+        size = np.diff(block.bounds)
+        kinds = _classes(data)
+        far = np.zeros(rows, dtype=bool)
+        far[np.repeat(np.arange(rows), size)[kinds == FAR]] = True
+        if not self.by_words:
+            far[:] = size > 0
+        out: list[np.ndarray] = [np.zeros(0, dtype=self.dtype)] * rows
+        whole = np.flatnonzero(far).tolist()
+        for i, ids in zip(whole, self._whole([data[block.bounds[i]:block.bounds[i + 1]].tobytes().decode() for i in whole])):
+            out[i] = ids
+        near = np.repeat(~far, size)
+        data, kinds = data[near], kinds[near]
+        if not len(data):
+            return out
+        first = np.r_[0, np.cumsum(np.where(far, 0, size))]
+        starts = word_starts(data, first, kinds)
+        ends = np.r_[starts[1:], len(data)]
+        found = texts.Words(starts, ends, np.searchsorted(starts, first), data)
+        # the words of a block are told apart by 64 bits, those of a task by their bytes
+        _, where, word = np.unique(texts.word_hashes(found), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        distinct = self._known([raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])
+        held = np.frombuffer(b"".join(distinct), dtype=self.dtype)
+        count = np.array([len(d) for d in distinct], dtype=np.int64) // self.dtype.itemsize
+        begin = (np.cumsum(count) - count)[word]
+        count = count[word]
+        stop = np.cumsum(count)
+        ids = held[np.repeat(begin - (stop - count), count) + np.arange(int(stop[-1]))]
+        cut = np.r_[0, stop][found.first]
+        for i in np.flatnonzero(~far & (size > 0)).tolist():
+            out[i] = ids[cut[i]:cut[i + 1]]
+        return out
 
 
 @lru_cache(maxsize=2)
-def _encoder(tokenizer: str, pattern: str | None) -> Encoder:
-    return Encoder(tokenizer, pattern)
+def _encoder(tokenizer: str) -> Encoder:
+    return Encoder(tokenizer)
 
 
-def encode(docs: DataFrame, tokenizer: str, pattern: str | None = None, key: str = "doc_id", text: str = "text",
+def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
            end_id: int = 0) -> DataFrame:
     """key, ids (little-endian numbers of two bytes, or four for large vocabularies), part and row of each document in
     the order of the keys; ``tokenizer``: the contents of its JSON file."""
-    shared = docs.sparkSession.sparkContext.broadcast((tokenizer, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
-        encoder = _encoder(*shared.value)
+        encoder = _encoder(shared.value)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
         for batch in batches:
             for block in texts.blocks(batch.column(1)):
                 rows = block.high - block.low
-                ids = encoder.ids([t or "" for t in batch.column(1).slice(block.low, rows).to_pylist()])
+                ids = [i.tobytes() for i in encoder.ids(block)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(block.low, rows), pa.array([i + end for i in ids], pa.binary()),
                      pa.array(np.full(rows, part), pa.int32()), pa.array(np.arange(row, row + rows))],
@@ -207,11 +318,11 @@ class _File:
 MANIFEST = "part int, row bigint, path string, docs bigint, ids bigint, bytes bigint"
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, pattern: str | None = None, key: str = "doc_id", text: str = "text",
+def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text",
           end_id: int = 0) -> DataFrame:
     """Write the files and their manifest to a shared folder; return the manifest."""
     spark = docs.sparkSession
-    encode(docs, tokenizer, pattern, key, text, end_id).write.option("compression", "zstd").parquet(f"{folder}/encoded")
+    encode(docs, tokenizer, key, text, end_id).write.option("compression", "zstd").parquet(f"{folder}/encoded")
     encoded = spark.read.parquet(f"{folder}/encoded")
     from tokenizers import Tokenizer
 
