@@ -43,6 +43,8 @@ PRIOR = 6.0
 DRIFT = 0.25
 LEAST = 1.0
 EXPECTED = 0.05
+#: no share is nearer to 0 or 1 than this
+SURE = 1e-9
 
 
 @dataclass
@@ -115,7 +117,7 @@ def _lexicon(counts: DataFrame, toxic: int, clean: int, folder: str) -> DataFram
         else:
             own = own.withColumn("before", F.lit(None).cast("double"))
         before = F.coalesce("before", F.lit(root))
-        share = (F.col("n1") + PRIOR * before) / (F.col("n1") + F.col("n0") + PRIOR)
+        share = F.least(F.greatest((F.col("n1") + PRIOR * before) / (F.col("n1") + F.col("n0") + PRIOR), F.lit(SURE)), F.lit(1 - SURE))
         own.select("key", "n1", "n0", before.alias("before"), share.alias("share")).write.parquet(f"{folder}/level={level}")
     base = float(np.log(root / (1 - root)))
 
