@@ -1,7 +1,8 @@
 """Document quality by hierarchical empirical Bayes.
 
 A logistic classifier over measures of a text (symbols, case, word lengths,
-repetition, lines) gives each document a probability of being good. Sites and the
+repetition, lines) and over its words (their mean log-odds in good against bad
+texts, by hash) gives each document a probability of being good. Sites and the
 sections of a site (host and path) are judged by the sum of these probabilities
 over all their documents but the one in question: the site's share is shrunk
 towards the share of all documents, the section's towards its site's. How strongly
@@ -10,7 +11,8 @@ beta-binomial law), in grouped aggregates. The log-odds of the section against a
 documents are added to those of the document.
 
 The classifier is fitted on at most ``SAMPLE`` labelled rows (by the hash of the
-id); everything else covers all rows. Rows with a null label or id are not learned
+id), where a text's own words are judged by the other half of the sample; everything
+else covers all rows. Groups that hold much of the rows are joined by broadcast. Rows with a null label or id are not learned
 from; of several labels of one id the highest counts. A null text is an empty one.
 A null host or path is a site or section of its own. Without labels, or with one
 kind only, all documents get the share of good labels (one if there are none).
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callejero.llm import texts
+from callejero.llm.hot import join_groups
 from callejero.session import scratch_dir
 
 SAMPLE = 20_000
@@ -37,6 +40,9 @@ CLASSES = {
 }
 NAMES = [*CLASSES, "word_length", "length_spread", "log_words", "distinct", "repeats", "same_as_before", "same_line_start"]
 LIMIT = 1e4
+#: slots that words are hashed to, and how many texts of either kind stand behind a slot beforehand
+SLOTS = 1 << 14
+PRIOR = 5.0
 
 
 @dataclass
@@ -44,8 +50,11 @@ class Classifier:
     mean: np.ndarray
     spread: np.ndarray
     beta: np.ndarray
+    words: np.ndarray       # log-odds of each slot
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
+    def logit(self, block: texts.Block) -> np.ndarray:
+        owner, slots = word_slots(block)
+        x = np.c_[features(block), word_odds(self.words, owner, slots, block.high - block.low)]
         z = np.clip((x - self.mean) / self.spread, -6, 6)
         return np.clip(_terms(z) @ self.beta, -12, 12)
 
@@ -96,15 +105,38 @@ def features(block: texts.Block) -> np.ndarray:
     return np.array(columns, dtype=float).T
 
 
-def _each(column: pa.Array) -> Iterator[np.ndarray]:
-    for block in texts.blocks(column):
-        yield features(block)
+def word_slots(block: texts.Block) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct slots of the words of each text: text number and slot."""
+    found = texts.words(block, texts.LETTERS_DIGITS, lower=True)
+    slots = (texts.word_hashes(found) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+    both = np.unique(found.text * SLOTS + slots)
+    return both // SLOTS, both % SLOTS
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Classifier | None:
+def word_odds(words: np.ndarray, owner: np.ndarray, slots: np.ndarray, size: int) -> np.ndarray:
+    """Mean log-odds of the slots of each text, 0 without words."""
+    return _share(np.bincount(owner, weights=words[slots], minlength=size), np.bincount(owner, minlength=size))
+
+
+def learn_words(owner: np.ndarray, slots: np.ndarray, y: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Log-odds of each slot: texts of the chosen rows that have it, good against bad."""
+    chosen = rows[owner]
+    good = np.bincount(slots[chosen], weights=y[owner[chosen]], minlength=SLOTS)
+    every = np.bincount(slots[chosen], minlength=SLOTS)
+    share = (y[rows].sum() + 0.5) / (rows.sum() + 1)
+    own = (good + PRIOR * share) / (every + PRIOR)
+    return np.log(own / (1 - own)) - np.log(share / (1 - share))
+
+
+def fit(x: np.ndarray, y: np.ndarray, owner: np.ndarray, slots: np.ndarray) -> Classifier | None:
     """Logistic regression with a small ridge; None if only one kind is there."""
     if len(y) == 0 or y.min() == y.max():
         return None
+    half = np.arange(len(y)) % 2 == 0
+    odds = np.zeros(len(y))
+    for own in (half, ~half):
+        odds[own] = word_odds(learn_words(owner, slots, y, ~own), owner, slots, len(y))[own]
+    x = np.c_[x, odds]
     mean, spread = np.median(x, axis=0), x.std(axis=0)
     spread = np.where(spread > 1e-9, spread, 1.0)
     design = _terms(np.clip((x - mean) / spread, -6, 6))
@@ -117,7 +149,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Classifier | None:
         beta += np.clip(step, -2, 2)
         if abs(step).max() < 1e-6:
             break
-    return Classifier(mean, spread, beta)
+    return Classifier(mean, spread, beta, learn_words(owner, slots, y, np.ones(len(y), dtype=bool)))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE):
@@ -126,29 +158,46 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
         F.max((F.col(label) > 0).cast("int")).alias("label"))
     # ids and labels of the bounded sample are all that is broadcast
     chosen = given.orderBy(F.xxhash64(key), F.col(key)).limit(sample)
-    rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(chosen), key).select("text", "label")
+    rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(chosen), key).select(
+        "text", "label", F.xxhash64(key).alias("order"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.concatenate([*_each(batch.column(0)), np.zeros((0, len(NAMES)))])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "label"])
-
-    got = rows.mapInArrow(run, "x array<double>, label int").toPandas()
+            for block in texts.blocks(batch.column(0)):
+                size = block.high - block.low
+                owner, slots = word_slots(block)
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=size))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(block.low, size), batch.column(2).slice(block.low, size),
+                     pa.array(list(features(block)), pa.list_(pa.float64())),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slots, pa.int32()))],
+                    names=["label", "order", "x", "slots"])
+
+    got = rows.mapInArrow(run, "label int, order bigint, x array<double>, slots array<int>").toPandas()
+    got = got.sort_values("order", kind="stable", ignore_index=True)
     y = got["label"].to_numpy(dtype=float)
-    model = fit(np.array(got["x"].tolist(), dtype=float).reshape(len(y), len(NAMES)), y)
+    owner = np.repeat(np.arange(len(y)), got["slots"].map(len).to_numpy(dtype=np.int64))
+    slots = np.concatenate([np.zeros(0, np.int64), *got["slots"]]).astype(np.int64)
+    model = fit(np.array(got["x"].tolist(), dtype=float).reshape(len(y), len(NAMES)), y, owner, slots)
     return model if model is not None else float(y.mean()) if len(y) else 1.0
 
 
-def _strength(groups: DataFrame, n: Column, k: Column, centre: Column) -> Column:
+def _strength(groups: DataFrame, n: str, k: str, centre: Column) -> float:
     """Prior strength from the spread of group shares about their centre (moments of the beta-binomial)."""
+    n, k = F.col(n), F.col(k)
     sums = groups.filter(n > 1).agg(
         F.sum((k - n * centre) * (k - n * centre) / n).alias("between"),
         F.sum(centre * (1 - centre)).alias("within"),
-        F.sum((n - 1) * centre * (1 - centre)).alias("room"))
-    # E[between] = sum of within * (1 + (n - 1) rho), and the strength is 1 / rho - 1
-    rho = F.greatest((F.col("between") - F.col("within")) / F.col("room"), F.lit(1 / (LIMIT + 1)))
-    return sums.select(F.least(F.greatest(1 / F.least(rho, F.lit(0.5)) - 1, F.lit(1.0)), F.lit(LIMIT)).alias("s")).scalar()
+        F.sum((n - 1) * centre * (1 - centre)).alias("room")).first()
+    return strength_of(sums["between"], sums["within"], sums["room"])
+
+
+def strength_of(between: float | None, within: float | None, room: float | None) -> float:
+    """E[between] = sum of within * (1 + (n - 1) rho), and the strength is 1 / rho - 1."""
+    if not room:
+        return LIMIT
+    rho = max((between - within) / room, 1 / (LIMIT + 1))
+    return min(max(1 / min(rho, 0.5) - 1, 1.0), LIMIT)
 
 
 def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
@@ -164,7 +213,7 @@ def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if isinstance(shared.value, Classifier):
-                logits = [shared.value.logit(x) for x in _each(batch.column(3))]
+                logits = [shared.value.logit(block) for block in texts.blocks(batch.column(3))]
                 p = 1 / (1 + np.exp(-np.concatenate([*logits, np.zeros(0)])))
             else:
                 p = np.full(batch.num_rows, shared.value)
@@ -172,16 +221,21 @@ def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
                                              names=["key", "host", "path", "p"])
 
     folder = scratch_dir(spark, "hierarchy")
-    source.mapInArrow(run, f"key {kind}, host string, path string, p double").write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    sections = rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("k"))
-    sites = sections.groupBy("host").agg(F.sum("n").alias("site_n"), F.sum("k").alias("site_k"))
-    mean = rows.agg(F.least(F.greatest(F.avg("p"), F.lit(1e-4)), F.lit(1 - 1e-4))).scalar()
-    site_strength = _strength(sites, F.col("site_n"), F.col("site_k"), mean)
+    source.mapInArrow(run, f"key {kind}, host string, path string, p double").write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("k")).write.parquet(f"{folder}/sections")
+    sections = spark.read.parquet(f"{folder}/sections")
+    sections.groupBy("host").agg(F.sum("n").alias("site_n"), F.sum("k").alias("site_k")).write.parquet(f"{folder}/sites")
+    sites = spark.read.parquet(f"{folder}/sites")
+    # three numbers reach the driver: the mean of all rows and the two strengths
+    total, whole = sites.agg(F.coalesce(F.sum("site_n"), F.lit(0)), F.coalesce(F.sum("site_k"), F.lit(0.0))).first()
+    mean = min(max(whole / total, 1e-4), 1 - 1e-4) if total else 0.5
+    site_strength = _strength(sites, "site_n", "site_k", F.lit(mean))
     site_share = (F.col("site_k") + site_strength * mean) / (F.col("site_n") + site_strength)
-    groups = sections.join(sites, "host").withColumn("centre", site_share)
-    strength = _strength(groups, F.col("n"), F.col("k"), F.col("centre"))
-    both = rows.join(groups.select("host", "path", "n", "k", "site_n", "site_k"), ["host", "path"])
+    sections.join(sites, "host").withColumn("centre", site_share).write.parquet(f"{folder}/groups")
+    groups = spark.read.parquet(f"{folder}/groups")
+    strength = _strength(groups, "n", "k", F.col("centre"))
+    both = join_groups(rows, groups.select("host", "path", "n", "k", "site_n", "site_k"), ["host", "path"], "n", total)
     # a document's own evidence is not counted twice
     others = both.withColumn(
         "site", (F.col("site_k") - F.col("p") + site_strength * mean) / (F.col("site_n") - 1 + site_strength)).withColumn(
@@ -191,6 +245,6 @@ def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
         inside = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
         return F.log(inside / (1 - inside))
 
-    score = 1 / (1 + F.exp(-(logit(F.col("p")) + logit(F.col("section")) - logit(mean))))
+    score = 1 / (1 + F.exp(-(logit(F.col("p")) + logit(F.col("section")) - logit(F.lit(mean)))))
     return others.select(F.col("key").alias(key), F.col("p").alias("evidence"), "site", "section", score.alias("score"),
                          (score >= threshold).alias("kept"))

@@ -186,14 +186,14 @@ def _decode(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.n
     return names, np.where(has, chance.max(axis=1), 0.0), np.where(has, lead, 0.0)
 
 
-def predict(df: DataFrame, model: Model, text: str = "text", ambiguous_below: float = 0.5) -> DataFrame:
-    """Add ``lang_pred``, ``score`` and ``ambiguous`` (the lead in loss over the second best is small)."""
-    added = ["lang_pred", "score", "ambiguous"]
+def predict(df: DataFrame, model: Model, text: str = "text", ambiguous_below: float = 0.5, prefix: str = "") -> DataFrame:
+    """Add ``lang_pred``, ``score`` and ``ambiguous`` (the lead in loss over the second best is small), with ``prefix``."""
+    added = [f"{prefix}{name}" for name in ("lang_pred", "score", "ambiguous")]
     kept = [f for f in df.schema.fields if f.name.lower() not in added or f.name == text]
     source = df.select(*[f"`{f.name}`" for f in kept])
     out = [f for f in kept if f.name.lower() not in added]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out]
-                       + ["lang_pred string", "score double", "ambiguous boolean"])
+                       + [f"`{name}` {kind}" for name, kind in zip(added, ("string", "double", "boolean"))])
     names = [f.name for f in out]
     shared = df.sparkSession.sparkContext.broadcast(model)
 

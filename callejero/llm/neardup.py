@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from callejero.llm import texts
 from callejero.llm.bitmaps import bitmap, holds
+from callejero.llm.hot import join_groups
 from callejero.session import scratch_dir
 
 MINIMA = 128
@@ -48,6 +49,9 @@ SIGNATURE = ["s0", "s1", "s2", "s3"]
 #: slots of the bitmaps of sets that were compared with their hubs only, and the words that hold them
 SLOTS = 4096
 WORDS = [f"w{i}" for i in range(SLOTS // 64)]
+#: members of a mixed bucket that one task compares with all others, and most parts of a bucket
+PART = 256
+PARTS = 64
 
 
 def _factors(seed: int = 11) -> np.ndarray:
@@ -274,10 +278,16 @@ def _others(live: DataFrame, reps: DataFrame, docs: DataFrame, folder: _Folder,
     signed = reps.select("id", *SIGNATURE, "bands").dropDuplicates(["id"])
     rows = folder.keep(live.join(known, "id").join(signed, "id").withColumn(
         "earlier", F.slice("bands", F.lit(1), F.array_position("bands", F.col("bucket")).cast("int") - 1)).drop("bands"))
+    # a large bucket is shared by several tasks: one side is dealt out, the other goes to each of them
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter(F.col("members") > PART).select(
+        "bucket", F.least(F.ceil(F.col("members") / PART), F.lit(PARTS)).cast("int").alias("parts"))
+    rows = folder.keep(rows.join(sizes, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1))))
     values = ["bucket", "id", "label", "inner", "n", "spare", "earlier", *SIGNATURE, *WORDS]
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{name}_{c}") for c in values])
+        dealt = F.pmod(F.xxhash64("id"), F.col("parts").cast("bigint")) if name == "a" else F.explode(
+            F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+        return df.select(*[F.col(c).alias(f"{name}_{c}") for c in values], dealt.alias(f"{name}_part"))
 
     shared = F.least("a_spare", "b_spare")
     for word in WORDS:
@@ -285,7 +295,7 @@ def _others(live: DataFrame, reps: DataFrame, docs: DataFrame, folder: _Folder,
     total = F.col("a_n") + F.col("b_n")
     # 100 I >= p (na + nb - I), with the bound for I
     pairs = side(rows.filter("NOT inner"), "a").join(
-        side(rows, "b"), (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label"))
+        side(rows, "b"), (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_part") == F.col("b_part")) & (F.col("a_label") != F.col("b_label"))
         & (F.col("b_inner") | (F.col("a_id") < F.col("b_id")))
         & ((100 + percent) * F.least("a_n", "b_n") >= percent * total) & (estimate("a_", "b_") >= ESTIMATE)
         & ((100 + percent) * shared >= percent * total) & ~F.arrays_overlap("a_earlier", "b_earlier"))
@@ -301,8 +311,11 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: s
     rows = folder.keep(_described(docs, shingle))
     digest = ["n", "d1", "d2"]
     filled = rows.filter("n > 0 AND id IS NOT NULL")
-    classes = folder.keep(filled.groupBy(*digest).agg(F.min("id").alias("rep")))
-    reps = folder.keep(filled.join(classes, digest).filter("id = rep").select("id", *SIGNATURE, "bands"))
+    # equal sets have equal signatures, so any row's stand for the class; combined before the shuffle
+    classes = folder.keep(filled.groupBy(*digest).agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"), *[F.min(c).alias(c) for c in (*SIGNATURE, "bands")]))
+    reps = classes.select("id", *SIGNATURE, "bands")
+    classes = classes.select(*digest, F.col("id").alias("rep"), "copies")
     members = reps.select("id", *SIGNATURE, F.explode("bands").alias("bucket"))
     hubs = folder.keep(members.groupBy("bucket").agg(
         F.min(F.col("id").bitwiseXOR(F.col("bucket"))).alias("least"), F.count("*").alias("size")).filter("size > 1").select(
@@ -333,6 +346,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: s
         named = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn(
             "rep", F.coalesce("label", "rep")).drop("label")
     named = folder.keep(named)
-    return rows.select("id", *digest).join(named, digest, "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("component_id"))
+    found = join_groups(filled.select("id", *digest), named, digest, "copies", filled.count())
+    alone = rows.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("rep"))
+    return found.select("id", "n", "rep").unionByName(alone).select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"))
