@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from callejero import constants as K
@@ -15,6 +16,7 @@ from callejero.operators.ordering import preview
 from callejero.operators.roles import as_timestamp, parse_ratios
 from callejero.operators.timestamps import build_ts
 from callejero.plans import incidents as jobs
+from callejero.session import scratch_dir
 
 TARGET, MONTHS, HOUR, MARGIN = "2024-01-20", 2, (8, 30), 60
 INCIDENTS = with_views("v_incidents")
@@ -272,6 +274,29 @@ def q_traffic(spark, sf_dir):
     return jobs.traffic(sources, day=TARGET, hour="8.5", place="Castellana", months=2)
 
 
+def _steps(view: str, stamp: str, place: str, link: str) -> str:
+    dated = f"(coalesce({sql.window(f'CAST({stamp} AS DATE)', TARGET, 2)}, false) OR {stamp} IS NULL)"
+    timed = f"coalesce({_minute_gap(stamp)}, false)"
+    return f"""SELECT '{link}' AS fuente, count(*) AS n_rows, count(*) FILTER ({dated}) AS n_dated,
+      count(*) FILTER ({dated} AND {timed}) AS n_timed,
+      count(*) FILTER ({dated} AND {timed} AND contains({place}, 'castellana')) AS n_placed FROM {view}"""
+
+
+@query(f"""{with_views('v_incidents', 'v_counts')}
+{_steps('v_incidents', _SPLIT, f"{sql.fold('calle')} || ' ' || {sql.fold('distrito')}", 'incidentes')}
+UNION ALL {_steps('v_counts', _DIRECT, f"{sql.fold('tramo')} || ' ' || {sql.fold('pk')}", 'conteos')}""")
+def q_traffic_funnel(spark, sf_dir):
+    """Rows left after each filter of the traffic job, counted while the job writes its result."""
+    tables = {"incidentes": _incidents(spark, sf_dir).select(*ROW.split(", ")),
+              "conteos": spark_view(spark, sf_dir, "v_counts").drop("datetime_origen")}
+    funnels = {link: Observation(f"traffic {link}") for link in tables}
+    out = jobs.traffic([jobs.Source(t, link) for link, t in tables.items()], funnels, day=TARGET, hour="8.5",
+                       place="Castellana", months=2)
+    out.write.parquet(scratch_dir(spark, "traffic"))
+    rows = [(link, *[seen.get[c] for c in ("n_rows", "n_1", "n_2", "n_3")]) for link, seen in funnels.items()]
+    return spark.createDataFrame(rows, "fuente string, n_rows bigint, n_dated bigint, n_timed bigint, n_placed bigint")
+
+
 _CALLS = ["event_id", "fecha", "hora", "distrito", "__fuente"]
 
 

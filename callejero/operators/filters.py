@@ -12,7 +12,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callejero import constants as K
@@ -27,6 +27,7 @@ from callejero.operators.roles import as_timestamp, col
 from callejero.operators.timestamps import build_ts
 
 STAMP = "__ts"
+PASSED = "__passed"
 
 
 @dataclass(frozen=True)
@@ -57,18 +58,32 @@ def bind(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def keep(df: DataFrame, *tests: Test, carry: dict[str, str] | None = None) -> DataFrame:
+def keep(
+    df: DataFrame, *tests: Test, carry: dict[str, str] | None = None, funnel: Observation | None = None
+) -> DataFrame:
     """Rows that pass every test; ``carry`` keeps parsed values under new names.
 
-    What a test says of stored columns goes first, where it reaches the scan.
+    What a test says of stored columns goes first, where it reaches the scan. ``funnel``
+    counts the rows while an action runs: ``n_rows`` of the table and ``n_1``, ``n_2``, ...
+    left after each test in turn. It has to see all rows, so nothing is pruned then.
     """
     values = {name: value for test in tests for name, value in test.values.items()}
     for test in tests:
-        if test.stored is not None:
+        if test.stored is not None and funnel is None:
             df = df.where(test.stored)
-    passing = bind(df, values).where(all_of([test.mask for test in tests]))
+    bound = bind(df, values)
+    if funnel is None:
+        passing = bound.where(all_of([test.mask for test in tests]))
+    else:
+        # how many tests a row passes in turn; a mask may ask other tables, which a metric may not
+        passed = F.lit(len(tests))
+        for n in range(len(tests) - 1, -1, -1):
+            passed = F.when(~F.coalesce(tests[n].mask, F.lit(False)), n).otherwise(passed)
+        counted = bound.withColumn(PASSED, passed)
+        left = [F.count_if(F.col(PASSED) >= n).alias(f"n_{n}") for n in range(1, len(tests) + 1)]
+        passing = counted.observe(funnel, F.count(F.lit(1)).alias("n_rows"), *left).where(F.col(PASSED) == len(tests))
     kept = [F.col(value).alias(name) for value, name in (carry or {}).items()]
-    return passing.select(*[col(c) for c in df.columns], *kept) if values else passing
+    return passing.select(*[col(c) for c in df.columns], *kept) if values or funnel else passing
 
 
 # --- dates --------------------------------------------------------------------
@@ -114,23 +129,27 @@ def date_window(
     return keep(df, date_test(df, date_argument(day), months))
 
 
-def date_or_undated_test(stamp: Column, day: dt.date, months: int) -> Test:
-    """In the window, or without a timestamp at all."""
+def date_or_undated_test(
+    stamp: Column, day: dt.date, months: int, df: DataFrame | None = None, name: str | None = None
+) -> Test:
+    """In the window, or without a timestamp at all.
+
+    ``name`` is the column of ``df`` that dates the rows if it has a value; where it is a
+    stored date or timestamp, the scan prunes by it.
+    """
     mask = within_months(F.col(STAMP).cast("date"), day, months) | F.col(STAMP).isNull()
-    return Test(mask, {STAMP: stamp})
+    stored = None if name is None else stored_window(df, [name], months_before(day, months), F.lit(day))
+    return Test(mask, {STAMP: stamp}, None if stored is None else stored | col(name).isNull())
 
 
 def date_window_keep_null(
     df: DataFrame, stamp: Column | str, day: str | dt.date, months: int = K.MONTHS_BACK
 ) -> DataFrame:
     """In the window by ``stamp``, an expression or the name of a column, or undated."""
-    day, stored = date_argument(day), None
+    day, name = date_argument(day), None
     if isinstance(stamp, str):
-        stored = stored_window(df, [stamp], months_before(day, months), F.lit(day))
-        stored = None if stored is None else stored | col(stamp).isNull()
-        stamp = as_timestamp(df, stamp)
-    test = date_or_undated_test(stamp, day, months)
-    return keep(df, Test(test.mask, test.values, stored))
+        name, stamp = stamp, as_timestamp(df, stamp)
+    return keep(df, date_or_undated_test(stamp, day, months, df, name))
 
 
 def first_date(df: DataFrame) -> Column:

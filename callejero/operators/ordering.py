@@ -10,15 +10,17 @@ from callejero.operators.joins import spread_key
 from callejero.operators.roles import col
 
 
-def sort_spread(df: DataFrame, *order: Column) -> DataFrame:
+def sort_spread(df: DataFrame, *order: Column, cheap: bool = False) -> DataFrame:
     """Global sort with a tie-break, so that one repeated sort value (a date with a third
     of the rows, or the rows without any) is still split over many partitions.
 
     Range partitioning samples its input first. The exchange in front of it keeps that
-    sample from running everything since the last exchange a second time.
+    sample from running everything since the last exchange a second time; ``cheap`` says
+    that there is little to run (a scan and a filter), and leaves one exchange.
     """
     tie = "__tie"
-    return df.withColumn(tie, spread_key(df)).repartition(tie).orderBy(*order, tie).drop(tie)
+    rows = df.withColumn(tie, spread_key(df))
+    return (rows if cheap else rows.repartition(tie)).orderBy(*order, tie).drop(tie)
 
 
 def sort_by_timestamp(df: DataFrame, stamp: Column | None) -> DataFrame:
@@ -26,10 +28,10 @@ def sort_by_timestamp(df: DataFrame, stamp: Column | None) -> DataFrame:
     return df if stamp is None else sort_spread(df, stamp.asc_nulls_last())
 
 
-def sort_by_first_date_column(df: DataFrame) -> DataFrame:
+def sort_by_first_date_column(df: DataFrame, cheap: bool = False) -> DataFrame:
     """Ascending by the first of the well-known date column names, if any is present."""
     name = next((n for n in K.SORT_DATE_NAMES if n in df.columns), None)
-    return df if name is None else sort_spread(df, col(name).asc_nulls_last())
+    return df if name is None else sort_spread(df, col(name).asc_nulls_last(), cheap=cheap)
 
 
 def nearest(df: DataFrame, n: int, distance: str, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from callejero import constants as K
 from callejero.functions.text import BLANKS
 from callejero.operators.joins import spread_join
 from callejero.operators.roles import col
+from callejero.session import scratch_dir
 
 
 def union_drifting(parts: list[DataFrame]) -> DataFrame:
@@ -57,6 +59,22 @@ def first_nonempty(candidates: DataFrame, group: str, rank: str) -> DataFrame:
     return spread_join(candidates, winners, [group, rank], "left_semi")
 
 
+def first_with_rows(candidates: Iterable[DataFrame]) -> DataFrame | None:
+    """The first of some tables that has rows (the last, if none has), written once to the shared folder and read back.
+
+    Whether a table has rows is in the footers of what was written; tables behind the
+    one found are never asked for.
+    """
+    found = None
+    for df in candidates:
+        path = scratch_dir(df.sparkSession, "candidate")
+        df.write.parquet(path)
+        found = df.sparkSession.read.schema(df.schema).parquet(path)
+        if not found.isEmpty():
+            break
+    return found
+
+
 def tag_source(df: DataFrame, first: bool = False, **tags: Column | str) -> DataFrame:
     """Provenance columns as literals, at the end or (``first``) in front.
 

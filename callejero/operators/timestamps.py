@@ -47,6 +47,13 @@ def build_ts(df: DataFrame) -> Column:
     return stamp
 
 
+def serving_column(df: DataFrame) -> str | None:
+    """The column that dates the rows in :func:`build_ts`, if it has any value: the first datetime-like one, else the
+    date column. If it has none, all its values are null."""
+    named = named_like(df.columns, K.DATETIME_KEYS)
+    return named[0] if named else first_like(df.columns, K.BUILD_DATE_KEYS)
+
+
 def emergency_sort_ts(df: DataFrame) -> Column | None:
     """Sort key of the emergency job: a datetime column, else date + hour text, else date."""
     direct = first_like(df.columns, K.DATETIME_KEYS)

@@ -17,7 +17,7 @@ from callejero.operators.reshape import project_with_default
 def climate_daily(df: DataFrame, end: str | dt.date, days: int) -> DataFrame:
     """The last ``days`` days up to ``end``, newest first; missing values are ``N/D``."""
     newest = F.coalesce(F.col("fecha"), F.lit("")).desc()
-    return sort_spread(last_n_days(df, end, days), newest).select(
+    return sort_spread(last_n_days(df, end, days), newest, cheap=True).select(
         *project_with_default(df, K.CLIMATE_DAILY_FIELDS)
     )
 

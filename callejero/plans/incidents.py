@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callejero import constants as K
@@ -14,10 +14,10 @@ from callejero.functions.dates import date_argument
 from callejero.operators import filters
 from callejero.operators.ordering import sort_by_first_date_column, sort_by_timestamp
 from callejero.operators.reshape import (
-    fill_sentinel, tag_source, union_drifting,
+    fill_sentinel, first_with_rows, tag_source, union_drifting,
 )
 from callejero.operators.roles import is_event_level
-from callejero.operators.timestamps import build_ts, emergency_sort_ts
+from callejero.operators.timestamps import build_ts, emergency_sort_ts, serving_column
 
 Day = str | dt.date | None
 Hour = str | tuple[int, int] | None
@@ -56,20 +56,20 @@ def accidents(
 ) -> DataFrame:
     """Per page the first source that yields rows, stacked and sorted by date.
 
-    ``sources`` are in order of preference within their page.
+    ``sources`` are in order of preference within their page. A source is filtered once,
+    into the shared folder, and those behind the first with rows are not read at all.
     """
-    parts: list[DataFrame] = []
-    found: dict[str, Column] = {}
+    pages: dict[str, list[Source]] = {}
     for s in sources:
-        part = filter_accidents(s.table, day, street, hour, months)
-        earlier = found.get(s.page)
-        found[s.page] = part.exists() if earlier is None else earlier | part.exists()
-        tagged = tag_source(part, __origen__=s.page, __descarga__=s.link)
-        # an existence test per earlier source, which stops at its first row
-        parts.append(tagged if earlier is None else tagged.where(~earlier))
+        pages.setdefault(s.page, []).append(s)
+    parts = []
+    for page, own in pages.items():
+        tagged = (tag_source(filter_accidents(s.table, day, street, hour, months), __origen__=page, __descarga__=s.link) for s in own)
+        parts.append(first_with_rows(tagged))
+    parts = [p for p in parts if p is not None]
     if not parts:
         return _nothing("__origen__", "__descarga__")
-    return sort_by_first_date_column(union_drifting(parts))
+    return sort_by_first_date_column(union_drifting(parts), cheap=True)
 
 
 def _nothing(*columns: str) -> DataFrame:
@@ -81,10 +81,12 @@ def _nothing(*columns: str) -> DataFrame:
 def filter_traffic(
     df: DataFrame, day: Day = None, hour: Hour = None, place: str | None = None,
     months: int = K.MONTHS_BACK, margin: int = K.HOUR_MARGIN_MINUTES, carry: str | None = None,
+    funnel: Observation | None = None,
 ) -> DataFrame:
     """Date window (undated rows stay), hour margin, and place over all columns joined.
 
-    ``carry`` names a column that keeps the timestamp of each row.
+    ``carry`` names a column that keeps the timestamp of each row; ``funnel`` is that of
+    :func:`callejero.operators.filters.keep`.
     """
     day, hour = date_argument(day), hour_argument(hour)
     if (day or hour) and not is_event_level(df.columns, with_ranges=True):
@@ -92,20 +94,23 @@ def filter_traffic(
     stamp = build_ts(df)
     tests = []
     if day:
-        tests.append(filters.date_or_undated_test(stamp, day, months))
+        tests.append(filters.date_or_undated_test(stamp, day, months, df, serving_column(df)))
     if hour:
         tests.append(filters.hour_within_test(df, stamp, hour, margin))
     if place:
         tests.append(filters.location_joined_test(df, place, K.ROAD_POINT_KEYS))
     if carry:
         tests.append(filters.Test(F.lit(True), {filters.STAMP: stamp}))
-    return filters.keep(df, *tests, carry={filters.STAMP: carry} if carry else None)
+    return filters.keep(df, *tests, carry={filters.STAMP: carry} if carry else None, funnel=funnel)
 
 
-def traffic(sources: list[Source], **criteria) -> DataFrame:
-    """Filtered tables of the enabled sources, blanks as ``NA``, in time order."""
+def traffic(sources: list[Source], funnels: dict[str, Observation] | None = None, **criteria) -> DataFrame:
+    """Filtered tables of the enabled sources, blanks as ``NA``, in time order.
+
+    ``funnels`` (by link) count each source's rows per filter while the result is written.
+    """
     parts = [
-        tag_source(filter_traffic(s.table, carry=SORT_STAMP, **criteria), __fuente=s.link)
+        tag_source(filter_traffic(s.table, carry=SORT_STAMP, funnel=(funnels or {}).get(s.link), **criteria), __fuente=s.link)
         for s in sources if s.enabled
     ]
     if not parts:

@@ -29,7 +29,7 @@ def parking_in_radius(
 ) -> DataFrame:
     """Car parks within the radius, nearest first."""
     found = within_radius(located(df, extracted), centre, km)
-    return sort_spread(found, F.col("distancia_centro_km").asc())
+    return sort_spread(found, F.col("distancia_centro_km").asc(), cheap=True)
 
 
 def parking_or_all(

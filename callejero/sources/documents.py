@@ -26,6 +26,12 @@ def unescape(texts: pd.Series) -> pd.Series:
     return texts.map(markup.unescape, na_action="ignore")
 
 
+def unescaped(text: Column) -> Column:
+    """Character references decoded; only texts that hold an ``&`` are sent to Python."""
+    asked = F.when(text.contains("&"), text)
+    return F.coalesce(unescape(asked), text)
+
+
 def _attribute(attributes: Column, name: str) -> Column:
     """The quoted or bare value of an attribute, looked for outside of other values."""
     form = rf"""(?is)^(?:[^"']|"[^"]*+"|'[^']*+')*?(?<=\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
@@ -71,7 +77,7 @@ def _exploded(pages: DataFrame, page: str, html: str, made: dict[int, Callable[[
     links = cut.select("page", F.inline(entries[0] if len(entries) == 1 else F.concat(*entries)))
     plain = F.regexp_replace("label", rf"<{ATTRIBUTES}>", " ")
     return links.where("href is not null").select(
-        "page", "stage", "pos", unescape(plain).alias("label"), unescape("href").alias("href"),
+        "page", "stage", "pos", unescaped(plain).alias("label"), unescaped(F.col("href")).alias("href"),
     ).select("page", "stage", "pos", squeeze(F.col("label")).alias("label"), F.trim("href").alias("href"))
 
 

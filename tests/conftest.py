@@ -1,3 +1,4 @@
+import signal
 import sys
 from pathlib import Path
 
@@ -9,6 +10,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+LIMIT_S = 240
+
+
+@pytest.fixture(autouse=True)
+def time_limit():
+    """A test that hangs fails alone, instead of holding up all others."""
+    def stop(*_):
+        raise TimeoutError(f"more than {LIMIT_S} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(LIMIT_S)
+    yield
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

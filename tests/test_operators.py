@@ -188,3 +188,69 @@ def test_overrides_and_disabled_pages(spark):
                                   "page string, enabled boolean")
     out = links.override_links(links.enabled_pages(pages), {"id1": "f1", "id": "f2"})
     assert [r.forced for r in out.collect()] == ["f1", "f2"]
+
+
+def test_first_source_is_filtered_once_and_the_rest_not_read(spark, tmp_path):
+    from callejero.plans import incidents as jobs
+
+    rows = [("2024-01-20", "Calle Mayor"), ("2024-01-19", "Calle Sol")]
+    for name in ("a", "b"):
+        spark.createDataFrame(rows, "fecha string, calle string").write.parquet(str(tmp_path / name))
+
+    def source(name, page, street=True):
+        read = spark.sparkContext.accumulator(0)
+
+        @F.udf("string")
+        def seen(text):
+            read.add(1)
+            return text
+
+        df = spark.read.parquet(str(tmp_path / name)).withColumn("fecha", seen("fecha"))
+        return jobs.Source(df if street else df.drop("calle"), name, page), read
+
+    (first, _), (second, read_second), (third, read_third) = source("a", "p", street=False), source("b", "p"), source("a", "p")
+    out = jobs.accidents([first, second, third], street="mayor")
+    assert [(r.calle, r["__descarga__"]) for r in out.collect()] == [("Calle Mayor", "b")]
+    out.collect()
+    assert read_second.value <= 2 and read_third.value == 0
+    assert jobs.accidents([first], street="mayor").collect() == []
+
+
+def test_traffic_window_reaches_the_scan(spark, tmp_path):
+    from callejero.plans import incidents as jobs
+
+    path = str(tmp_path / "t")
+    spark.range(400).select(
+        F.col("id"), F.when(F.col("id") % 9 > 0, F.expr("timestamp'2024-01-01' + make_dt_interval(cast(id as int))")).alias("fecha_hora"),
+        F.lit("M-30").alias("tramo")).write.parquet(path)
+    df = spark.read.parquet(path)
+    kept = jobs.filter_traffic(df, day="2024-06-30", months=1)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert any("fecha_hora" in line and "GreaterThanOrEqual" in line for line in plan.splitlines() if "PushedFilters" in line)
+    inside = "fecha_hora IS NULL OR cast(fecha_hora as date) BETWEEN date'2024-05-30' AND date'2024-06-30'"
+    assert {r.id for r in kept.collect()} == {r.id for r in df.where(inside).collect()}
+
+
+def test_funnel_counts_while_the_job_runs(spark):
+    from pyspark.sql import Observation
+
+    from callejero.operators import filters
+
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.col("id")).alias("x"))
+    seen = Observation("funnel")
+    kept = filters.keep(df, filters.Test(F.col("x") > 20), filters.Test(F.col("y") % 2 == 0, {"y": F.col("x") + 1}), funnel=seen)
+    assert kept.columns == ["id", "x"] and kept.count() == 40
+    assert seen.get == {"n_rows": 100, "n_1": 72, "n_2": 40}
+
+
+def test_sorts_of_cheap_inputs_have_one_exchange(spark, tmp_path):
+    from callejero.operators.ordering import sort_spread
+
+    path = str(tmp_path / "s")
+    spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("k")).write.parquet(path)
+    out = sort_spread(spark.read.parquet(path).where("id < 900"), F.col("k").asc(), cheap=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert [r.k for r in out.collect()] == sorted(i % 3 for i in range(900))
+    staged = sort_spread(spark.read.parquet(path), F.col("k").asc())
+    assert [r.k for r in staged.collect()] == sorted(i % 3 for i in range(1000))
