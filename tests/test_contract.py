@@ -25,7 +25,8 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_its_sql():
-    assert {q for q in queries() if q.startswith("q_")} == {q for q in ORACLES if q.startswith("q_")}
+    # a fitted forest has no SQL; its ranking of held-out days is tested instead
+    assert {q for q in queries() if q.startswith("q_")} - {"q_incident_forest"} == {q for q in ORACLES if q.startswith("q_")}
 
 
 @pytest.mark.parametrize("name", sorted(q for q in ORACLES if q.startswith("q_")))
