@@ -134,3 +134,61 @@ def url_models(rules: dict[str, str], order: int, alphabet: int, scale: int, bin
         WHEN coalesce(mean, 0) >= cut THEN 'allow' ELSE 'block' END AS verdict,
         CASE WHEN rule IS NULL THEN coalesce(mean, 0) / {scale} END AS score
     FROM f LEFT JOIN (SELECT s, mean FROM m WHERE side IS NULL) USING (s), cut"""
+
+
+# the table of CRC-32 (polynomial 0xEDB88320) from its rule, and the CRC of a text s, byte by byte
+CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc"""
+
+
+def _crc(s: str) -> str:
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode({s})), '..'), "
+            "lambda h: CAST((strpos('0123456789ABCDEF', h[1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2]) - 1 AS BIGINT))), "
+            "lambda c, b: xor(t.crc[(xor(c, b) & 255) + 1], c >> 8)))")
+
+
+def spelling(least: int, least_count: int, times: int, every: int) -> str:
+    return rf"""
+    WITH RECURSIVE t AS ({CRC_TABLE}),
+    r AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]{{{least},}}')) AS run FROM documents) GROUP BY 1, 2),
+    h AS (SELECT run, k, {_crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM r, t),
+    w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k,
+        CASE WHEN h % {every} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+        WHERE length(word) >= {least} GROUP BY word HAVING sum(k) >= {least_count}),
+    cut AS (SELECT word, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+    near AS (SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION SELECT cut.word, w.word FROM cut JOIN w ON w.word = cut.a || cut.b
+        UNION SELECT w.word, cut.word FROM cut JOIN w ON w.word = cut.a || cut.b),
+    best AS (SELECT near.word, count(*) AS n_near, first(other ORDER BY w.n DESC, other) AS other, max(w.n) AS most
+        FROM near JOIN w ON w.word = other GROUP BY near.word),
+    forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= {times} * w.n THEN other END AS form,
+        CASE WHEN most >= {times} * w.n THEN most END AS form_n FROM w LEFT JOIN best USING (word)),
+    walk(word, place, next) AS (SELECT word, word, form FROM forms
+        UNION ALL SELECT walk.word, forms.word, forms.form FROM walk JOIN forms ON forms.word = walk.next)
+    SELECT forms.word, forms.form, walk.place AS root, n, n_near, form_n FROM forms JOIN walk ON walk.word = forms.word AND walk.next IS NULL"""
+
+
+def resample(longest: int, buckets: int, percent: int, least_words: int, seed: str) -> str:
+    def grams(table: str, key: str) -> str:
+        return f"""SELECT id, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (
+            SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM (
+                SELECT {key} AS id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS ws FROM {table}),
+                (SELECT unnest(range(1, {longest + 1})) AS n))"""
+
+    return rf"""
+    WITH t AS ({CRC_TABLE}), d AS ({grams('documents', 'doc_id')}), b AS ({grams('benchmark', 'item_id')}),
+    g AS (SELECT g, {_crc('g')} % {buckets} AS bucket FROM (SELECT DISTINCT g FROM (SELECT g FROM d UNION ALL SELECT g FROM b)), t),
+    s AS (SELECT bucket, count(*) AS s FROM d JOIN g USING (g) GROUP BY bucket),
+    q AS (SELECT bucket, count(*) AS t FROM b JOIN g USING (g) GROUP BY bucket),
+    a AS (SELECT (SELECT count(*) FROM d) AS cs, (SELECT count(*) FROM b) AS ct),
+    gain AS (SELECT s.bucket, CAST(floor(1000 * ln(CAST((coalesce(q.t, 0) + 1) * (cs + {buckets}) AS DOUBLE)
+        / CAST((s.s + 1) * (ct + {buckets}) AS DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN q USING (bucket), a),
+    f AS (SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM d JOIN g USING (g) JOIN gain USING (bucket) GROUP BY id),
+    r AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        len(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}')) AS n_words,
+        CAST('0x' || substr(sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+        FROM documents LEFT JOIN f ON f.id = doc_id),
+    o AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296e0))) AS BIGINT) AS score FROM r),
+    p AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM o WHERE n_words >= {least_words})
+    SELECT o.doc_id, n_features, weight, score, CASE WHEN place <= {percent} * n // 100 THEN place END AS rank FROM o LEFT JOIN p USING (doc_id)"""

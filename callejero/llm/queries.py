@@ -131,7 +131,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query()
+@query(oracles.spelling(spelling.LEAST_LETTERS, spelling.LEAST_COUNT, spelling.TIMES, spelling.DROP_EVERY))
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words, the word each is a variant of, and the root of that."""
     found = spelling.variants(table(spark, sf_dir, "documents"))
@@ -149,7 +149,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, folder, with_ids=False)
 
 
-@query()
+@query(oracles.resample(resample.LONGEST, resample.BUCKETS, 5, 20, "42"))
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weight towards the benchmark's texts, and the ranks of the twentieth that is drawn."""
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
