@@ -3,10 +3,13 @@
 Texts are words of letters and digits with A-Z lower-cased. Of every ``window -
 gram + 1`` neighbouring ``gram``-word hashes the least is a fingerprint, so two
 texts that share ``window`` words in a row share a fingerprint inside them, at the
-same place. Fingerprints of documents are joined with those of the items, and
-each hit is extended word by word on both sides; a run of ``window`` words or more
-marks its words. An item of fewer words is one window, found by the hash of all
-its words.
+same place. Fingerprints of documents are joined with the distinct windows of the
+items that have them, and each hit is extended word by word over the window; a
+window that agrees marks its words. An item of fewer words is one window, found by
+the hash of all its words.
+
+However many items share a window, it is compared once. Windows with the same items
+are one set, and a document gets each set's list of items once.
 
 Before the join a bitmap of the item fingerprints, of fixed size whatever the
 number of items, drops document fingerprints that no item has; it loses none.
@@ -37,47 +40,48 @@ GRAM = 5
 CANDIDATE = "array<struct<at:bigint,hash:bigint,size:int,context:string,lead:int>>"
 
 
-def _fingerprints(first: np.ndarray, hashes: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Positions of the winnowed hashes: the first least of each window."""
+def _winnowed(first: np.ndarray, hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word of each window, and how many words stand before its fingerprint: the first least hash."""
     starts, _ = texts.gram_positions(first, window)
+    least = np.zeros(len(starts), dtype=np.int64)
     if not len(starts):
-        return starts
+        return starts, least
     values = texts.grams(hashes, gram)
-    least = np.zeros(len(starts), dtype=np.int64)
     best = values[starts]
     for k in range(1, window - gram + 1):
         other = values[starts + k]
         smaller = other < best
         best = np.where(smaller, other, best)
         least[smaller] = k
-    chosen = np.zeros(len(hashes), dtype=bool)
-    chosen[starts + least] = True
-    return np.flatnonzero(chosen)
+    return starts, least
 
 
-def _marks(block: texts.Block, window: int, gram: int, short_sizes: list[int], whole: bool):
-    """Candidates of a block: word position, hash and number of words.
+def _key(value: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The same words as a fingerprint and as a short item are different keys."""
+    return texts.mixed(value + size.astype(np.int64).view(np.uint64)).view(np.int64)
 
-    ``whole``: items, where a text of few words is one candidate of that size;
-    otherwise every run of a size in ``short_sizes`` is one.
-    """
+
+def _marks(block: texts.Block, window: int, gram: int, short_sizes: list[int]):
+    """Candidates of a block of documents: word position, hash and number of words."""
     found = texts.words(block, texts.LETTERS_DIGITS, lower=True)
     hashes = texts.word_hashes(found)
-    at = [_fingerprints(found.first, hashes, window, gram)]
-    value = [texts.grams(hashes, gram)[at[0]]]
-    size = [np.full(len(at[0]), gram)]
-    short = [n for n in range(1, window) if n in np.unique(found.count)] if whole else short_sizes
-    for n in short:
-        if whole:
-            places = found.first[:-1][found.count == n]
-        else:
-            places, _ = texts.gram_positions(found.first, n)
+    starts, least = _winnowed(found.first, hashes, window, gram)
+    at = [np.unique(starts + least)]
+    value, size = [texts.grams(hashes, gram)[at[0]]], [np.full(len(at[0]), gram)]
+    for n in short_sizes:
+        places, _ = texts.gram_positions(found.first, n)
         at.append(places)
         value.append(texts.grams(hashes, n)[places])
         size.append(np.full(len(places), -n))
     at, value, size = map(np.concatenate, (at, value, size))
-    # the same words as a fingerprint and as a short item are different candidates
-    return found, at, texts.mixed(value + size.astype(np.int64).view(np.uint64)).view(np.int64), size
+    return found, at, _key(value, size), size
+
+
+def _joined(block: texts.Block, found: texts.Words, low: np.ndarray, high: np.ndarray) -> list[str]:
+    """The words from ``low`` to before ``high``, with a space between."""
+    data = texts.LOWER[block.data]
+    return [" ".join(data[s:e].tobytes().decode() for s, e in zip(found.starts[a:b], found.ends[a:b]))
+            for a, b in zip(low.tolist(), high.tolist())]
 
 
 def _rows(block: texts.Block, found: texts.Words, at, size, window: int, gram: int):
@@ -86,27 +90,43 @@ def _rows(block: texts.Block, found: texts.Words, at, size, window: int, gram: i
     reach = np.where(size > 0, window - gram, 0)
     low = np.maximum(at - reach, found.first[number])
     high = np.minimum(at + np.abs(size) + reach, found.first[number + 1])
-    data = texts.LOWER[block.data]
-    contexts = [" ".join(data[s:e].tobytes().decode() for s, e in zip(found.starts[a:b], found.ends[a:b]))
-                for a, b in zip(low.tolist(), high.tolist())]
-    return number, contexts, at - low
+    return number, _joined(block, found, low, high), at - low
 
 
-def item_fingerprints(items: DataFrame, item_key: str, text: str, window: int, gram: int) -> DataFrame:
-    source = items.select(F.col(item_key).alias("item"), F.col(text).alias("text"))
-    kind = source.schema["item"].dataType.simpleString()
+def item_windows(items: DataFrame, item_key: str, text: str, window: int, gram: int) -> DataFrame:
+    """item (as text), hash, size, words and lead (words before the fingerprint) of every window of every item."""
+    source = items.select(F.col(item_key).cast("string").alias("item"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(batch.column(1)):
-                found, at, value, size = _marks(block, window, gram, [], True)
-                number, contexts, lead = _rows(block, found, at, size, window, gram)
+                found = texts.words(block, texts.LETTERS_DIGITS, lower=True)
+                hashes = texts.word_hashes(found)
+                low, lead = _winnowed(found.first, hashes, window, gram)
+                value, size = texts.grams(hashes, gram)[low + lead], np.full(len(low), gram)
+                length = np.full(len(low), window)
+                for n in range(1, window):
+                    own = found.first[:-1][found.count == n]
+                    low, lead = np.r_[low, own], np.r_[lead, np.zeros(len(own), dtype=np.int64)]
+                    value, size = np.r_[value, texts.grams(hashes, n)[own]], np.r_[size, np.full(len(own), -n)]
+                    length = np.r_[length, np.full(len(own), n)]
+                number = np.searchsorted(found.first, low, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(number + block.low)), pa.array(value),
-                     pa.array(size, pa.int32()), pa.array(contexts, pa.string()), pa.array(lead, pa.int32())],
-                    names=["item", "hash", "size", "item_context", "item_lead"])
+                    [batch.column(0).take(pa.array(number + block.low)), pa.array(_key(value, size)), pa.array(size, pa.int32()),
+                     pa.array(_joined(block, found, low, low + length), pa.string()), pa.array(lead, pa.int32())],
+                    names=["item", "hash", "size", "words", "lead"])
 
-    return source.mapInArrow(run, f"item {kind}, hash bigint, size int, item_context string, item_lead int")
+    return source.mapInArrow(run, "item string, hash bigint, size int, words string, lead int")
+
+
+def _sets(windows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows with the number of their set of items; and the items of each set."""
+    spark = windows.sparkSession
+    windows.groupBy("hash", "size", "words", "lead").agg(F.sort_array(F.collect_set("item")).alias("items")).withColumn(
+        "items_of", F.sha2(F.to_json("items"), 256)).write.parquet(f"{folder}/windows")
+    known = spark.read.parquet(f"{folder}/windows")
+    known.select("items_of", "items").dropDuplicates(["items_of"]).write.parquet(f"{folder}/sets")
+    return known.drop("items"), spark.read.parquet(f"{folder}/sets")
 
 
 def _document_candidates(docs: DataFrame, key: str, text: str, seen, short_sizes: list[int],
@@ -120,7 +140,7 @@ def _document_candidates(docs: DataFrame, key: str, text: str, seen, short_sizes
         table = seen.value
         for batch in batches:
             for block in texts.blocks(batch.column(1)):
-                found, at, value, size = _marks(block, window, gram, short_sizes, False)
+                found, at, value, size = _marks(block, window, gram, short_sizes)
                 known = holds(table, value)
                 at, value, size = at[known], value[known], size[known]
                 order = np.argsort(at, kind="stable")
@@ -139,58 +159,45 @@ def _document_candidates(docs: DataFrame, key: str, text: str, seen, short_sizes
     return source.mapInArrow(run, f"key {kind}, n_words bigint, candidates {CANDIDATE}")
 
 
-def _extended(pairs: DataFrame, window: int) -> DataFrame:
-    """Extend each candidate as far as the words agree; keep runs that hold a window."""
-    kind = pairs.schema["item"].dataType.simpleString()
-
+def _extended(pairs: DataFrame) -> DataFrame:
+    """Extend each candidate over the item's window; keep those whose words all agree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in
-                       ("at", "size", "context", "lead", "item_context", "item_lead")]
+            columns = [batch.column(c).to_pylist() for c in ("at", "context", "lead", "item_words", "item_lead")]
             kept, starts, ends = [], [], []
-            for i, (at, size, mine, lead, theirs, item_lead) in enumerate(zip(*columns)):
-                mine, theirs, n = mine.split(" "), theirs.split(" "), abs(size)
-                if mine[lead:lead + n] != theirs[item_lead:item_lead + n]:
-                    continue
-                left = right = 0
-                if size > 0:
-                    while left < min(lead, item_lead) and mine[lead - left - 1] == theirs[item_lead - left - 1]:
-                        left += 1
-                    after, item_after = mine[lead + n:], theirs[item_lead + n:]
-                    while right < min(len(after), len(item_after)) and after[right] == item_after[right]:
-                        right += 1
-                    if left + n + right < window:
-                        continue
-                kept.append(i)
-                starts.append(at - left)
-                ends.append(at + n + right)
+            for i, (at, mine, lead, theirs, item_lead) in enumerate(zip(*columns)):
+                low, theirs = lead - item_lead, theirs.split(" ")
+                if low >= 0 and mine.split(" ")[low:low + len(theirs)] == theirs:
+                    kept.append(i)
+                    starts.append(at - item_lead)
+                    ends.append(at - item_lead + len(theirs))
             at = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(at), batch.column("item").take(at), pa.array(starts, pa.int64()),
-                 pa.array(ends, pa.int64())], names=["row", "item", "low", "high"])
+                [batch.column("row").take(at), batch.column("items_of").take(at), pa.array(starts, pa.int64()),
+                 pa.array(ends, pa.int64())], names=["row", "items_of", "low", "high"])
 
-    return pairs.select("row", "item", "at", "size", "context", "lead", "item_context", "item_lead").mapInArrow(
-        run, f"row bigint, item {kind}, low bigint, high bigint")
+    return pairs.select("row", "items_of", "at", "context", "lead", "item_words", "item_lead").mapInArrow(
+        run, "row bigint, items_of string, low bigint, high bigint")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id",
                   text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """One row per document: key, n_words, n_hit, spans (array of low, high) and items (sorted ids as text)."""
     spark = docs.sparkSession
-    marks = item_fingerprints(items, item_key, text, window, gram)
     folder = scratch_dir(spark, "winnowing")
-    marks.write.parquet(f"{folder}/items")
-    marks = spark.read.parquet(f"{folder}/items")
+    windows, sets = _sets(item_windows(items, item_key, text, window, gram), folder)
     # at most window - 1 sizes
-    short_sizes = sorted(-r["size"] for r in marks.filter("size < 0").select("size").distinct().collect())
-    seen = spark.sparkContext.broadcast(bitmap(marks, "hash"))
+    short_sizes = sorted(-r["size"] for r in windows.filter("size < 0").select("size").distinct().collect())
+    seen = spark.sparkContext.broadcast(bitmap(windows, "hash"))
     _document_candidates(docs, key, text, seen, short_sizes, window, gram).withColumn(
         "row", F.monotonically_increasing_id()).write.parquet(f"{folder}/documents")
     rows = spark.read.parquet(f"{folder}/documents")
-    pairs = rows.select("row", F.inline("candidates")).join(marks, ["hash", "size"])
-    hits = _extended(pairs, window).groupBy("row").agg(
-        F.collect_set(F.struct("low", "high")).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
+    theirs = windows.select("hash", "size", "items_of", F.col("words").alias("item_words"), F.col("lead").alias("item_lead"))
+    _extended(rows.select("row", F.inline("candidates")).join(theirs, ["hash", "size"])).write.parquet(f"{folder}/hits")
+    found = spark.read.parquet(f"{folder}/hits")
+    named = found.select("row", "items_of").distinct().join(sets, "items_of").groupBy("row").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hits = found.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("spans")).join(named, "row")
     nothing = "array<struct<low:bigint,high:bigint>>"
     merged = F.aggregate(
         F.array_sort("spans"), F.array().cast(nothing),

@@ -20,6 +20,8 @@ from callejero.llm import (
     urlfilter,
 )
 
+from callejero.session import scratch_dir
+
 SF = "/root/testdata/sf0.001"
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -424,6 +426,21 @@ def test_contamination_equals_brute_force(spark, documents, awkward):
         assert got == want
 
 
+def test_items_that_share_a_prompt_are_one_set(spark):
+    """A window of many items is compared once, and its items come as one list."""
+    prompt = "please answer the question below with one of the four options given here"
+    items = [(f"q{i}", f"{prompt} number{i} asks about thing{i}") for i in range(300)] + [("s", "tiny item"), ("s2", "Tiny item!")]
+    rows = [(i, f"before {prompt} after{i}") for i in range(40)] + [(50, "a tiny item here"), (51, prompt[7:]), (None, items[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    out = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert all(len(out[i].items) == 300 and out[i].n_hit == 13 for i in range(40))
+    assert (out[50].items, out[50].n_hit) == (["s", "s2"], 2)
+    assert (len(out[51].items), out[51].n_hit, len(out[None].items), out[None].n_hit) == (300, 12, 300, 17)
+    _, sets = decontaminate._sets(decontaminate.item_windows(bench, "item_id", "text", 10, 5), scratch_dir(spark, "sets"))
+    assert sorted(len(r["items"]) for r in sets.collect())[-2:] == [2, 300] and sets.count() == 302
+
+
 # -- 8: language --------------------------------------------------------------
 
 def test_language_of_held_out_documents(spark):
@@ -540,7 +557,7 @@ def test_shards_match_the_mixture(spark, documents, awkward, shards):
 # -- queries and pipeline -----------------------------------------------------
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
