@@ -6,10 +6,10 @@ that fraction interleave the sources in proportion, and equal cuts of that order
 are the shards: sizes in rows differ by one at most.
 
 Ranks are taken without ever bringing a source or the whole table into one task:
-rows go by their order value into a fixed number of bins, the counts of the bins
-are summed up on a table of counts, and only the rows of a bin are ranked
-together. The order value of a row is uniform, so the bins are even whatever
-share one source has.
+rows go by their order value into bins of about ``ROWS_PER_BIN`` rows (at least
+``BINS``), the counts of the bins are summed up on a table of counts, and only the
+rows of a bin are ranked together. The order value of a row is uniform, so the bins
+are even whatever share one source has.
 
 A null source is a source of its own; a null text has the size of an empty one.
 Rows equal in id and text are ranked in any order, which gives the same rows. An
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
+ROWS_PER_BIN = 20_000
 
 
 def ranked(rows: DataFrame, groups: list[str], bin_: str, order: list[str], rank: str) -> DataFrame:
@@ -35,8 +36,9 @@ def ranked(rows: DataFrame, groups: list[str], bin_: str, order: list[str], rank
 
 
 def interleave(df: DataFrame, shards: int, seed: str, key: str = "doc_id", source: str = "source",
-               text: str = "text", bins: int = BINS) -> DataFrame:
+               text: str = "text", bins: int | None = None) -> DataFrame:
     """One row per row of ``df``: key, size, text_crc32, shard, slot."""
+    bins = bins or max(BINS, df.count() // ROWS_PER_BIN)
     value = F.coalesce(F.col(text), F.lit(""))
     mixed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     rows = df.select(
