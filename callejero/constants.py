@@ -125,6 +125,13 @@ DATASET_LABELS = [
     ("calidad_aire", "calidad_aire"), ("accidente", "accidentes"),
 ]
 
+# --- patterns of cells, paths and headers (fixed values) ----------------------
+RANGE_FORM = r"^\s*(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})\s*$"
+HHMM_FORM = r"^\s*(\d{1,2})[:hH]([0-5]?\d)\s*$"
+CELL_FORM = r"^(\d{1,2})\s*[:hH]?\s*(\d{1,2})?$"
+CSV_PATH = r'(?i)((?:[A-Za-z]:\\|/)?[^\s"<>|]+?\.csv)'
+FILENAME = r'(?i)filename\s*=\s*"?([^";]+)"?'
+
 # --- limits and places --------------------------------------------------------
 SEPARATORS = [";", ",", "\t", "|"]
 MONTHS_BACK_ACCIDENTS = 3

@@ -14,16 +14,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from callejero import constants as K
 from callejero.functions.dates import parse_timestamp
 from callejero.functions.text import strip_blanks
 
 COLON_INPUT = r"^(\d{1,2}):([0-5]?\d?(?:\.\d+)?|60(?:\.0*)?)$"
 DECIMAL_INPUT = r"^\d{1,3}(?:\.\d+)?$"
-RANGE_FORM = r"^\s*(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})\s*$"
-HHMM_FORM = r"^\s*(\d{1,2})[:hH]([0-5]?\d)\s*$"
 NUMBER_FORM = r"^\s*\+?(?:0*\d{1,3}\.?\d*|\.\d+)\s*$"
 FRACTION_FORM = r"^\+?0*(?:1?\d|2[0-3])?\.0{0,8}[1-9]\d*$"
-CELL_FORM = r"^(\d{1,2})\s*[:hH]?\s*(\d{1,2})?$"
 PADDED_FORM = r"^0{1,7}(?:[01]?\d|2[0-3])$"
 CLOCK_IN_TEXT = r"(?:^|[^\d:])([01]?\d|2[0-3]):([0-5]\d)(?:\D|$)"
 AFTERNOON = r"(?:^|[^\d:])(?:0?[1-9]|1[01]):[0-5]\d(?::[0-5]\d)?\s*[pP]\.?[mM]"
@@ -86,8 +84,8 @@ def to_hour_minute(c: Column) -> Column:
             (F.floor(value) * 100 + F.rint(value % 1 * 60)).cast("int"),
         )
         .when(
-            dotted.rlike(CELL_FORM),
-            _int(dotted, CELL_FORM, 1) * 100 + _int(dotted, CELL_FORM, 2),
+            dotted.rlike(K.CELL_FORM),
+            _int(dotted, K.CELL_FORM, 1) * 100 + _int(dotted, K.CELL_FORM, 2),
         )
         .when(cell.rlike(PADDED_FORM), cell.try_cast("int") * 100)
         .when(
@@ -107,12 +105,12 @@ def time_midpoint(c: Column) -> Column:
     pointed = F.translate(text, ",", ".")
     value = pointed.try_cast("double")
     both = (
-        (_int(text, RANGE_FORM, 1) + _int(text, RANGE_FORM, 3)) * 60
-        + _int(text, RANGE_FORM, 2) + _int(text, RANGE_FORM, 4)
+        (_int(text, K.RANGE_FORM, 1) + _int(text, K.RANGE_FORM, 3)) * 60
+        + _int(text, K.RANGE_FORM, 2) + _int(text, K.RANGE_FORM, 4)
     )
     minutes = (
-        F.when(text.rlike(RANGE_FORM), F.floor(both / 2))
-        .when(text.rlike(HHMM_FORM), _int(text, HHMM_FORM, 1) * 60 + _int(text, HHMM_FORM, 2))
+        F.when(text.rlike(K.RANGE_FORM), F.floor(both / 2))
+        .when(text.rlike(K.HHMM_FORM), _int(text, K.HHMM_FORM, 1) * 60 + _int(text, K.HHMM_FORM, 2))
         .when(pointed.rlike(NUMBER_FORM), F.floor(value) * 60 + F.rint(value % 1 * 60))
     )
     return _before_midnight(minutes).cast("int")

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from callejero import constants as K
 
-CSV_PATH = r'(?i)((?:[A-Za-z]:\\|/)?[^\s"<>|]+?\.csv)'
-
 
 def dataset_label(path: Column) -> Column:
     """Dataset a result file belongs to: first known fragment, else its folder, else its name."""
@@ -33,7 +31,7 @@ def month_name(month: Column) -> Column:
 
 def extract_csv_paths(text: Column) -> Column:
     """Array of the distinct CSV paths in a log text, in order of first mention."""
-    found = F.regexp_extract_all(text, F.lit(CSV_PATH), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(K.CSV_PATH), F.lit(1))
     return F.array_distinct(
         F.transform(
             found,

@@ -12,7 +12,6 @@ from callejero import constants as K
 ZIP_SUFFIX = r"\.zip$"
 CSV_SUFFIX = r"\.csv$"
 JSON_SUFFIX = r"\.(json|geojson)$"
-FILENAME = r'(?i)filename\s*=\s*"?([^";]+)"?'
 
 
 def absolutize(base: Column, href: Column, protocol_relative: bool = True) -> Column:
@@ -98,14 +97,14 @@ def response_type(content_type: Column, disposition: Column, url: Column) -> Col
         .when(kind.contains("text/csv"), "csv")
         .when(kind.rlike("application/(geo[+])?json"), "json")
     )
-    file_name = F.regexp_extract(F.coalesce(disposition, F.lit("")), FILENAME, 1)
+    file_name = F.regexp_extract(F.coalesce(disposition, F.lit("")), K.FILENAME, 1)
     return F.coalesce(by_header, _type_by_suffix(file_name), _type_by_suffix(url), F.lit(""))
 
 
 def is_data_response(content_type: Column, disposition: Column, url: Column) -> Column:
     """Whether a response is CSV or JSON (archives are not accepted here)."""
     kind = F.lower(F.coalesce(content_type, F.lit("")))
-    file_name = F.regexp_extract(F.coalesce(disposition, F.lit("")), FILENAME, 1)
+    file_name = F.regexp_extract(F.coalesce(disposition, F.lit("")), K.FILENAME, 1)
     accepted = F.array(F.lit("csv"), F.lit("json"))
     return (
         kind.contains("text/csv")
