@@ -166,19 +166,22 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
             for block in texts.blocks(batch.column(0)):
                 size = block.high - block.low
                 owner, slots = word_slots(block)
-                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=size))]
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=size))].tolist()
+                raw = slots.astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).slice(block.low, size), batch.column(2).slice(block.low, size),
-                     pa.array(list(features(block)), pa.list_(pa.float64())),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slots, pa.int32()))],
+                     pa.array([row.tobytes() for row in features(block).astype("<f8")], pa.binary()),
+                     pa.array([raw[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())],
                     names=["label", "order", "x", "slots"])
 
-    got = rows.mapInArrow(run, "label int, order bigint, x array<double>, slots array<int>").toPandas()
-    got = got.sort_values("order", kind="stable", ignore_index=True)
-    y = got["label"].to_numpy(dtype=float)
-    owner = np.repeat(np.arange(len(y)), got["slots"].map(len).to_numpy(dtype=np.int64))
-    slots = np.concatenate([np.zeros(0, np.int64), *got["slots"]]).astype(np.int64)
-    model = fit(np.array(got["x"].tolist(), dtype=float).reshape(len(y), len(NAMES)), y, owner, slots)
+    # as bytes, a sample of that size takes some 15 MB
+    got = rows.mapInArrow(run, "label int, order bigint, x binary, slots binary").collect()
+    got.sort(key=lambda r: (r["order"], r["label"]))
+    y = np.array([r["label"] for r in got], dtype=float)
+    owner = np.repeat(np.arange(len(y)), [len(r["slots"]) // 2 for r in got])
+    slots = np.frombuffer(b"".join(r["slots"] for r in got), dtype="<u2").astype(np.int64)
+    x = np.frombuffer(b"".join(r["x"] for r in got), dtype="<f8").reshape(len(y), len(NAMES))
+    model = fit(x, y, owner, slots)
     return model if model is not None else float(y.mean()) if len(y) else 1.0
 
 
