@@ -123,12 +123,14 @@ def q_air_fallback(spark, sf_dir):
     return out.withColumn("acc_value_ugm3", F.round(F.col("acc_value_ugm3").try_cast("double"), 6))
 
 
-@query(f"""{with_views('v_snapshot')} SELECT count(*) AS n FROM v_snapshot WHERE false""")
+@query(f"""{with_views('v_snapshot', 'v_air')} SELECT 'con filas' AS principal, count(*) FILTER (false) AS n FROM v_snapshot
+UNION ALL SELECT 'vacia', count(*) FROM v_snapshot""")
 def q_only_if_empty(spark, sf_dir):
-    """The other half of the fallback: nothing is used while the primary has rows."""
-    snapshots = _snapshots(spark, sf_dir)
-    unused = only_if_empty(snapshots, spark_view(spark, sf_dir, "v_air"))
-    return unused.agg(F.count(F.lit(1)).alias("n"))
+    """Nothing of the fallback is used while the primary has rows, all of it when it has none."""
+    snapshots, measured = _snapshots(spark, sf_dir), spark_view(spark, sf_dir, "v_air")
+    parts = [only_if_empty(snapshots, primary).agg(F.count(F.lit(1)).alias("n")).select(F.lit(case).alias("principal"), "n")
+             for case, primary in (("con filas", measured), ("vacia", measured.where("linea < 0")))]
+    return parts[0].unionByName(parts[1])
 
 
 _LOG = ["__fuente", "fecha", "hora", "origen", "aqi", "aqi_category", "co_raw", "registro",

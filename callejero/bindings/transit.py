@@ -62,11 +62,20 @@ def q_active_services(spark, sf_dir):
     return transit.active_services(feed.calendar, feed.calendar_dates, DAY)
 
 
-@query(f"{FEED}, {ACTIVE} SELECT service_id FROM active WHERE false")
+@query(f"""{FEED}, {ACTIVE} SELECT 'con calendario' AS caso, service_id FROM active
+UNION ALL SELECT 'solo excepciones', service_id FROM v_calendar_dates
+  WHERE date = {DAY:%Y%m%d} AND exception_type = 1 AND EXISTS (SELECT 1 FROM v_calendar WHERE start_date < 19950105)
+UNION ALL SELECT 'sin calendario', service_id FROM active WHERE false""")
 def q_active_services_no_calendar(spark, sf_dir):
-    """Without calendar rows there are no services, whatever the exceptions add."""
+    """Without calendar rows there are no services, whatever the exceptions add; one row that
+    doesn't run is enough for the added ones."""
     feed = _feed(spark, sf_dir)
-    return transit.active_services(feed.calendar.where("start_date < 0"), feed.calendar_dates, DAY)
+    none = feed.calendar.where("start_date < 0")
+    idle = feed.calendar.where("start_date < 19950105").withColumn("end_date", F.lit(19950106))
+    cases = {"con calendario": feed.calendar, "solo excepciones": idle, "sin calendario": none}
+    parts = [transit.active_services(calendar, feed.calendar_dates, DAY).select(F.lit(case).alias("caso"), "service_id")
+             for case, calendar in cases.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(f"""{FEED}, {ACTIVE} SELECT trip_id, route_id, service_id, trip_headsign, direction_id
