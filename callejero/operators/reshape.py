@@ -12,7 +12,7 @@ from callejero import constants as K
 from callejero.functions.text import BLANKS
 from callejero.operators.joins import spread_join
 from callejero.operators.roles import col
-from callejero.session import scratch_dir
+from callejero.session import written
 
 
 def union_drifting(parts: list[DataFrame]) -> DataFrame:
@@ -67,9 +67,7 @@ def first_with_rows(candidates: Iterable[DataFrame]) -> DataFrame | None:
     """
     found = None
     for df in candidates:
-        path = scratch_dir(df.sparkSession, "candidate")
-        df.write.parquet(path)
-        found = df.sparkSession.read.schema(df.schema).parquet(path)
+        found = written(df, "candidate")
         if not found.isEmpty():
             break
     return found

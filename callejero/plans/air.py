@@ -19,6 +19,7 @@ from callejero.operators.reshape import (
     fill_sentinel, only_if_empty, preferred_first, snapshot_to_long, tag_source, union_drifting,
 )
 from callejero.operators.roles import first_like
+from callejero.session import written
 
 Day = str | dt.date | None
 MEASURED = "__fecha_dt"
@@ -86,12 +87,16 @@ def air_comparison(
     open_tables: dict[str, DataFrame], snapshots: DataFrame, day: Day = None,
     place: str | None = None, months: int = K.MONTHS_BACK,
 ) -> DataFrame:
-    """``open_tables``: link -> table. Result with blanks as ``NA``."""
+    """``open_tables``: link -> table. Result with blanks as ``NA``.
+
+    The daily means, a row per day and pollutant, are written once: the join reads them,
+    and so does the question whether there are any.
+    """
     stacked = union_drifting(
         [open_measurements(t, link, day, place, months) for link, t in open_tables.items()]
     )
     long = snapshot_to_long(snapshots)
-    return fill_sentinel(compare(daily_means(stacked), long, day, months))
+    return fill_sentinel(compare(written(daily_means(stacked), "means"), long, day, months))
 
 
 def air_log(
