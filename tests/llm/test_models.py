@@ -265,9 +265,8 @@ def test_quality_of_rows_not_learned_from(spark):
 
 # -- near copies: groups that hold much of the rows ----------------------------------
 
-def test_hot_classes_and_buckets(spark, monkeypatch):
+def test_hot_classes_and_buckets(spark):
     """Copies of one text, empty texts, and a bucket of similar texts that are not linked."""
-    monkeypatch.setattr(neardup, "PART", 4)
     rng = np.random.default_rng(3)
     base = [f"b{i}" for i in range(60)]
     rows = [(i, "one text that many rows hold " * 4) for i in range(150)] + [(200 + i, "" if i % 2 else None) for i in range(60)]
