@@ -302,11 +302,10 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, key: s
     rows = folder.keep(_described(docs, shingle))
     digest = ["n", "d1", "d2"]
     filled = rows.filter("n > 0 AND id IS NOT NULL")
-    # equal sets have equal signatures, so any row's stand for the class; combined before the shuffle
-    classes = folder.keep(filled.groupBy(*digest).agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), *[F.min(c).alias(c) for c in (*SIGNATURE, "bands")]))
-    reps = classes.select("id", *SIGNATURE, "bands")
-    classes = classes.select(*digest, F.col("id").alias("rep"), "copies")
+    classes = folder.keep(filled.groupBy(*digest).agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
+    # by id and digest: however many copies a class has, its key has the rows of one document
+    reps = folder.keep(filled.join(classes.select(F.col("rep").alias("id"), *digest), ["id", *digest]).select(
+        "id", *SIGNATURE, "bands"))
     members = reps.select("id", *SIGNATURE, F.explode("bands").alias("bucket"))
     hubs = folder.keep(members.groupBy("bucket").agg(
         F.min(F.col("id").bitwiseXOR(F.col("bucket"))).alias("least"), F.count("*").alias("size")).filter("size > 1").select(
