@@ -158,7 +158,7 @@ def test_variants_equal_brute_force(spark):
     assert found(queries.op11_spelling(spark, SF)) == variant_table(rows_of(spark))
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.text(alphabet="abÿ", min_size=1, max_size=5), min_size=1, max_size=30), st.integers(1, 3))
 def test_variants_of_few_letters(spark, words, times):
     # runs of equal letters, chains of forms, words that are beginnings of others; several partitions
