@@ -89,34 +89,31 @@ def _grid(low: Column, high: Column) -> Column:
     return F.explode(F.sequence(F.floor(low / GRID), F.floor(high / GRID)))
 
 
-def _met(points: DataFrame, polygons: DataFrame, lat: str, lon: str, key: str, rings: str, salts: int,
-         declared: str | None = None) -> DataFrame:
-    """Points (numbered in ``__place``) with the cells around them; ``__hit``: in that cell's polygon.
+def _met(points: DataFrame, polygons: DataFrame, lat: str, lon: str, key: str, rings: str,
+         salts: int) -> tuple[DataFrame, DataFrame, Column, Column]:
+    """Points, cells, whether the two are of one square, and whether the point is in that cell's polygon.
 
     Points and cells meet in the squares of a common grid. A square that holds a third of
-    the points is shared by ``salts`` tasks. With ``declared`` only the cells of the region
-    that a point declares are looked at, and points without one stay.
+    the points is shared by ``salts`` tasks.
     """
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     cells = covering(polygons, key, rings).select(F.col(key).alias("__key"), "c0x", "c1x", "c0y", "c1y", "edges", _grid(
-        F.col("c0x"), F.col("c1x")).alias("__gx"))
-    cells = cells.select("*", _grid(F.col("c0y"), F.col("c1y")).alias("__gy")).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        F.col("c0x"), F.col("c1x")).alias("__cx"))
+    cells = cells.select("*", _grid(F.col("c0y"), F.col("c1y")).alias("__cy")).withColumn(
+        "__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     placed = points.withColumns({
         "__x": x, "__y": y, "__gx": F.floor(x / GRID), "__gy": F.floor(y / GRID),
-        "__salt": F.pmod(spread_key(points), F.lit(salts)).cast("int"), "__place": F.monotonically_increasing_id()})
-    on = ["__gx", "__gy", "__salt"]
-    if declared:
-        placed, on = placed.withColumn("__key", F.col(declared)), [*on, "__key"]
+        "__salt": F.pmod(spread_key(points), F.lit(salts)).cast("int")})
+    met = (F.col("__gx") == F.col("__cx")) & (F.col("__gy") == F.col("__cy")) & (F.col("__salt") == F.col("__part"))
     inside = F.col("edges").isNull() | contains(F.col("edges"), F.col("__x"), F.col("__y"))
     hit = F.col("__x").between(F.col("c0x"), F.col("c1x")) & F.col("__y").between(F.col("c0y"), F.col("c1y")) & inside
-    return placed.join(cells, on, "left" if declared else "inner").withColumn(
-        "__hit", F.col("c0x").isNotNull() & F.coalesce(hit, F.lit(False)))
+    return placed, cells, met, hit
 
 
 def locate(points: DataFrame, polygons: DataFrame, lat: str, lon: str, key: str, rings: str, salts: int = SALTS) -> DataFrame:
     """Every point once for each region that holds it: the point's columns and ``key``."""
-    found = _met(points, polygons, lat, lon, key, rings, salts).filter("__hit")
+    placed, cells, met, hit = _met(points, polygons, lat, lon, key, rings, salts)
+    found = placed.withColumn("__place", F.monotonically_increasing_id()).join(cells, met & hit)
     # a point on the border of two cells is found in both
     return found.dropDuplicates(["__place", "__key"]).select(
         *[F.col(f"`{c}`") for c in points.columns], F.col("__key").alias(key))
@@ -126,13 +123,13 @@ def outside_declared(points: DataFrame, polygons: DataFrame, lat: str, lon: str,
                      rings: str, salts: int = SALTS) -> DataFrame:
     """Points with coordinates that lie in no polygon of the region they declare.
 
-    A point that declares no region, or one without polygons, is not judged.
+    A point that declares no region, or one without polygons, is not judged. A point is
+    dropped at the first cell that holds it, so pairs of points and cells are never rows.
     """
     known = polygons.select(F.col(key).alias(declared)).distinct()
     asked = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).join(known, declared, "left_semi").select(
         *[F.col(f"`{c}`") for c in points.columns])
-    met = _met(asked, polygons, lat, lon, key, rings, salts, declared)
-    whole = F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("__point")
-    judged = met.select("__place", whole, "__hit").groupBy("__place").agg(
-        F.bool_or("__hit").alias("__hit"), F.any_value("__point").alias("__point"))
-    return judged.filter("NOT __hit").select("__point.*")
+    placed, cells, met, hit = _met(asked, polygons, lat, lon, key, rings, salts)
+    own = F.col("__declared") == F.col("__key")
+    return placed.withColumn("__declared", F.col(f"`{declared}`")).join(cells, met & own & hit, "left_anti").select(
+        *[F.col(f"`{c}`") for c in points.columns])

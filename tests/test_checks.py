@@ -130,6 +130,17 @@ def test_points_outside_what_they_declare(spark):
     assert got == want
 
 
+def test_points_outside_are_judged_without_rows_of_pairs(spark):
+    """A point met some hundred cells, and all of these pairs were sorted for an aggregate over whole points."""
+    _, polygons = shapes(spark)
+    points = spark.createDataFrame([(1, 0.001, 0.001, "a", "x"), (2, 0.02, 0.02, "a", None), (2, 0.02, 0.02, "a", None)],
+                                   "pk long, lat double, lon double, id string, note string")
+    found = outside_declared(points, polygons, "lat", "lon", "id", "id", "rings")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortAggregate" not in plan and "any_value" not in plan
+    assert [tuple(r) for r in found.collect()] == [(2, 0.02, 0.02, "a", None)] * 2
+
+
 # -- times ---------------------------------------------------------------------------
 
 def stamp(minute):
