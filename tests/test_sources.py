@@ -186,6 +186,25 @@ def test_gtfs_folder_with_missing_files(spark, tmp_path):
     assert transit.day_schedule({"METRO": whole}, dt.date(2025, 1, 5)).count() == 0  # a Sunday
 
 
+def test_the_schedule_is_sorted_with_one_exchange_of_whole_rows(spark):
+    """A second one in front of the sort wrote all columns of all rows once more, in no order."""
+    day = dt.date(2025, 1, 6)
+    feed = transit.Feed(
+        trips=spark.createDataFrame([("r", "s", "t2", "h", 0), ("r", "s", "t1", "h", 1), ("r", "x", "t3", "h", 1)],
+                                    "route_id string, service_id string, trip_id string, trip_headsign string, direction_id int"),
+        calendar=spark.createDataFrame([("s", 1, 20250101, 20251231)], "service_id string, monday int, start_date int, end_date int"),
+        calendar_dates=spark.createDataFrame([], "service_id string, date int, exception_type int"),
+        stop_times=spark.createDataFrame([(t, "10:00:00", "10:01:00", "p", n) for t in ("t1", "t2", "t3") for n in (2, 1)] + [("t1", "10:00:00", "10:01:00", "p", 1)],
+                                         "trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence int"),
+        stops=spark.createDataFrame([("p", "Sol", "40.4", "-3.7")], "stop_id string, stop_name string, stop_lat string, stop_lon string"))
+    found = transit.day_schedule({"METRO": feed, "EMT": feed}, day)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    got = [(r.tipo_transporte, r.trip_id, r.stop_sequence) for r in found.collect()]
+    assert got == [(m, t, n) for m in ("EMT", "METRO") for t, n in (("t1", 1), ("t1", 1), ("t1", 2), ("t2", 1), ("t2", 2))]
+
+
+
 def _zip(path, members):
     with zipfile.ZipFile(path, "w") as archive:
         for name, raw in members:
