@@ -17,7 +17,8 @@ running sum over its files says where each begins.
 
 Where the tokenizer cuts texts into words by the usual byte-level pattern, a text is
 cut here, all texts of a block at once, and the library encodes each distinct word
-that the task hasn't met (it keeps ``WORDS_KEPT`` of those met last). Texts with
+that the task hasn't met (it keeps ``WORDS_KEPT`` of those met last), without cutting
+it again and without its own memory of words. Texts with
 characters from ``NEAR_POINTS`` on, whose classes change with the version of
 Unicode, and all texts of other tokenizers are encoded whole.
 
@@ -164,6 +165,13 @@ class Encoder:
         self.by_words = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                          and not before.get("add_prefix_space") and not plan.get("normalizer")
                          and all(t.get("special") for t in plan.get("added_tokens", [])))
+        # what it is given of such a text is cut already, and remembered here
+        self.words = self.library
+        if self.by_words:
+            plan["pre_tokenizer"]["use_regex"] = False
+            self.words = Tokenizer.from_str(json.dumps(plan))
+            self.words.encode_special_tokens = True
+            self.words.model._resize_cache(0)
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -174,7 +182,7 @@ class Encoder:
         """Ids of each word; the library takes lists of words and says which id is of which."""
         out: list[bytes] = []
         lists = [[w.decode() for w in words[i:i + WORDS_A_CALL]] for i in range(0, len(words), WORDS_A_CALL)]
-        for given, made in zip(lists, self.library.encode_batch(lists, add_special_tokens=False, is_pretokenized=True)):
+        for given, made in zip(lists, self.words.encode_batch(lists, add_special_tokens=False, is_pretokenized=True)):
             ids, of = np.array(made.ids, dtype=self.dtype), np.array(made.word_ids, dtype=np.int64)
             ends = np.searchsorted(of, np.arange(len(given) + 1)).tolist()
             raw = ids.tobytes()
@@ -185,11 +193,15 @@ class Encoder:
         """Ids of distinct words, from what the task has met or from the library."""
         if len(self.known) > WORDS_KEPT:   # words not met since are forgotten
             self.known, self.older = {}, self.known
-        found = [self.known.get(w) or self.older.get(w) for w in words]
+        found = list(map(self.known.get, words))
         at = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(at, self._encoded([words[i] for i in at])):
+        older = [self.older.get(words[i]) for i in at] if self.older else [None] * len(at)
+        unmet = [i for i, ids in zip(at, older) if ids is None]
+        for i, ids in zip(at, older):
             found[i] = ids
-        self.known.update((w, ids) for w, ids in zip(words, found) if len(w) <= WORD_BYTES)
+        for i, ids in zip(unmet, self._encoded([words[i] for i in unmet])):
+            found[i] = ids
+        self.known.update((words[i], found[i]) for i in at if len(words[i]) <= WORD_BYTES)
         return found
 
     def ids(self, block: texts.Block) -> list[np.ndarray]:
@@ -214,7 +226,9 @@ class Encoder:
         ends = np.r_[starts[1:], len(data)]
         found = texts.Words(starts, ends, np.searchsorted(starts, first), data)
         # the words of a block are told apart by 64 bits, those of a task by their bytes
-        _, where, word = np.unique(texts.word_hashes(found), return_index=True, return_inverse=True)
+        word = pa.array(texts.word_hashes(found)).dictionary_encode().indices.to_numpy()
+        where = np.zeros(int(word.max()) + 1, dtype=np.int64)
+        where[word] = np.arange(len(word))
         raw = data.tobytes()
         distinct = self._known([raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])
         held = np.frombuffer(b"".join(distinct), dtype=self.dtype)

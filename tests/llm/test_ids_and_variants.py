@@ -250,6 +250,15 @@ def test_words_are_forgotten_and_met_again(tokenizer, library, monkeypatch):
     assert len(encoder.known) + len(encoder.older) < 40
 
 
+def test_words_are_not_cut_again(tokenizer, library):
+    encoder = tokenfiles.Encoder(tokenizer)
+    assert len(encoder.words.pre_tokenizer.pre_tokenize_str("two words")) == 1
+    assert len(encoder.library.pre_tokenizer.pre_tokenize_str("two words")) == 2
+    words = [" word", "'s", "\n", "é", "<|", " 12", "x" * 300, " word"]
+    got = [np.frombuffer(i, encoder.dtype).tolist() for i in encoder._encoded([w.encode() for w in words])]
+    assert got == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
 def test_other_tokenizers_encode_whole_texts(tokenizer):
     from tokenizers import Tokenizer
 
